@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WHITESPACE = b" \t\n\v\f\r"
@@ -155,3 +155,23 @@ def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(work_dir(spark))
     return df.checkpoint()
+
+
+def numbered(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with a number among equal rows, from 0; equal rows are counted before the shuffle."""
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    return counted.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")))).drop("_n")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: str, value: str, name: str, chunk: int = 4096) -> DataFrame:
+    """Adds the sum of ``value`` over the rows of lower ``order`` with the same keys.
+
+    ``order`` is an integer without repeats within the keys. It works in two levels, so
+    that no task takes more than ``chunk`` rows or a ``chunk``-th of all rows of a key.
+    """
+    part = F.floor(F.col(order) / chunk).alias("_part")
+    sums = df.groupBy(*keys, part).agg(F.sum(value).alias("_sum"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
+    own = Window.partitionBy(*keys, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = df.withColumn("_part", part).withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+    return inner.join(before, [*keys, "_part"]).withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_part", "_before", "_own")

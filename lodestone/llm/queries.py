@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, fertility, ftrl, langid, url_filter
+from lodestone.llm import bpe, exact_dedup, fertility, ftrl, langid, mixing, sharding, url_filter
 from lodestone.llm.common import key_mod, read_table
 
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (key_mod(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=40)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, cap=2.0)
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(read_table(spark, sf_dir, "documents"), BYTE_JSON, public_tokenizers.PATTERN)
 
