@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, fertility, ftrl, langid, mixing, sharding, url_filter
+from lodestone.llm import bpe, exact_dedup, fertility, ftrl, jaccard_join, langid, mixing, sharding, url_filter
 from lodestone.llm.common import key_mod, read_table
 
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -48,6 +48,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     labels = read_table(spark, sf_dir, "labels").where(key_mod(3) != 1).select("doc_id", F.col("quality").alias("label"))
