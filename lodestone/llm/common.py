@@ -6,6 +6,10 @@ separates on.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import gc
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -175,3 +179,47 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str, name: st
     own = Window.partitionBy(*keys, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     inner = df.withColumn("_part", part).withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
     return inner.join(before, [*keys, "_part"]).withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_part", "_before", "_own")
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that no query needs any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+_TABLES: dict[str, SparkSession] = {}
+
+
+def stable_table(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Like ``stable`` for large results: a compressed table in the shared folder, which
+    goes when the application ends."""
+    path = f"{work_dir(spark)}/lodestone-{uuid.uuid4().hex}"
+    if not _TABLES:
+        atexit.register(_drop_tables)
+    _TABLES[path] = spark
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _drop_tables() -> None:
+    for path, spark in _TABLES.items():
+        with contextlib.suppress(Exception):  # the session may have gone before
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _TABLES.clear()
+
+
+def slot_bitmap(values: DataFrame, slots: int) -> np.ndarray:
+    """Bits of the slots of a column of longs modulo ``slots``: ``slots`` / 8 bytes come
+    back whatever the input. For filters whose chance hits only cost work."""
+    slot = values.select(F.pmod(F.col(values.columns[0]), F.lit(slots)).alias("slot"))
+    parts = slot.groupBy(F.floor(F.col("slot") / 32_768).alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % 32_768).alias("bits"))
+    out = np.zeros(slots // 8, np.uint8)
+    for row in parts.toLocalIterator():
+        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def has_slot(bits: np.ndarray, value: int) -> bool:
+    slot = value % (len(bits) * 8)
+    return bool(bits[slot >> 3] >> (slot & 7) & 1)

@@ -27,15 +27,14 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import join_groups, map_rows, stable, text_bytes
+from lodestone.llm.common import has_slot, join_groups, map_rows, slot_bitmap, stable, text_bytes
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLOTS = 1 << 23
-_BUCKET = 32_768  # bits that one bitmap_construct_agg value holds
 
 
 def refine(docs: DataFrame, prefix_chars: int, slots: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, text, slot per row, and the bitmap of slots whose rows need a full hash."""
+    """doc_id, text, mark per row, and the bitmap of marks whose rows need a full hash."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(
         "doc_id",
@@ -46,24 +45,8 @@ def refine(docs: DataFrame, prefix_chars: int, slots: int) -> tuple[DataFrame, n
     keys = keyed.select("n_bytes", "prefix")
     lengths = keys.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
     alike = keys.groupBy("n_bytes", "prefix").count().join(lengths, "n_bytes", "left_semi").where("count > 1")
-    slot = F.pmod(F.xxhash64("n_bytes", "prefix"), F.lit(slots))
-    bits = (
-        alike.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    )
-    bitmap = np.zeros(slots // 8 + _BUCKET // 8, np.uint8)
-    for row in bits.collect():  # at most slots / 32,768 rows of 4 KB
-        at = (row["bucket"] - 1) * (_BUCKET // 8)
-        bitmap[at : at + len(row["bits"])] |= np.frombuffer(row["bits"], np.uint8)
-    # bitmap_bucket_number counts from 1 and puts slot 0 in bucket 0
-    return keyed.select("doc_id", "text", slot.alias("slot")), bitmap
-
-
-def survives(bitmap: np.ndarray, slot: int) -> bool:
-    bucket = 0 if slot == 0 else 1 + (slot - 1) // _BUCKET
-    bit = 0 if slot == 0 else (slot - 1) % _BUCKET
-    return bool(bitmap[max(bucket - 1, 0) * (_BUCKET // 8) + bit // 8] >> (bit % 8) & 1)
+    mark = F.xxhash64("n_bytes", "prefix")
+    return keyed.select("doc_id", "text", mark.alias("mark")), slot_bitmap(alike.select(mark), slots)
 
 
 def exact_groups(docs: DataFrame, prefix_chars: int = 64, slots: int = SLOTS, digest_all: bool = False) -> DataFrame:
@@ -81,14 +64,14 @@ def exact_groups(docs: DataFrame, prefix_chars: int = 64, slots: int = SLOTS, di
         bits = shared.value
 
         def step(row):
-            doc_id, text, slot = row
-            alive = survives(bits, slot)
+            doc_id, text, mark = row
+            alive = has_slot(bits, mark)
             digest = hashlib.sha256((text or b"").lower()).digest() if alive or digest_all else None
             return [(doc_id, digest, alive)]
 
         return step
 
-    hashed = map_rows(keyed.select("doc_id", text_bytes(), "slot"), "doc_id long, digest binary, alive boolean", make)
+    hashed = map_rows(keyed.select("doc_id", text_bytes(), "mark"), "doc_id long, digest binary, alive boolean", make)
     hashed = stable(spark, hashed)
     single = hashed.where(~F.col("alive")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     rows = hashed.where("alive").groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))

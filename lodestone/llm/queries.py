@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, fertility, ftrl, jaccard_join, langid, mixing, sharding, url_filter
+from lodestone.llm import bpe, exact_dedup, fertility, ftrl, jaccard_join, langid, mixing, sharding, suffix_dedup, url_filter
 from lodestone.llm.common import key_mod, read_table
 
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.fertility_report(read_table(spark, sf_dir, "documents"), *FERTILITY_PATHS)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"), length=50, texts=False)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(key_mod(4) != 2))
