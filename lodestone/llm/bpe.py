@@ -26,8 +26,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import map_rows, text_bytes
+from lodestone.llm.common import TwoGenerations, map_rows, text_bytes
 
+#: Entries in a generation of each of a worker's caches.
+CACHE = 150_000
 #: Below this code point the classes of the two pattern libraries agree.
 _AGREED = "԰"
 
@@ -57,7 +59,7 @@ class BacktrackingBpe:
         for k, (a, b, made) in enumerate(merges):
             if made not in self.parts:
                 self.parts[made], self.born[made] = (a, b), k
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}  # by left << 20 | right
         self.trie = ahocorasick.Automaton()
         for token, word in enumerate(tokens):
             if word and (len(word) == 1 or self.reachable(token)):
@@ -87,7 +89,7 @@ class BacktrackingBpe:
         them, it would have happened, and the pair is not what merging ends in. Equal
         ranks go to the leftmost occurrence.
         """
-        key = (left, right)
+        key = left << 20 | right
         if limit is None and key in self.fits:
             return self.fits[key]
         a, b, bar, fine = left, right, float("inf") if limit is None else limit, True
@@ -116,7 +118,7 @@ class BacktrackingBpe:
         for end, (token, size) in self.trie.iter_long(text):
             fine = end - size == reach
             if fine and last >= 0:
-                fine = fits.get((last, token))
+                fine = fits.get(last << 20 | token)
                 if fine is None:
                     fine = self.compatible(last, token)
             if not fine:
@@ -141,9 +143,8 @@ class BacktrackingBpe:
                 if not dead[at + size]:
                     if not out:
                         break
-                    key = (out[-1][0], token)
-                    fine = fits.get(key)
-                    if fine or fine is None and self.compatible(*key):
+                    fine = fits.get(out[-1][0] << 20 | token)
+                    if fine or fine is None and self.compatible(out[-1][0], token):
                         break
                 found = shorter[token]
             if found is None:
@@ -161,24 +162,6 @@ class UnusualGap(Exception):
     """A space that starts or ends a text or stands beside other white space."""
 
 
-class IdCache(dict):
-    """Ids by string, made on demand; emptied when full, so that a worker stays small."""
-
-    MOST = 200_000
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key: str) -> bytes:
-        ids = self.make(key)
-        if len(key) < 200:
-            if len(self) >= self.MOST:
-                self.clear()
-            self[key] = ids
-        return ids
-
-
 class ByteLevelTokenizer:
     """A byte-level vocabulary file with its pattern, special strings and caches."""
 
@@ -204,9 +187,8 @@ class ByteLevelTokenizer:
         self.special = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.special_ids = special
         self.library = Tokenizer.from_file(path).pre_tokenizer
-        self.alphabet = alphabet
-        self.led = IdCache(self.led_ids)
-        self.pieces_cache = IdCache(self.chunk_ids)
+        self.led = TwoGenerations(self.led_ids, CACHE)
+        self.by_piece = TwoGenerations(self.piece_ids, CACHE)
 
     def led_ids(self, part: str) -> bytes:
         """Ids of a part together with the single space before it."""
@@ -216,11 +198,15 @@ class ByteLevelTokenizer:
 
     def chunk_ids(self, chunk: str) -> bytes:
         """Ids of one chunk as little-endian 32-bit integers."""
-        if max(chunk) < _AGREED:
-            pieces = [p.encode() for p in self.pieces(chunk)]
-        else:  # newer characters: the library's own pattern decides their class
-            pieces = [bytes(self.alphabet[c] for c in word) for word, _ in self.library.pre_tokenize_str(chunk)]
-        ids = self.bpe.encode(pieces[0]) if len(pieces) == 1 else [token for piece in pieces for token in self.bpe.encode(piece)]
+        pieces = self.pieces(chunk) if max(chunk) < _AGREED else self.library_pieces(chunk)
+        return self.by_piece[pieces[0]] if len(pieces) == 1 else b"".join(map(self.by_piece.__getitem__, pieces))
+
+    def library_pieces(self, text: str) -> list[str]:
+        """With newer characters the library's own pattern decides their class."""
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+
+    def piece_ids(self, piece: str) -> bytes:
+        ids = self.bpe.encode(piece.encode())
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
@@ -244,13 +230,7 @@ class ByteLevelTokenizer:
             head = self.chunk_ids(first)
             return head + b"".join(map(self.led.__getitem__, rest)) if rest else head
         except UnusualGap:
-            return b"".join(map(self.pieces_cache.__getitem__, self.runs(text)))
-
-    def runs(self, text: str) -> list[str]:
-        """Pieces of the pattern over a text with unusual gaps."""
-        if max(text) < _AGREED:
-            return self.pieces(text)
-        return [text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text)]
+            return self.chunk_ids(text)
 
     def decode(self, ids: bytes) -> str:
         token = np.frombuffer(ids, "<u4").astype(np.int64)
@@ -291,19 +271,23 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """What op6 returns; hashes where the ids are made, so that they never leave the worker."""
+    """What op6 returns: ``token_documents`` without the ids."""
+    return token_documents(docs, path, pattern).drop("ids")
+
+
+def token_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids and the hashes of ids and decoded text: the codec with its proof."""
 
     def make():
         tokenizer = load(path, pattern)
 
         def step(row):
             ids = tokenizer.encode((row[1] or b"").decode("utf-8", "replace"))
-            decoded = tokenizer.decode(ids).encode()
-            return [(row[0], len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest())]
+            return [(row[0], len(ids) // 4, ids, hashlib.sha256(ids).hexdigest(), hashlib.sha256(tokenizer.decode(ids).encode()).hexdigest())]
 
         return step
 
-    return map_rows(docs.select("doc_id", text_bytes()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    return map_rows(docs.select("doc_id", text_bytes()), "doc_id long, n_tokens long, ids binary, ids_sha256 string, decoded_sha256 string", make)
 
 
 def decode_ids(rows: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -223,3 +223,26 @@ def slot_bitmap(values: DataFrame, slots: int) -> np.ndarray:
 def has_slot(bits: np.ndarray, value: int) -> bool:
     slot = value % (len(bits) * 8)
     return bool(bits[slot >> 3] >> (slot & 7) & 1)
+
+
+class TwoGenerations(dict):
+    """A bounded cache: when it is full its entries become the old generation, from which
+    those in use come back, and the older ones go."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) < 200:
+            self.keep(key, value)
+        return value

@@ -12,7 +12,8 @@ from lodestone.llm import bpe, exact_dedup, fertility, ftrl, jaccard_join, langi
 from lodestone.llm.common import key_mod, read_table
 
 BYTE_JSON = public_tokenizers.path("byte_bpe_50k.json")
-FERTILITY_PATHS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+PATTERN = public_tokenizers.PATTERN
+FERTILITY_PATHS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"), PATTERN)
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
@@ -21,7 +22,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"), length=50, texts=False)
+    return suffix_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"), length=50)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digest_documents(read_table(spark, sf_dir, "documents"), BYTE_JSON, public_tokenizers.PATTERN)
+    return bpe.digest_documents(read_table(spark, sf_dir, "documents"), BYTE_JSON, PATTERN)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
