@@ -22,7 +22,6 @@ table gives no rows; texts of any length are read whole.
 from __future__ import annotations
 
 import math
-import struct
 import unicodedata
 from collections import Counter
 
@@ -30,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import join_groups, map_rows, stable, text_bytes
+from lodestone.llm.common import TwoGenerations, join_groups, map_rows, stable, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 #: By script: characters per token of the byte-level and of the piece vocabulary (least,
@@ -81,27 +80,45 @@ class WordMeasures:
         with open(byte_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.byte = tiktoken.Encoding("fertility", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.leads = np.zeros(max(ranks.values()) + 1, bool)  # tokens that start with a space
+        self.leads[[i for token, i in ranks.items() if token[:1] == b" "]] = True
         self.piece = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.byte_pieces = {i for i in range(self.piece.vocab_size()) if self.piece.is_byte(i)}
-        self.cache: dict[bytes, tuple] = {}
+        self.cache = TwoGenerations(None, self.MOST)
 
     def of(self, words: list[bytes]) -> list[tuple]:
         """(characters, tokens, pieces, fallback pieces, script, packed token ids) each."""
-        if len(self.cache) > self.MOST:
-            self.cache.clear()
-        get = self.cache.get
-        out = [get(w) for w in words]
-        missing = [k for k, v in enumerate(out) if v is None]
+        out = list(map(self.cache.get, words))
+        old, missing = self.cache.old.get, []
+        for k in [k for k, v in enumerate(out) if v is None]:
+            if (value := old(words[k])) is None:
+                missing.append(k)
+            else:
+                out[k] = value
+                self.cache.keep(words[k], value)
         if missing:
             texts = [words[k].decode("utf-8", "replace") for k in missing]
-            for k, text, pieces in zip(missing, texts, self.piece.encode(texts, num_threads=1), strict=True):
-                ids = self.byte(" " + text)
-                fallback = 0 if self.byte_pieces.isdisjoint(pieces) else sum(p in self.byte_pieces for p in pieces)
-                out[k] = (len(text), len(ids), len(pieces) or 1, fallback, script_of(text), struct.pack(f"<{len(ids)}I", *ids))
-                if len(words[k]) < 200:
-                    self.cache[words[k]] = out[k]
+            ascii_ = [w.isascii() for w in texts]
+            rows = zip(missing, texts, self.packed_ids(texts), self.piece.encode(texts, num_threads=1), ascii_, strict=True)
+            apart, keep = self.byte_pieces.isdisjoint, self.cache.keep
+            for k, text, ids, pieces, plain in rows:
+                fallback = 0 if apart(pieces) else sum(p in self.byte_pieces for p in pieces)
+                script = "LATIN" if plain and text[0].isalpha() else script_of(text)
+                out[k] = (len(text), len(ids) >> 2, len(pieces) or 1, fallback, script, ids)
+                if len(text) < 200:
+                    keep(words[k], out[k])
         return out
 
+    def packed_ids(self, texts: list[str]) -> list[bytes]:
+        """Each word's byte-level ids with a space before it, from one call for all words:
+        only the space before a word makes a token start with a space."""
+        flat = np.array(self.byte(" " + " ".join(texts)), "<u4")
+        at = np.flatnonzero(self.leads[flat]).tolist()
+        if len(at) != len(texts):
+            return [np.array(self.byte(" " + t), "<u4").tobytes() for t in texts]
+        raw = flat.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(at, [*at[1:], len(flat)], strict=True)]
+
 
 def script_of(word: str) -> str | None:
     """Script of the first letter of a word."""
@@ -177,10 +194,10 @@ def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern:
 
     def make():
         measures = load(byte_path, piece_path, pattern)
-        return lambda row: [(row[0], *measure(row[1] or b"", measures, limits, min_tokens), row[2])]
+        return lambda row: [(row[0], *measure(row[1] or b"", measures, limits, min_tokens), row[2], row[3])]
 
-    read = docs.select("doc_id", text_bytes(), F.col("lang").cast("string"))
-    measured = stable(docs.sparkSession, map_rows(read, f"{COUNTS}, {MEASURES}, lang string", make))
+    read = docs.select("doc_id", text_bytes(), F.col("lang").cast("string"), F.xxhash64("text"))
+    measured = stable(docs.sparkSession, map_rows(read, f"{COUNTS}, {MEASURES}, lang string, text_hash long", make))
     measured = measured.withColumn("band", F.coalesce("lang", F.concat(F.lit("script "), F.col("script")), F.lit("none")))
     good = measured.where(F.col("reason").isNull())
     root = F.sqrt("n_tokens")
@@ -199,12 +216,12 @@ def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern:
         far = far | (v < -BELOW * F.col(f"{c}_spread")) | (v > ABOVE * F.col(f"{c}_spread"))
     reason = F.when(F.col("reason").isNull() & (F.col("n_texts") >= LEAST) & F.coalesce(far, F.lit(False)), F.lit("corpus band")).otherwise(F.col("reason"))
     columns = [x.split(" ")[0] for x in f"{COUNTS}, {MEASURES}".split(", ")]
-    return judged.withColumn("reason", reason).select(*columns, F.col("reason").isNull().alias("kept"))
+    return judged.withColumn("reason", reason).select(*columns, F.col("reason").isNull().alias("kept"), "text_hash")
 
 
 def keep_fertile(docs: DataFrame, *paths: str, **options) -> DataFrame:
-    """The rows of ``docs`` that pass. Rows are found again by doc_id, of which a
-    rejected one rejects all its rows; a null doc_id is dropped with its rejected text."""
+    """The rows of ``docs`` that pass, found again by doc_id and text."""
     report = fertility_report(docs, *paths, **options)
-    gone = report.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = report.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), "text_hash").distinct()
+    match = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("text_hash"))
+    return docs.join(gone, match, "left_anti")
