@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import join_groups, numbered, running_sum, stable
 
-BLOCK, SLOTS, BUCKET, ROUNDS, CELLS, SEED = 256, 512, 2_048, 32, 1_024, 53
+BLOCK, SLOTS, BUCKET, ROUNDS, CELLS, SEED = 256, 512, 512, 32, 1_024, 53
 WORD = r"[^\x20\x09-\x0D]+"
 
 
