@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import gc
+import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -154,13 +155,6 @@ def work_dir(spark: SparkSession) -> str:
     return conf or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
 
 
-def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the shared folder."""
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(work_dir(spark))
-    return df.checkpoint()
-
-
 def numbered(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with a number among equal rows, from 0; equal rows are counted before the shuffle."""
     counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
@@ -182,17 +176,24 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str, name: st
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files that no query needs any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete shuffle files that no query needs any more.
+
+    The driver's Python lets go of its frames first; the JVM learns of that a moment
+    later, so only a second round reaches all of them.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
 
 
 _TABLES: dict[str, SparkSession] = {}
 
 
-def stable_table(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Like ``stable`` for large results: a compressed table in the shared folder, which
-    goes when the application ends."""
+def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a compressed table in the shared folder, which goes when the
+    application ends. Unlike a checkpoint it has its own size statistics, which else
+    multiply from join to join through an iteration."""
     path = f"{work_dir(spark)}/lodestone-{uuid.uuid4().hex}"
     if not _TABLES:
         atexit.register(_drop_tables)
