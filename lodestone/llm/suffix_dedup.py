@@ -3,39 +3,44 @@
 A byte goes if a string of ``length`` bytes that covers it also starts in a document
 with a smaller doc_id. Documents are judged as they came in; matches end with them.
 
-1. Anchors. Of the hashes of a window's `GRAM`-byte strings the least is the window's
+1. Equal texts are one text, that of their smallest doc_id; the others lose all bytes if
+   they have ``length`` of them.
+2. Anchors. Of the hashes of a window's `GRAM`-byte strings the least is the window's
    anchor, so equal windows of ``length`` bytes have equal anchors. Consecutive windows
    with the same anchor form a segment; about one byte in twenty starts a segment.
-2. Anchors that occur in one document only settle their segments. The others are found
-   by a range-partitioned sort of (anchor, doc_id), which also splits an anchor that a
-   third of all documents have; tasks keep runs open at their ends, so the rest is a
-   superset.
-3. The segments of these anchors are counted by content with their smallest doc_id, and
+3. Anchors that occur in one text only settle their segments. Tasks send the others as
+   packed blobs to shards of the hash range. An anchor that a task itself finds in two
+   texts is sent once, so what a third of all documents have is sent once a batch.
+4. The segments of shared anchors are counted by content with their smallest doc_id, and
    distinct segments meet by anchor in shards. A shard is one text: its suffix array and
    common prefixes come from external induced sorting (`induced_sort`), which spills its
    queues to scratch space, so a shard may exceed memory. Suffixes with a common prefix
    of ``length`` bytes are one string; its smallest doc_id is the least of its segments.
-4. Segments bring these smallest ids back to the documents, whose removed runs follow.
+5. Segments bring these smallest ids back to the documents, whose removed runs follow.
 
 Defined results: null text is empty; documents shorter than ``length`` bytes lose
 nothing; repeated rows (same doc_id) do not remove each other; a null doc_id counts as
-larger than all others; an empty table gives no rows; extra columns are ignored.
+larger than all others; an empty table gives no rows; extra columns are ignored. Texts
+and segments are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import has_slot, join_groups, map_rows, mix64, release, slot_bitmap, stable, stable_table, text_bytes, to_batch
+from lodestone.llm.common import has_slot, join_groups, map_rows, mix64, release, slot_bitmap, stable, text_bytes, to_batch
 from lodestone.llm.induced_sort import suffix_order
 
-GRAM, SHARD_BYTES, PIECE = 20, 12 << 20, 1 << 20
+GRAM, SHARD_BYTES, PIECE = 24, 4 << 20, 1 << 20
+CUT = np.uint64(24)  # bits of an anchor that the filter leaves out
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
 
@@ -74,138 +79,278 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(values)
 
 
-def shared_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(anchor, ord): the anchors of each document that another document may have."""
-    schema = pa.schema([("anchor", pa.int64()), ("ord", pa.int64())])
+def packed_pairs(value: np.ndarray, key: np.ndarray) -> bytes:
+    """Anchors of 40 bits with their texts: five bytes and a two-byte index each, and the keys once."""
+    keys, index = np.unique(key, return_inverse=True)
+    head = np.array([len(value), len(keys)], "<u4")
+    parts = (head, keys.astype("<i8"), (value & np.uint64(0xFFFFFFFF)).astype("<u4"), index.astype("<u2"), (value >> np.uint64(32)).astype("u1"))
+    return b"".join(p.tobytes() for p in parts)
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, each = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.unique(anchors(text.as_py() or b"", length)[1])
-                ids.append(np.full(len(own), doc, np.int64))
-                each.append(own.view(np.int64))
-                if sum(map(len, each)) > 500_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each)), pa.array(np.concatenate(ids))], schema=schema)
-                    ids, each = [], []
-            if each:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(each)), pa.array(np.concatenate(ids))], schema=schema)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows next to a row with the same anchor; the ends of batches stay."""
-        for batch in batches:
-            if batch.num_rows:
-                value = batch.column(0).to_numpy()
-                same = value[1:] == value[:-1]
-                yield batch.filter(pa.array(np.concatenate(([True], same)) | np.concatenate((same, [True]))))
 
-    found = docs.mapInArrow(make, "anchor long, ord long")
-    return found.repartitionByRange("anchor", "ord").sortWithinPartitions("anchor", "ord").mapInArrow(keep, "anchor long, ord long")
+def unpacked_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = np.frombuffer(raw, "<u4", 2).tolist()
+    at = 8 + 8 * m
+    low, index, high = np.frombuffer(raw, "<u4", n, at), np.frombuffer(raw, "<u2", n, at + 4 * n), np.frombuffer(raw, "u1", n, at + 6 * n)
+    return (high.astype(np.uint64) << np.uint64(32)) | low, np.frombuffer(raw, "<i8", m, 8)[index]
 
 
-def text_key(text: bytes) -> int:
-    """Tells rows with the same doc_id but other texts apart."""
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+def shared_anchors(docs: DataFrame, length: int, shards: int, buckets: int) -> DataFrame:
+    """(text_key, anchors): packed anchors of a text that another text may have.
 
+    Anchors are cut to 40 bits here, which at worst lets more of them through.
+    """
+    blob = pa.schema([("shard", pa.int32()), ("blob", pa.binary())])
+    kept = pa.schema([("bucket", pa.int32()), ("pairs", pa.binary())])
+    done = pa.schema([("text_key", pa.int64()), ("anchors", pa.binary())])
 
-def segments(docs: DataFrame, shared: DataFrame, length: int) -> DataFrame:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(values: list, keys: list) -> pa.RecordBatch:
+            value, key = np.concatenate(values), np.concatenate(keys)
+            order = np.argsort(value, kind="stable")
+            value, key = value[order], key[order]
+            first = np.concatenate(([True], value[1:] != value[:-1]))
+            several = ~first | np.concatenate((~first[1:], [False]))  # in two texts of this batch
+            rows = [(shards + int(value[0] % np.uint64(shards)), packed_pairs(value[several], key[several]))] if several.any() else []
+            value, key = value[first], key[first]  # of those one tells the other tasks
+            shard = ((value >> np.uint64(16)) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            value, key, edge = value[order], key[order], np.searchsorted(shard[order], np.arange(shards + 1))
+            rows += [(k, packed_pairs(value[edge[k] : edge[k + 1]], key[edge[k] : edge[k + 1]])) for k in range(shards) if edge[k] < edge[k + 1]]
+            return to_batch(rows, blob)
+
+        values, keys, held, seen = [], [], 0, set()
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if key in seen:  # a copy of a text of this batch
+                    continue
+                own = np.unique(anchors(text.as_py() or b"", length)[1] >> CUT)
+                if not len(own):
+                    continue
+                seen.add(key)
+                values.append(own)
+                keys.append(np.full(len(own), key, np.int64))
+                held += len(own)
+                if held > 500_000 or len(keys) > 60_000:
+                    yield flush(values, keys)
+                    values, keys, held, seen = [], [], 0, set()
+        if held:
+            yield flush(values, keys)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Streams a task's blobs to scratch space, then emits the pairs of shared anchors."""
+
+        def emit(value: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+            bucket = key % buckets
+            order = np.argsort(bucket, kind="stable")
+            value, key, bucket = value[order], key[order], bucket[order]
+            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+            return to_batch([(int(bucket[a]), packed_pairs(value[a:b], key[a:b])) for a, b in zip(cut, [*cut[1:], len(key)], strict=True)], kept)
+
+        with tempfile.TemporaryFile() as scratch:
+            sizes, value, low, high = [], np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+            waiting: list[tuple] = []
+
+            def merge() -> None:
+                nonlocal value, low, high
+                parts = [(value, low, high), *waiting]
+                waiting.clear()
+                v, lo, hi = (np.concatenate([p[k] for p in parts]) for k in range(3))
+                order = np.argsort(v, kind="stable")
+                v, lo, hi = v[order], lo[order], hi[order]
+                cut = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
+                value, low, high = v[cut], np.minimum.reduceat(lo, cut), np.maximum.reduceat(hi, cut)
+
+            held = 0
+            for batch in batches:
+                for shard, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    raw = packed.as_py()
+                    v, k = unpacked_pairs(raw)
+                    if shard >= shards:
+                        yield emit(v, k)
+                        continue
+                    sizes.append(len(raw))
+                    scratch.write(raw)
+                    waiting.append((v, k, k))
+                    held += len(v)
+                    if held > 300_000:
+                        merge()
+                        held = 0
+            if not sizes:
+                return
+            merge()
+            shared = value[low < high]
+            scratch.seek(0)
+            for size in sizes:
+                v, k = unpacked_pairs(scratch.read(size))
+                at = np.minimum(np.searchsorted(shared, v), max(len(shared) - 1, 0))
+                hit = shared[at] == v if len(shared) else np.zeros(len(v), bool)
+                if hit.any():
+                    yield emit(v[hit], k[hit])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The pairs of a task's buckets by text."""
+        parts = [unpacked_pairs(raw.as_py()) for batch in batches for raw in batch.column(1)]
+        if not parts:
+            return
+        value, key = (np.concatenate([p[k] for p in parts]) for k in range(2))
+        order = np.argsort(key, kind="stable")
+        value, key = value[order], key[order]
+        cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        for at in range(0, len(cut), 20_000):
+            edges = [*cut[at : at + 20_001].tolist(), len(key)]
+            yield to_batch([(int(key[a]), value[a:b].tobytes()) for a, b in zip(edges[:20_000], edges[1:], strict=False)], done)
+
+    sent = docs.select("text_key", "text").mapInArrow(make, "shard int, blob binary")
+    decided = sent.repartition(shards, "shard").mapInArrow(decide, "bucket int, pairs binary")
+    return decided.repartition(buckets, "bucket").mapInArrow(gather, "text_key long, anchors binary")
+
+
+def segments(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """(ord, text_key, start, windows, anchor, digest, body) of segments with a shared anchor.
 
     body, the bytes of a segment with its last window, comes once a task and content.
     """
-    mine = shared.groupBy("ord").agg(F.collect_list("anchor").alias("anchors"))
+    mine = shared.join(firsts.select("text_key", F.col("least").alias("ord")), "text_key")
+    names = ("ord", "text_key", "start", "windows", "anchor", "digest")
+    schema = pa.schema([*((n, pa.int64()) for n in names), ("body", pa.binary())])
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
+        columns: list[list[np.ndarray]] = [[] for _ in names]
+        bodies: list[bytes | None] = []
 
-        def step(row):
-            ord_, text, wanted = row
-            start, value = anchors(text or b"", length)
-            if not len(start):
-                return
-            key, signed = text_key(text), value.view(np.int64)
-            end = np.append(start[1:], len(text) - length + 1)
-            for k in np.flatnonzero(np.isin(signed, np.array(wanted, np.int64))).tolist():
-                body = text[start[k] : end[k] + length - 1]
-                digest = text_key(body)
-                fresh = digest not in sent
-                if fresh:
-                    if len(sent) > 500_000:
-                        sent.clear()
-                    sent.add(digest)
-                yield (ord_, key, int(start[k]), int(end[k] - start[k]), int(signed[k]), digest, body if fresh else None)
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in columns), pa.array(bodies, pa.binary())], schema=schema)
+            for c in columns:
+                c.clear()
+            bodies.clear()
+            return out
 
-        return step
-
-    return map_rows(docs.join(mine, "ord"), "ord long, text_key long, start long, windows long, anchor long, digest long, body binary", make)
+        for batch in batches:
+            for key, ord_, text, wanted in zip(*batch.columns, strict=True):
+                text = text.as_py()
+                start, value = anchors(text, length)
+                wanted, short = np.unique(np.frombuffer(wanted.as_py(), np.uint64)), value >> CUT
+                at = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
+                hit = np.flatnonzero(wanted[at] == short)
+                end = np.append(start[1:], len(text) - length + 1)[hit]
+                start = start[hit]
+                own = [text[a:b] for a, b in zip(start.tolist(), (end + length - 1).tolist(), strict=True)]
+                digests = list(map(xxhash.xxh3_64_intdigest, own))
+                for k, digest in enumerate(digests):
+                    if digest in sent:
+                        own[k] = None
+                    else:
+                        sent.add(digest)
+                if len(sent) > 500_000:
+                    sent.clear()
+                constant = [np.full(len(hit), v.as_py(), np.int64) for v in (ord_, key)]
+                for column, values in zip(columns, (*constant, start, end - start, value[hit].view(np.int64), np.array(digests, np.uint64).view(np.int64)), strict=True):
+                    column.append(values)
+                bodies += own
+                if len(bodies) > 50_000:
+                    yield flush()
+        if bodies:
+            yield flush()
+
+    met = docs.join(mine, ["text_key", "ord"]).select("text_key", "ord", "text", "anchors")
+    return met.mapInArrow(run, "ord long, text_key long, start long, windows long, anchor long, digest long, body binary")
 
 
 def shard_profiles(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """(anchor, digest, profile) of distinct segments (anchor, digest, body, ord).
+    """(anchor, digest, n, profile) of distinct segments (anchor, digest, body, least, last, n).
+
+    least, last: the smallest and largest doc_id with the segment. Without anything to
+    remove there may be no profile.
 
     profile: packed (end of run of window starts, smallest doc_id) pairs of 64-bit numbers.
     """
-    schema = pa.schema([("anchor", pa.int64()), ("digest", pa.int64()), ("profile", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("profile", pa.binary())])
 
     def solve(rows: list[tuple]) -> Iterator[tuple]:
-        sizes = np.array([len(body) for _, _, body, _ in rows], np.int64)
-        text = np.zeros(int(sizes.sum()) + len(rows) + 1, np.int16)
+        """Profiles of the segments of a shard that some document may lose bytes in."""
+        anchor, digest, bodies, ords, last, n = zip(*rows, strict=True)
+        sizes = np.array([len(x) for x in bodies], np.int64)
+        raw = np.frombuffer(b"\0".join(bodies) + b"\0\0", np.uint8)
+        text = raw + np.uint8(2) if raw.max() < 254 else raw.astype(np.int16) + 2
         starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        for at, (_, _, body, _) in zip(starts.tolist(), rows, strict=True):
-            text[at : at + len(body)] = np.frombuffer(body, np.uint8)
-            text[at : at + len(body)] += 2
-            text[at + len(body)] = 1
+        text[starts + sizes] = 1  # ends of segments
+        text[-1] = 0
         order, lcp = suffix_order(text, length + 6)
-        group = np.cumsum(lcp < length)
+        first = np.flatnonzero(lcp < length)
         owner = np.searchsorted(starts, order, side="right") - 1
-        least = np.full(int(group[-1]) + 1, LAST, np.int64)
-        ords = np.array([o for *_, o in rows], np.int64)
-        np.minimum.at(least, group, ords[owner])
+        least = np.minimum.reduceat(np.array(ords, np.int64)[owner], first)
         by_pos = np.empty(len(text), np.int64)
-        by_pos[order] = least[group]
-        for at, size, (anchor, digest, _, _) in zip(starts.tolist(), sizes.tolist(), rows, strict=True):
-            own = by_pos[at : at + size - length + 1]
-            ends = np.append(np.flatnonzero(own[1:] != own[:-1]) + 1, len(own))
-            yield (anchor, digest, np.stack([ends, own[ends - 1]], 1).astype("<i8").tobytes())
+        by_pos[order] = np.repeat(least, np.diff(np.append(first, len(order))))
+
+        windows = sizes - length + 1
+        before = np.concatenate(([0], np.cumsum(windows)[:-1]))
+        segment = np.repeat(np.arange(len(rows)), windows)
+        place = np.arange(len(segment)) - before[segment]
+        value = by_pos[starts[segment] + place]
+        closes = np.append((segment[1:] != segment[:-1]) | (value[1:] != value[:-1]), True)
+        at = np.flatnonzero(closes)
+        packed = np.stack([place[at] + 1, value[at]], 1).astype("<i8").tobytes()
+        edge = np.concatenate(([0], np.cumsum(np.bincount(segment[at], minlength=len(rows))))).tolist()
+        loses = (np.minimum.reduceat(value, before) < np.array(last, np.int64)).tolist()
+        for k in range(len(rows)):
+            if loses[k]:
+                yield (anchor[k], digest[k], n[k], packed[16 * edge[k] : 16 * edge[k + 1]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole anchors, sorted, are gathered up to the size of a shard."""
         rows: list[tuple] = []
-        held, anchor = 0, None
+        own: list[tuple] = []
+        out: list[tuple] = []
+        held = 0
+
+        def close() -> None:
+            """An anchor with one content needs no sorting: one doc_id holds for its windows."""
+            nonlocal held
+            if len(own) > 1:
+                rows.extend(own)
+                held += sum(len(x[2]) for x in own)
+            elif own and own[0][3] < own[0][4]:
+                a, digest, body, least, _, n = own[0]
+                out.append((a, digest, n, np.array([[len(body) - length + 1, least]], "<i8").tobytes()))
+            own.clear()
+
         for batch in batches:
-            for a, digest, body, ord_ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if a != anchor and held >= shard_bytes:
-                    yield to_batch(list(solve(rows)), schema)
-                    rows, held = [], 0
-                anchor = a
-                rows.append((a, digest, body, ord_))
-                held += len(body)
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own and row[0] != own[0][0]:
+                    close()
+                    if held >= shard_bytes:
+                        out.extend(solve(rows))
+                        rows.clear()
+                        held = 0
+                own.append(row)
+            if out:
+                yield to_batch(out, schema)
+                out.clear()
+        close()
         if rows:
-            yield to_batch(list(solve(rows)), schema)
+            out.extend(solve(rows))
+        if out:
+            yield to_batch(out, schema)
 
-    return distinct.repartition("anchor").sortWithinPartitions("anchor", "digest").select("anchor", "digest", "body", "ord").mapInArrow(run, "anchor long, digest long, profile binary")
+    near = distinct.repartition("anchor").sortWithinPartitions("anchor", "digest")
+    return near.select("anchor", "digest", "body", "least", "last", "n").mapInArrow(run, "anchor long, digest long, n long, profile binary")
 
 
-def repeated_segments(docs: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """(ord, text_key, start, windows, least, profile) of segments that may lose bytes.
-
-    Without a profile, ``least`` is the smallest doc_id of all windows.
-    """
+def repeated_segments(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """(ord, text_key, start, profile) of segments that may lose bytes."""
     spark = docs.sparkSession
-    shared = stable(spark, shared_anchors(docs, length))
+    volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(8, min(1 << 15, volume // (16 << 20)))
+    shared = stable(spark, shared_anchors(docs, length, shards, shards))
     release(spark)
-    found = stable_table(spark, segments(docs, shared, length))
+    found = stable(spark, segments(docs, shared, firsts, length))
     release(spark)
     kinds = found.groupBy("anchor", "digest").agg(F.max("body").alias("body"), F.min("ord").alias("least"), F.max("ord").alias("last"), F.count("*").alias("n"))
-    kinds = stable_table(spark, kinds)
+    profiles = stable(spark, shard_profiles(kinds, length, shard_bytes))
     release(spark)
-    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
-    open_ = kinds.join(several, "anchor", "left_semi").select("anchor", "digest", "body", F.col("least").alias("ord"))
-    profiles = shard_profiles(open_, length, shard_bytes)
-    known = kinds.select("anchor", "digest", "n", "least", "last").join(profiles, ["anchor", "digest"], "left").where("profile is not null or least < last")
-    known = stable_table(spark, known.drop("last"))
-    placed = join_groups(found.drop("body"), known, ["anchor", "digest"], "n", max(1, found.count()))
-    return placed.where("profile is not null or least < ord").select("ord", "text_key", "start", "windows", "least", "profile")
+    placed = join_groups(found.drop("body"), profiles, ["anchor", "digest"], "n", max(1, found.count()))
+    return placed.where("profile is not null").select("ord", "text_key", "start", "profile")
 
 
 def runs_of(ord_: int, pieces: list[dict], length: int) -> np.ndarray:
@@ -213,8 +358,7 @@ def runs_of(ord_: int, pieces: list[dict], length: int) -> np.ndarray:
     runs = []
     for p in pieces:
         at = 0
-        profile = [(p["windows"], p["least"])] if p["profile"] is None else np.frombuffer(p["profile"], "<i8").reshape(-1, 2).tolist()
-        for end, least in profile:
+        for end, least in np.frombuffer(p["profile"], "<i8").reshape(-1, 2).tolist():
             if least < ord_:
                 runs.append((p["start"] + at, p["start"] + end + length - 1))
             at = end
@@ -226,62 +370,80 @@ def runs_of(ord_: int, pieces: list[dict], length: int) -> np.ndarray:
     return np.stack([runs[first, 0], np.append(reach[:-1][first[1:]], reach[-1])], 1)
 
 
-def repeated_runs(docs: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """(ord, text_key, runs): packed runs of the documents that lose bytes."""
+def repeated_runs(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+    """(text_key, ord, runs): packed runs of the texts that lose bytes in their first document."""
 
     def make():
         def step(row):
             runs = runs_of(row[0], row[2], length)
-            return [(row[0], row[1], runs.astype("<i8").tobytes())] if len(runs) else []
+            return [(row[1], row[0], runs.astype("<i8").tobytes())] if len(runs) else []
 
         return step
 
-    found = repeated_segments(docs, length, shard_bytes)
-    pieces = found.groupBy("ord", "text_key").agg(F.collect_list(F.struct("start", "windows", "least", "profile")).alias("pieces"))
-    return map_rows(pieces, "ord long, text_key long, runs binary", make)
+    found = repeated_segments(docs, firsts, length, shard_bytes)
+    # repeated rows of a document bring their segments twice
+    pieces = found.groupBy("ord", "text_key").agg(F.collect_list(F.struct("start", "profile")).alias("pieces"))
+    return map_rows(pieces, "text_key long, ord long, runs binary", make)
 
 
-def dedup_substrings(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES, slots: int = 1 << 24, texts: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with ``texts``, kept (binary).
-
-    Texts of documents that lose nothing are done where they are read; only the others
-    (told by a bitmap of ``slots`` bits) travel to their runs.
-    """
+def dedup_substrings(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES, slots: int = 1 << 24) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     spark = docs.sparkSession
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), text_bytes().alias("text"))
-    runs = stable(spark, repeated_runs(keyed.select("ord", "text"), length, shard_bytes))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
+    firsts = stable(spark, keyed.groupBy("text_key").agg(F.min("ord").alias("least"), F.count("*").alias("n")))
+    runs = stable(spark, repeated_runs(keyed, firsts, length, shard_bytes))
+    release(spark)
+    cut = stable(spark, kept_texts(keyed, runs, slots).drop("kept").dropDuplicates(["text_key"]))
     release(spark)
-    shared = spark.sparkContext.broadcast(slot_bitmap(runs.select(F.col("text_key")), slots))
+    state = firsts.join(cut, "text_key", "left")
+    keys = keyed.select("doc_id", "ord", "text_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha256"))
+    met = join_groups(keys, state, ["text_key"], "n", max(1, firsts.agg(F.sum("n")).first()[0] or 0))
+    copy = (F.col("ord") > F.col("least")) & (F.col("n_bytes") >= length)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    return met.select(
+        "doc_id",
+        "n_bytes",
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
+        F.when(copy, one).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
+        F.when(copy, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "whole_sha256")).alias("kept_sha256"),
+    )
+
+
+def kept_texts(keyed: DataFrame, runs: DataFrame, slots: int) -> DataFrame:
+    """(text_key, n_removed, n_spans, kept_sha256, kept) of the texts that have runs.
+
+    Only these travel: a bitmap of ``slots`` bits tells the readers which.
+    """
+    shared = keyed.sparkSession.sparkContext.broadcast(slot_bitmap(runs.select("text_key"), slots))
 
-    def first():
+    def chosen():
         bits = shared.value
+        return lambda row: [row] if has_slot(bits, row[0]) else []
 
+    def make():
         def step(row):
-            text = row[2] or b""
-            key = text_key(text)
-            if has_slot(bits, key):
-                return [(row[0], row[1], key, text, None, None)]
-            return [(row[0], row[1], key, None, len(text), hashlib.sha256(text).hexdigest())]
+            key, text, packed = row
+            gone = np.frombuffer(packed, "<i8").reshape(-1, 2)
+            edges = [0, *gone.ravel().tolist(), len(text)]
+            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+            return [(key, len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept)]
 
         return step
 
-    def second():
-        def step(row):
-            doc_id, text, packed = row
-            cut = np.frombuffer(packed or b"", "<i8").reshape(-1, 2)
-            edges = [0, *cut.ravel().tolist(), len(text)]
-            kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            return [(doc_id, len(text), len(text) - len(kept), len(cut), hashlib.sha256(kept).hexdigest(), kept if texts else None)]
+    read = map_rows(keyed.select("text_key", "ord", "text"), "text_key long, ord long, text binary", chosen)
+    met = read.join(runs, ["text_key", "ord"]).select("text_key", "text", "runs")
+    return map_rows(met, "text_key long, n_removed long, n_spans long, kept_sha256 string, kept binary", make)
 
-        return step
 
-    read = map_rows(keyed, "doc_id long, ord long, text_key long, text binary, n_bytes long, kept_sha256 string", first)
-    zero = F.lit(0).cast("long")
-    if texts:  # unchanged texts come along too
-        whole = map_rows(keyed, "doc_id long, ord long, text_key long, text binary", lambda: lambda r: [(r[0], r[1], text_key(r[2] or b""), r[2] or b"")])
-        met = whole.join(runs, ["ord", "text_key"], "left")
-        return map_rows(met.select("doc_id", "text", "runs"), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", second)
-    same = read.where("text is null").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256")
-    met = read.where("text is not null").select("doc_id", "ord", "text_key", "text").join(runs, ["ord", "text_key"], "left")
-    changed = map_rows(met.select("doc_id", "text", "runs"), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", second)
-    return same.unionByName(changed.drop("kept"))
+def deduped_texts(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES, slots: int = 1 << 24) -> DataFrame:
+    """doc_id, kept (binary): what is left of every row's text."""
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
+    firsts = stable(spark, keyed.groupBy("text_key").agg(F.min("ord").alias("least"), F.count("*").alias("n")))
+    runs = stable(spark, repeated_runs(keyed, firsts, length, shard_bytes))
+    cut = kept_texts(keyed, runs, slots).select("text_key", "kept").dropDuplicates(["text_key"])
+    met = join_groups(keyed, firsts.join(cut, "text_key", "left"), ["text_key"], "n", max(1, firsts.agg(F.sum("n")).first()[0] or 0))
+    copy = (F.col("ord") > F.col("least")) & (F.octet_length("text") >= length)
+    return met.select("doc_id", F.when(copy, F.lit(b"")).otherwise(F.coalesce("kept", "text")).alias("kept"))
