@@ -6,20 +6,23 @@ A document is the set of its distinct word shingles. Two documents link when
 1. Equal sets become one node (grouped by a hash of the set).
 2. Routing. Linked sets share one of their first ``n - ceil(percent * n / 100) + 1``
    shingles in any fixed order, so a node goes to one cell per such shingle. The order
-   is by hash, with shingles of crowded hash cells last: a sketch over all documents
-   counts shingles in `SKETCH` cells, and cells above `CROWD` times the mean are crowded.
-   So a passage or phrase that a hundredth of all documents share routes nothing
-   unless a document consists of such passages.
-3. Hubs. In each cell every node is tried against the cell's smallest node. This is linear
-   and joins most of a group of near copies, however large, into one component.
+   is by frequency, then hash: a sketch over all documents counts shingles in `SKETCH`
+   hash cells, and the more its cell holds, the later a shingle comes. So a passage
+   or phrase that many documents share routes nothing unless a document consists of such.
+3. Hubs. A cell's hub is the member that meets most others in all its cells. Every node is
+   tried against the hub that it meets most often. This is linear and joins most of a
+   group of near copies, however large, into one component.
 4. Tree. Cells that still hold nodes of several components are indexed: shingles are
    hashed into `GROUPS` groups, a node's counts per group are a point, points of a cell
    in order of size are packed into leaves of up to `LEAF`, and a leaf keeps its
    bounding box. For boxes and for points the sum over the coordinates of the smaller
    upper bound is at least the number of common shingles; what stays below the number
    that a link needs is pruned, leaf pair first, then point pair, and so are pairs
-   that step 3 has joined. Leaves are records, so a crowded cell is spread over tasks.
-5. Surviving pairs are verified on the full sets, and links become components.
+   that are joined already. Leaves are records, so a crowded cell is spread over tasks.
+5. Surviving pairs are verified on the full sets and links become components. This goes in
+   rounds (`TRIES`): first each node is tried with the partner of the greatest bound, then
+   with a few more, so the pairs of a round are linear in the nodes and components that
+   they join give no more; at last all pairs that still lie between two components.
 
 Whole sets are made again only for nodes in surviving pairs; these are told apart by a
 bitmap of `SLOTS` bits whose chance hits cost work and change nothing. Hashes of shingles
@@ -34,17 +37,18 @@ component has no other); an empty table gives no rows; extra columns are ignored
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import gram_hashes, join_groups, map_rows, stable, text_bytes, to_batch, word_hashes
+from lodestone.llm.common import gram_hashes, has_slot, join_groups, map_rows, release, slot_bitmap, stable, text_bytes, to_batch, word_hashes
 from lodestone.llm.components import connected_components
 
-SKETCH, CROWD, GROUPS, LEAF, SLOTS = 1 << 18, 4, 32, 128, 1 << 24
+SKETCH, GROUPS, LEAF, SLOTS, TRIES = 1 << 20, 128, 128, 1 << 24, (1, 8, None)
 
 
 def shingle_set(text: bytes | None, words: int) -> np.ndarray:
@@ -58,41 +62,48 @@ def least_common(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def crowded_cells(docs: DataFrame, words: int) -> np.ndarray:
-    """Which cells of the sketch are crowded; bits, packed."""
+def cell_levels(docs: DataFrame, words: int) -> np.ndarray:
+    """How full each cell of the sketch is: half powers of two of the mean, 8 bits."""
     width = SKETCH // 64
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
+        held, size = [], 0
         for batch in batches:
             for text in batch.column(0):
-                total += np.bincount((shingle_set(text.as_py(), words) >> shift).astype(np.int64), minlength=SKETCH) if text.is_valid else 0
+                held.append(shingle_set(text.as_py(), words) >> shift)
+                size += len(held[-1])
+                if size > SKETCH:
+                    total += np.bincount(np.concatenate(held).astype(np.int64), minlength=SKETCH)
+                    held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held).astype(np.int64), minlength=SKETCH)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([total[k * width : (k + 1) * width].tobytes() for k in range(64)], pa.binary())], names=["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array([zlib.compress(total[k * width : (k + 1) * width].tobytes(), 1) for k in range(64)], pa.binary())], names=["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts.as_py(), np.int64)
+                sums[part] = sums.get(part, 0) + np.frombuffer(zlib.decompress(counts.as_py()), np.int64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([zlib.compress(v.tobytes(), 1) for v in sums.values()], pa.binary())], names=["part", "counts"])
 
     made = docs.select(text_bytes()).mapInArrow(count, "part int, counts binary").repartition("part").mapInArrow(add, "part int, counts binary")
     total = np.zeros(SKETCH, np.int64)
-    for row in made.collect():  # 64 rows, 2 MB in all
-        total[row["part"] * width : (row["part"] + 1) * width] = np.frombuffer(row["counts"], np.int64)
-    return np.packbits(total > max(8.0, CROWD * total.mean()))
+    for row in made.collect():  # 64 rows, 8 MB before compression
+        total[row["part"] * width : (row["part"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    return np.ceil(2 * np.log2(np.maximum(total / max(total.mean(), 1.0), 0.5))).astype(np.int8)
 
 
 def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, node (null: empty set), n, counts, prefix per row."""
-    crowded = docs.sparkSession.sparkContext.broadcast(crowded_cells(docs, words))
+    shared = docs.sparkSession.sparkContext.broadcast(cell_levels(docs, words))
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
 
     def make():
-        late = np.unpackbits(crowded.value).astype(bool)
+        level = shared.value
 
         def step(row):
             own = shingle_set(row[1], words)
@@ -100,70 +111,80 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
             if not n:
                 return [(row[0], None, 0, None, None)]
             first = n - -(-percent * n // 100) + 1
-            last = late[(own >> shift).astype(np.int64)]
-            order = own[~last][:first]
-            if len(order) < first:
-                order = np.concatenate((order, own[last][: first - len(order)]))
-            counts = np.bincount((own & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
-            return [(row[0], set_node(own), n, counts.tobytes(), order.astype(np.int64))]
+            order = own[np.lexsort((own, level[(own >> shift).astype(np.int64)]))[:first]]
+            counts = np.bincount((own & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+            return [(row[0], set_node(own), n, packed(counts), order.astype(np.int64))]
 
         return step
 
     return map_rows(docs.select("doc_id", text_bytes()), "doc_id long, node long, n int, counts binary, prefix array<long>", make)
 
 
-def set_node(own: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+def packed(counts: np.ndarray) -> bytes:
+    """Counts in two bytes each, or four if they need it."""
+    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
 
 
-def bitmap(ids: DataFrame, slots: int = SLOTS) -> np.ndarray:
-    """Bits of the hash slots of a column of node ids; at most ``slots`` / 8 bytes come back."""
-    slot = ids.select(F.pmod(F.col(ids.columns[0]), F.lit(slots)).alias("slot"))
-    parts = slot.groupBy(F.floor(F.col("slot") / 32_768).alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % 32_768).alias("bits"))
-    out = np.zeros(slots // 8, np.uint8)
-    for row in parts.toLocalIterator():
-        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out
+def unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(counts, "<u2" if len(counts) == 2 * GROUPS else "<u4").astype(np.int64)
+
+
+def set_node(own: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, own (packed shingle hashes) for at least the given nodes, once each."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes))
+    """node, own (packed shingle hashes) for at least the given nodes (node, rep).
+
+    Texts are read of those doc_ids only that are some node's smallest, but for chance
+    hits and repeated ids.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(slot_bitmap(nodes.select(F.coalesce("rep", F.lit(-1))), SLOTS))
 
     def make():
         bits = shared.value
 
         def step(row):
-            own = shingle_set(row[0], words)
-            if not len(own):
+            if not has_slot(bits, -1 if row[0] is None else row[0]):
                 return []
-            node = set_node(own)
-            slot = node % SLOTS
-            return [(node, own.tobytes())] if bits[slot >> 3] >> (slot & 7) & 1 else []
+            own = shingle_set(row[1], words)
+            return [(set_node(own), own.tobytes())] if len(own) else []
 
         return step
 
-    made = map_rows(docs.select(text_bytes()), "node long, own binary", make)
-    return made.dropDuplicates(["node"])
-
+    return map_rows(docs.select("doc_id", text_bytes()), "node long, own binary", make)
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of nodes those that link."""
-    pairs = stable(docs.sparkSession, pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stable(docs.sparkSession, full_sets(docs, nodes, words))
 
-    def make():
-        def step(row):
-            a, b = np.frombuffer(row[2], np.uint64), np.frombuffer(row[3], np.uint64)
-            common = len(a) + len(b) - len(np.union1d(a, b))
-            return [(row[0], row[1])] if 100 * common >= percent * (len(a) + len(b) - common) else []
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of pairs (a, b) of nodes those that link. nodes: node, rep and more of all nodes."""
+    spark = docs.sparkSession
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    # each a meets its b's in parts of about 256, each of which gets a copy of a's set
+    parts = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / 256).cast("int"))
+    dealt = join_groups(pairs, parts, ["a"], "n", max(1, pairs.count())).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
+    left = parts.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"))
+    wanted = stable(spark, left.unionByName(dealt.select(F.col("b").alias("node"), "a", "part", "b")))
+    sets = full_sets(docs, wanted.select("node").distinct().join(nodes.select("node", "rep"), "node"), words)
 
-        return step
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, one = None, None
+        for batch in batches:
+            out = []
+            for a, b, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                other = np.frombuffer(own.as_py(), np.uint64)
+                if b is None:
+                    held, one = a, other
+                    continue
+                assert held == a
+                common = len(one) + len(other) - len(np.union1d(one, other))
+                if 100 * common >= percent * (len(one) + len(other) - common):
+                    out.append((a, b))
+            if out:
+                yield to_batch(out, schema)
 
-    one, two = sets.select(F.col("node").alias("a"), F.col("own").alias("own_a")), sets.select(F.col("node").alias("b"), F.col("own").alias("own_b"))
-    met = pairs.join(one, "a").join(two, "b").select("a", "b", "own_a", "own_b")
-    return stable(docs.sparkSession, map_rows(met, "a long, b long", make))
+    met = sets.join(wanted, "node").select("a", "part", "b", "own")
+    met = met.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return stable(spark, met.mapInArrow(run, "a long, b long").distinct())
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +192,7 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
     def make():
         def step(row):
-            a, b = np.frombuffer(row[2], "<u4"), np.frombuffer(row[3], "<u4")
+            a, b = unpacked(row[2]), unpacked(row[3])
             need = least_common(int(a.sum()), int(b.sum()), percent)
             return [(row[0], row[1])] if np.minimum(a, b).sum() >= need else []
 
@@ -181,97 +202,135 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     return map_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "ca", "cb"), "a long, b long", make)
 
 
-def leaves(rows: DataFrame, percent: int) -> DataFrame:
+MEMBER = np.dtype([("node", "<i8"), ("comp", "<i8"), ("n", "<i8"), ("counts", "<i4", GROUPS)])
+
+
+def point_pairs(a: np.ndarray, b: np.ndarray, own: bool, percent: int, most: int | None) -> Iterator[tuple[int, int, int]]:
+    """Pairs of members of two leaves (or of one with itself) that sizes and points allow,
+    with their bounds.
+
+    most: how many for each member, greatest bounds first.
+    """
+    for k in range(len(a)):
+        one, rest = a[k], b[k + 1 :] if own else b
+        rest = rest[(rest["comp"] != one["comp"]) & (rest["n"] * 100 >= one["n"] * percent) & (one["n"] * 100 >= rest["n"] * percent)]
+        if not len(rest):
+            continue
+        bound = np.minimum(rest["counts"], one["counts"]).sum(1)
+        good = np.flatnonzero(bound >= least_common(one["n"], rest["n"], percent))
+        if most is not None and len(good) > most:
+            good = good[np.argsort(-bound[good], kind="stable")[:most]]
+        for node, value in zip(rest["node"][good].tolist(), bound[good].tolist(), strict=True):
+            yield (min(int(one["node"]), node), max(int(one["node"]), node), int(value))
+
+
+def leaves(rows: DataFrame, percent: int, most: int | None) -> DataFrame:
     """Packs rows (token, n, node, comp, counts), sorted by token and n, into leaves.
 
-    A leaf never spans two tokens. Rows whose size has no match beside them in the cell
-    were dropped before.
+    A cell that one leaf holds is joined with itself at once and gives (a, b, bound, token). The
+    leaves of other cells, and of those that may go on in another task, come as records.
     """
-    schema = pa.schema([("token", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("first", pa.int64()), ("comp", pa.int64()), ("box", pa.binary()), ("members", pa.binary())])
-    kind = np.dtype([("node", "<i8"), ("comp", "<i8"), ("n", "<i4"), ("counts", "<u4", GROUPS)])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bound", pa.int64()), ("token", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("leaf", pa.int64()), ("comp", pa.int64()), ("box", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, held, out = None, [], []
-
-        def leaf():
-            block = np.zeros(len(held), kind)
-            for k, (_, n, node, comp, counts) in enumerate(held):
-                block[k] = (node, comp, n, np.frombuffer(counts, "<u4"))
-            comps = np.unique(block["comp"])
-            out.append((token, int(block["n"].min()), int(block["n"].max()), int(block["node"][0]), int(comps[0]) if len(comps) == 1 else None, block["counts"].max(0).tobytes(), block.tobytes()))
+        cell: list[tuple] = []
+        out: list[tuple] = []
+        state = {"first": True, "split": False}
+
+        def close(last: bool) -> None:
+            """``last``: no more rows of this token here."""
+            block = np.zeros(len(cell), MEMBER)
+            for k, (_, n, node, comp, counts) in enumerate(cell):
+                block[k] = (node, comp, n, unpacked(counts))
+            if last and not state["split"]:
+                out.extend((*pair, cell[0][0], None, None, None, None, None, None) for pair in point_pairs(block, block, True, percent, most))
+            else:
+                comps = np.unique(block["comp"])
+                lone = int(comps[0]) if len(comps) == 1 else None
+                out.append((None, None, None, cell[0][0], int(block["n"].min()), int(block["n"].max()), int(block["node"][0]), lone, block["counts"].max(0).tobytes(), block.tobytes()))
+            cell.clear()
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and (row[0] != token or len(held) >= LEAF):
-                    leaf()
-                    held = []
-                token = row[0]
-                held.append(row)
-            if len(out) >= 500:
+                if cell and row[0] != cell[0][0]:
+                    state["split"] |= state["first"]  # the first token may have begun in another task
+                    close(True)
+                    state.update(first=False, split=False)
+                elif len(cell) >= LEAF:
+                    state["split"] = True
+                    close(False)
+                cell.append(row)
+            if out:
                 yield to_batch(out, schema)
-                out = []
-        if held:
-            leaf()
+                out.clear()
+        if cell:
+            state["split"] = True  # the last token may go on in another task
+            close(True)
         if out:
             yield to_batch(out, schema)
 
-    return rows.mapInArrow(run, "token long, low int, high int, first long, comp long, box binary, members binary")
+    return rows.mapInArrow(run, "a long, b long, bound long, token long, low long, high long, leaf long, comp long, box binary, members binary")
 
 
-def tree_pairs(cells: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that the boxes and points allow."""
-    kind = np.dtype([("node", "<i8"), ("comp", "<i8"), ("n", "<i4"), ("counts", "<u4", GROUPS)])
-    left = cells.select("token", *(F.col(c).alias(f"{c}_a") for c in ("low", "high", "first", "comp", "box", "members")))
-    right = cells.select("token", *(F.col(c).alias(f"{c}_b") for c in ("low", "high", "first", "comp", "box", "members")))
-    order = (F.col("low_a") < F.col("low_b")) | (F.col("low_a") == F.col("low_b")) & ((F.col("high_a") < F.col("high_b")) | (F.col("high_a") == F.col("high_b")) & (F.col("first_a") <= F.col("first_b")))
-    near = F.col("high_a").cast("long") * 100 >= F.col("low_b").cast("long") * percent
+def tree_pairs(tree: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Pairs (a, b, bound, token) of different components that the boxes and points allow."""
+    columns = ("low", "high", "leaf", "comp", "box", "members")
+    cells = tree.where("members is not null")
+    left = cells.select("token", *(F.col(c).alias(f"{c}_a") for c in columns))
+    right = cells.select("token", *(F.col(c).alias(f"{c}_b") for c in columns))
+    order = F.struct("low_a", "high_a", "leaf_a") <= F.struct("low_b", "high_b", "leaf_b")
+    near = F.col("high_a") * 100 >= F.col("low_b") * percent
     mixed = F.coalesce(F.col("comp_a") != F.col("comp_b"), F.lit(True))
-    met = left.join(right, "token").where(order & near & mixed).select("box_a", "low_a", "members_a", "box_b", "low_b", "members_b")
+    met = left.join(right, "token").where(order & near & mixed).select("token", "box_a", "low_a", "members_a", "box_b", "low_b", "members_b")
 
     def make():
         def step(row):
-            box_a, low_a, members_a, box_b, low_b, members_b = row
-            if np.minimum(np.frombuffer(box_a, "<u4"), np.frombuffer(box_b, "<u4")).sum() < least_common(low_a, low_b, percent):
-                return
-            a, b = np.frombuffer(members_a, kind), np.frombuffer(members_b, kind)
-            own = members_a == members_b
-            for k in range(len(a)):
-                rest = b[k + 1 :] if own else b
-                if not len(rest):
-                    continue
-                rest = rest[(rest["comp"] != a["comp"][k]) & (rest["n"].astype(np.int64) * 100 >= int(a["n"][k]) * percent) & (int(a["n"][k]) * 100 >= rest["n"].astype(np.int64) * percent)]
-                if len(rest):
-                    bound = np.minimum(rest["counts"], a["counts"][k]).sum(1)
-                    for node in rest["node"][bound >= least_common(int(a["n"][k]), rest["n"].astype(np.int64), percent)]:
-                        yield (min(int(a["node"][k]), int(node)), max(int(a["node"][k]), int(node)))
+            token, box_a, low_a, members_a, box_b, low_b, members_b = row
+            if np.minimum(np.frombuffer(box_a, "<i4"), np.frombuffer(box_b, "<i4")).sum() < least_common(low_a, low_b, percent):
+                return ()
+            return ((*pair, token) for pair in point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), members_a == members_b, percent, most))
 
         return step
 
-    return map_rows(met, "a long, b long", make).distinct()
+    inner = tree.where("members is null").select("a", "b", "bound", "token")
+    return inner.unionByName(map_rows(met, "a long, b long, bound long, token long", make))
 
 
 def size_matched(rows: DataFrame, percent: int) -> DataFrame:
     """Of rows (token, n, node, comp), sorted so, those with a size match next to them.
 
-    The first and last row of a task always stay, since their neighbours are elsewhere.
+    The first and last row of a batch always stay, since their neighbours are elsewhere.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             token, n = (batch.column(k).to_numpy().astype(np.int64) for k in (0, 1))
             pair = (token[1:] == token[:-1]) & (n[:-1] * 100 >= n[1:] * percent)
             keep = np.concatenate(([True], pair)) | np.concatenate((pair, [True]))
-            # the border between two batches is open: both sides stay
             yield batch.filter(pa.array(keep))
-            before = batch
-        del before
 
     return rows.mapInArrow(run, rows.schema)
 
 
+def open_rows(live: DataFrame, comp: DataFrame, total: int, percent: int) -> DataFrame:
+    """Rows (token, n, node, comp) of the cells whose members are in several components."""
+    spark = live.sparkSession
+    placed = stable(spark, live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    mixed = placed.groupBy("token").agg(F.count("*").alias("members"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high").select("token", "members")
+    open_ = join_groups(placed, mixed, ["token"], "members", total).where(F.col("members").isNotNull()).select("token", "n", "node", "comp")
+    order = ("token", "n", "node")
+    return stable(spark, size_matched(open_.repartitionByRange(*order).sortWithinPartitions(*order), percent))
+
+
+def open_tree(rows: DataFrame, points: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """Leaves of these rows."""
+    order = ("token", "n", "node")
+    with_points = rows.join(points, "node").select("token", "n", "node", "comp", "counts")
+    return stable(rows.sparkSession, leaves(with_points.repartitionByRange(*order).sortWithinPartitions(*order), percent, most))
+
+
 def link_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; see the module text."""
     spark = docs.sparkSession
@@ -280,26 +339,39 @@ def link_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
     nodes = stable(spark, groups)
     points = nodes.select("node", "counts")
 
+    total = max(1, nodes.count())
     tokens = nodes.select(F.explode("prefix").alias("token"), "node", "n")
-    cells = tokens.groupBy("token").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
-    live = join_groups(tokens, cells, ["token"], "members", max(1, nodes.count())).where(F.col("hub").isNotNull()).select("token", "node", "n", "hub")
+    cells = tokens.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
+    live = join_groups(tokens, cells, ["token"], "members", total).where(F.col("members").isNotNull()).select("token", "node", "n", "members")
     live = stable(spark, live)
-    hubs = live.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(bounded(hubs, points, percent), docs, words, percent)
-    first = connected_components(links)
-
-    placed = live.select("token", "node", "n").join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = stable(spark, placed)
-    mixed = placed.groupBy("token").agg(F.count("*").alias("members"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high").select("token", "members")
-    open_ = join_groups(placed, mixed, ["token"], "members", max(1, nodes.count())).where(F.col("members").isNotNull()).select("token", "n", "node", "comp")
-    sorted_ = open_.repartitionByRange("token", "n", "node").sortWithinPartitions("token", "n", "node")
-    matched = size_matched(sorted_, percent)
-    with_points = matched.join(points, "node").select("token", "n", "node", "comp", "counts").repartitionByRange("token", "n", "node").sortWithinPartitions("token", "n", "node")
-    tree = stable(spark, leaves(with_points, percent))
-    more = verified(tree_pairs(tree, percent), docs, words, percent)
-    final = connected_components(links.unionByName(more))
-
-    known = nodes.select("node", "rep", "copies").join(final, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    release(spark)
+    degree = live.groupBy("node").agg(F.sum("members").alias("degree"))
+    ranked = live.join(degree, "node")
+    best = ranked.groupBy("token").agg(F.max(F.struct("degree", "node")).alias("best"), F.count("*").alias("n_rows")).select("token", F.col("best.node").alias("hub"), "n_rows")
+    met = join_groups(live, best, ["token"], "n_rows", total).where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("times"))
+    hubs = met.groupBy("node").agg(F.max(F.struct("times", "hub")).alias("best")).select(F.col("best.hub").alias("a"), F.col("node").alias("b"))
+    links = verified(stable(spark, bounded(hubs, points, percent)), nodes, docs, words, percent)
+    comp = connected_components(links)
+    release(spark)
+
+    live = live.select("token", "node", "n")
+    for most in TRIES:
+        rows = open_rows(live, comp, total, percent)
+        found = stable(spark, tree_pairs(open_tree(rows, points, percent, most), percent, most))
+        # components only grow, so a cell without a pair now will never have one
+        live = rows.join(found.select("token").distinct(), "token", "left_semi").select("token", "node", "n")
+        pairs = found.select("a", "b", "bound").distinct()
+        if most is not None:
+            best = [F.row_number().over(Window.partitionBy(x).orderBy(F.desc("bound"), y)) <= most for x, y in (("a", "b"), ("b", "a"))]
+            pairs = pairs.withColumn("_a", best[0]).withColumn("_b", best[1]).where("_a or _b")
+        tried = stable(spark, pairs.select("a", "b"))
+        if tried.isEmpty():
+            break
+        links = stable(spark, links.unionByName(verified(tried, nodes, docs, words, percent)))
+        comp = connected_components(links)
+        release(spark)
+
+    known = nodes.select("node", "rep", "copies").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     known = stable(spark, known)
     least = known.groupBy("comp").agg(F.min("rep").alias("component_id"), F.count("*").alias("members"))
     named = join_groups(known, least, ["comp"], "members", max(1, nodes.count())).select("node", "component_id", "copies")
