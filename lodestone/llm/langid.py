@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm.common import map_rows, mix64, text_bytes
 
-BITS, CLUSTERS, PER_LANGUAGE, MOST, REJECT, SEED = 13, 4, 1_000, 8_000, 0.002, 29
+BITS, CLUSTERS, PER_LANGUAGE, MOST, REJECT, PARTS, SEED = 13, 4, 1_000, 8_000, 0.002, 64, 29
 _PIECE = 1 << 19
 _ALPHA: list[np.ndarray] = []
 
@@ -106,6 +106,9 @@ def fit(rows: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST, clu
 
     order = F.xxhash64(F.col("doc_id"), F.lit(seed))
     known = rows.where((F.col("lang") != "") & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("lang").cast("string"), order.alias("_order"))
+    # in two levels, so that a language's one task sees PARTS times its sample at most
+    by_part = Window.partitionBy("lang", F.pmod("_order", F.lit(PARTS))).orderBy("_order", "doc_id")
+    known = known.withColumn("_n", F.row_number().over(by_part)).where(F.col("_n") <= per_language)
     first = Window.partitionBy("lang").orderBy("_order", "doc_id")
     chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).orderBy("_n", "lang").limit(most).select("doc_id", F.col("lang").alias("_lang"))
     texts = rows.select("doc_id", text_bytes()).join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
