@@ -182,8 +182,7 @@ def release(spark: SparkSession) -> None:
     later, so only a second round reaches all of them.
     """
     for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        collect_garbage(spark)
         time.sleep(0.4)
 
 
@@ -199,9 +198,16 @@ def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
         atexit.register(_drop_tables)
     _TABLES[path] = spark
     df.write.option("compression", "zstd").parquet(path)
+    collect_garbage(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Drops the plans of written tables: long pipelines would else fill the driver's heap."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _drop_tables() -> None:
     for path, spark in _TABLES.items():
         with contextlib.suppress(Exception):  # the session may have gone before
