@@ -5,14 +5,16 @@ with a space before it: characters per token of a byte-level BPE and of a
 sentence-piece BPE, byte-fallback share of the latter, and the entropy of the byte-level
 tokens in bits. Basic rules on words and lines come first. Then a text is rejected if
 
-* a measure leaves the fixed bands of its script (`BANDS`, the script of most words), or
-* its characters per token lie too far from what its language (or, without one, its
-  script) usually has: the corpus gives each language's median and the spread of the
-  deviations, which shrink with the root of a text's tokens; `BELOW` and `ABOVE` say how
-  many spreads are tolerated. Languages with fewer than `LEAST` texts have fixed bands only.
+* its fallback share or entropy leaves the fixed bands of its script (`BANDS`, the script
+  of most words), or
+* its characters per token lie too far from what its language usually has: the corpus
+  gives each language's median and the spread of the deviations, which shrink with the
+  root of a text's tokens; `BELOW` and `ABOVE` say how many spreads are tolerated. A
+  language with fewer than `LEAST` texts or without spread, and a text without one, is
+  held against all texts of its script, and only if these are as few against `BANDS`.
 
-The corpus figures cover every text that passes the basic rules. They are medians by
-language, so partial aggregation carries them, and one row per language comes back.
+The corpus figures cover every text that passes the basic rules and the first bands. They
+are medians, so partial aggregation carries them: one row a language and one a script.
 
 Defined results: null or empty text has zero counts and null measures, and fails the
 basic rules; repeated rows give repeated rows; extra columns are ignored; an empty
@@ -42,7 +44,8 @@ BANDS = {
     "HIRAGANA": {"byte_cpt": (0.25, 4.0), "piece_cpt": (0.3, 4.0), "fallback": 1.0, "entropy": 0.35},
     "OTHER": {"byte_cpt": (0.1, 12.0), "piece_cpt": (0.1, 12.0), "fallback": 1.0, "entropy": 0.3},
 }
-BELOW, ABOVE, LEAST = 5.0, 8.0, 30
+BELOW, ABOVE, LEAST = 3.25, 6.0, 30
+CPT = ("byte_cpt", "piece_cpt")
 COUNTS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 MEASURES = "script string, n_tokens long, byte_cpt double, piece_cpt double, fallback_share double, entropy double, reason string"
 
@@ -153,7 +156,8 @@ def base_counts(text: bytes) -> tuple[list[bytes], np.ndarray, tuple[int, int, i
 
 
 def measure(text: bytes, measures: WordMeasures, bands: dict, min_tokens: int) -> tuple:
-    """Counts, measures and what the basic rules or the fixed bands find wrong."""
+    """Counts, measures and what the basic rules or the fixed bands find wrong, the bands
+    of characters per token last: they count only where the corpus gives none."""
     distinct, order, counts = base_counts(text)
     n_words, repeats = counts[0], counts[4]
     base_failed = n_words < 10 or 100 * repeats > 20 * n_words
@@ -177,14 +181,14 @@ def measure(text: bytes, measures: WordMeasures, bands: dict, min_tokens: int) -
     band, reason = bands[script], None
     if base_failed:
         reason = "base"
-    elif not band["byte_cpt"][0] <= byte_cpt <= band["byte_cpt"][1]:
-        reason = "byte_cpt"
-    elif not band["piece_cpt"][0] <= piece_cpt <= band["piece_cpt"][1]:
-        reason = "piece_cpt"
     elif fallback_share > band["fallback"]:
         reason = "fallback"
     elif tokens >= min_tokens and entropy < band["entropy"] * min(math.log2(tokens), 9.0):
         reason = "entropy"
+    elif not band["byte_cpt"][0] <= byte_cpt <= band["byte_cpt"][1]:
+        reason = "byte_cpt"
+    elif not band["piece_cpt"][0] <= piece_cpt <= band["piece_cpt"][1]:
+        reason = "piece_cpt"
     return (*counts, base_failed, script, tokens, byte_cpt, piece_cpt, fallback_share, entropy, reason)
 
 
@@ -198,27 +202,41 @@ def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern:
 
     read = docs.select("doc_id", text_bytes(), F.col("lang").cast("string"), F.xxhash64("text"))
     measured = stable(docs.sparkSession, map_rows(read, f"{COUNTS}, {MEASURES}, lang string, text_hash long", make))
-    measured = measured.withColumn("band", F.coalesce("lang", F.concat(F.lit("script "), F.col("script")), F.lit("none")))
-    good = measured.where(F.col("reason").isNull())
-    root = F.sqrt("n_tokens")
-    middle = good.groupBy("band").agg(F.count("*").alias("n"), *(F.percentile_approx(c, F.lit(0.5), F.lit(10_000)).alias(f"{c}_mid") for c in ("byte_cpt", "piece_cpt")))
     total = measured.count()
-    placed = join_groups(measured, middle, ["band"], "n", total)
-    off = {c: (F.col(c) - F.col(f"{c}_mid")) * root for c in ("byte_cpt", "piece_cpt")}
-    spread = (
-        placed.where(F.col("reason").isNull())
-        .groupBy("band")
-        .agg(F.count("*").alias("n_texts"), *((F.percentile_approx(F.abs(v), F.lit(0.5), F.lit(10_000)) * 1.4826).alias(f"{c}_spread") for c, v in off.items()))
-    )
-    judged = join_groups(placed, spread, ["band"], "n_texts", total)
-    far = F.lit(False)
-    for c, v in off.items():
-        far = far | (v < -BELOW * F.col(f"{c}_spread")) | (v > ABOVE * F.col(f"{c}_spread"))
-    reason = F.when(F.col("reason").isNull() & (F.col("n_texts") >= LEAST) & F.coalesce(far, F.lit(False)), F.lit("corpus band")).otherwise(F.col("reason"))
+    judged = with_band(with_band(measured, "lang", total, 0.5, 1.4826), "script", total, 0.9, 0.6080)
+    far = F.when(F.col("lang_far").isNotNull(), F.col("lang_far")).otherwise(F.col("script_far"))
+    judgement = F.when(far, F.lit("corpus band")).when(far.isNull(), F.col("reason"))
+    reason = F.when(left_open(), judgement).otherwise(F.col("reason"))
     columns = [x.split(" ")[0] for x in f"{COUNTS}, {MEASURES}".split(", ")]
     return judged.withColumn("reason", reason).select(*columns, F.col("reason").isNull().alias("kept"), "text_hash")
 
 
+def with_band(measured: DataFrame, key: str, total: int, part: float, scale: float) -> DataFrame:
+    """Adds ``<key>_far``: whether the characters per token lie too far from those of the
+    texts with the same ``key``; null if these give no band. The spread is ``scale`` times
+    the quantile ``part`` of the deviations: a high one where a key mixes languages."""
+    good = measured.where(left_open() & F.col(key).isNotNull())
+    middle = good.groupBy(key).agg(F.count("*").alias("_n"), *(quantile(c, 0.5).alias(f"_{c}_mid") for c in CPT))
+    placed = join_groups(measured, middle, [key], "_n", total)
+    off = {c: (F.col(c) - F.col(f"_{c}_mid")) * F.sqrt("n_tokens") for c in CPT}
+    spread = placed.where(left_open() & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_texts"), *((quantile(F.abs(v), part) * scale).alias(f"_{c}_spread") for c, v in off.items()))
+    judged = join_groups(placed, spread, [key], "_texts", total)
+    far, known = F.lit(False), F.col("_texts") >= LEAST
+    for c, v in off.items():
+        width = F.col(f"_{c}_spread")
+        far, known = far | (v < -BELOW * width) | (v > ABOVE * width), known & (width > 0)
+    return judged.select(*measured.columns, F.when(known, far).alias(f"{key}_far"))
+
+
+def left_open():
+    """Rows that the corpus bands judge: nothing else is wrong with them."""
+    return F.col("reason").isNull() | F.col("reason").isin(*CPT)
+
+
+def quantile(value, part: float):
+    return F.percentile_approx(value, F.lit(part), F.lit(10_000))
+
+
 def keep_fertile(docs: DataFrame, *paths: str, **options) -> DataFrame:
     """The rows of ``docs`` that pass, found again by doc_id and text."""
     report = fertility_report(docs, *paths, **options)

@@ -78,3 +78,18 @@ def test_report(docs, prose):
     left = fertility.keep_fertile(docs(all_), *PATHS)
     assert sorted(r.doc_id for r in left.collect()) == sorted(r.doc_id for r in out if r.kept)
     assert fertility.fertility_report(docs([]), *PATHS).collect() == []
+
+
+ES = "ciónñ ñmií ezllie rezrr osñez rrgañ cionñí ñezll íñco queñu ciónll rrje ñóte llñad bñez asñó rrñi ezñque óiez írrñ".split()
+
+
+def test_bands_come_from_the_language(docs, prose):
+    """Clean texts of a language below the fixed floor stay, short junk of another one goes."""
+    r = np.random.default_rng(1)
+    rows = [(k, " ".join(r.choice(ES, 90)), lang) for k, lang in enumerate(["es"] * 60 + ["small", None])]
+    clean = [(100 + k, prose(120, k), "xx") for k in range(60)]
+    junk = [(200 + k, " ".join(w + " |" for w in prose(80, k).split()), "xx") for k in range(5)]
+    out = {r.doc_id: r for r in fertility.fertility_report(docs(rows + clean + junk), *PATHS).collect()}
+    assert max(out[k].byte_cpt for k in range(62)) < fertility.BANDS["LATIN"]["byte_cpt"][0]
+    assert sum(out[k].kept for k in range(60)) >= 58 and out[60].kept and out[61].kept
+    assert not any(out[k].kept for k in range(200, 205))
