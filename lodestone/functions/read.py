@@ -99,6 +99,7 @@ def capped(value: Column, limit: int, what: str = "value") -> Column:
     return F.when(F.octet_length(value) > limit, F.raise_error(F.concat(F.lit(f"{what} of "), F.octet_length(value).cast("string"), F.lit(f" bytes is beyond the limit of {limit}")))).otherwise(value)
 
 
-def fixed_binary(value: Column, length: int) -> Column:
+def fixed_binary(value: Column, length: int | Column) -> Column:
+    """The bytes, or an error if they are not ``length``; a column has a length a row."""
     bad = F.octet_length(value) != length
     return F.when(bad, F.raise_error(F.concat(F.lit(f"expected {length} bytes, got "), F.octet_length(value).cast("string"))).cast("binary")).otherwise(value)

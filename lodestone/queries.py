@@ -273,8 +273,14 @@ def binary_cap(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, hex(encode(substr(text, 1, 8))) AS raw FROM documents")
 def binary_rt(spark: SparkSession, d: str) -> DataFrame:
-    raw = F.substring("text", 1, 8).cast("binary")
-    return table(spark, d, "documents").select("doc_id", F.hex(read.fixed_binary(F.when(F.octet_length(raw) == 8, raw), 8)).alias("_f"), F.hex(raw).alias("raw")).drop("_f")
+    back = read.fixed_binary(F.col("text").cast("binary"), F.octet_length("text"))
+    return table(spark, d, "documents").select("doc_id", F.hex(F.substring(back.cast("string"), 1, 8).cast("binary")).alias("raw"))
+
+
+@query("SELECT doc_id, octet_length(encode(text)) AS size, md5(text) AS digest FROM documents")
+def binary_whole(spark: SparkSession, d: str) -> DataFrame:
+    back = read.fixed_binary(F.col("text").cast("binary"), F.octet_length("text"))
+    return table(spark, d, "documents").select("doc_id", F.octet_length(back).cast("long").alias("size"), F.md5(back).alias("digest"))
 
 
 WIDTHS = (0, 1, 8, 100, 8_192, 10_000, 1 << 20, 512 << 20)
