@@ -87,9 +87,12 @@ def exact_groups(docs: DataFrame, prefix_chars: int = 64, slots: int = SLOTS, di
 def keep_exact(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows are found again by doc_id; of rows with the same doc_id and text one stays.
+    Rows are found again by doc_id and digest, as neither nulls nor repeated ids tell a
+    row; of rows with the same doc_id and normalised text one stays.
     """
-    gone = exact_groups(docs, **options).groupBy("doc_id").agg(F.max("kept").alias("any")).where(~F.col("any")).select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti")
-    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    digest = F.unhex(F.sha2(F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _LOWER).cast("binary"), 256))
+    ranked = exact_groups(docs, **options).where(F.col("digest").isNotNull())
+    gone = ranked.groupBy(F.col("doc_id").alias("_gone"), F.col("digest").alias("_lost")).agg(F.max("kept").alias("_any")).where(~F.col("_any")).select("_gone", "_lost")
+    left = docs.withColumn("_digest", digest).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_digest") == F.col("_lost")), "left_anti")
+    once = Window.partitionBy("doc_id", "_digest").orderBy(F.xxhash64("text"))
     return left.withColumn("_copy", F.row_number().over(once)).where("_copy = 1").select(*docs.columns)

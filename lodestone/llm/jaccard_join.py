@@ -98,7 +98,7 @@ def cell_levels(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, node (null: empty set), n, counts, prefix per row."""
+    """doc_id, text_hash, node (null: empty set), n, counts, prefix per row."""
     shared = docs.sparkSession.sparkContext.broadcast(cell_levels(docs, words))
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
 
@@ -109,15 +109,15 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
             own = shingle_set(row[1], words)
             n = len(own)
             if not n:
-                return [(row[0], None, 0, None, None)]
+                return [(row[0], row[2], None, 0, None, None)]
             first = n - -(-percent * n // 100) + 1
             order = own[np.lexsort((own, level[(own >> shift).astype(np.int64)]))[:first]]
             counts = np.bincount((own & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-            return [(row[0], set_node(own), n, packed(counts), order.astype(np.int64))]
+            return [(row[0], row[2], set_node(own), n, packed(counts), order.astype(np.int64))]
 
         return step
 
-    return map_rows(docs.select("doc_id", text_bytes()), "doc_id long, node long, n int, counts binary, prefix array<long>", make)
+    return map_rows(docs.select("doc_id", text_bytes(), F.xxhash64("text")), "doc_id long, text_hash long, node long, n int, counts binary, prefix array<long>", make)
 
 
 def packed(counts: np.ndarray) -> bytes:
@@ -333,6 +333,11 @@ def open_tree(rows: DataFrame, points: DataFrame, percent: int, most: int | None
 
 def link_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; see the module text."""
+    return linked(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Adds text_hash and comp, the component's node (null: empty set)."""
     spark = docs.sparkSession
     made = stable(spark, signatures(docs, words, percent))
     groups = made.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("prefix").alias("prefix"))
@@ -374,14 +379,24 @@ def link_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataF
     known = nodes.select("node", "rep", "copies").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     known = stable(spark, known)
     least = known.groupBy("comp").agg(F.min("rep").alias("component_id"), F.count("*").alias("members"))
-    named = join_groups(known, least, ["comp"], "members", max(1, nodes.count())).select("node", "component_id", "copies")
-    filled = made.where(F.col("node").isNotNull()).select("doc_id", "node", "n")
-    out = join_groups(filled, named, ["node"], "copies", max(1, made.count())).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
-    empty = made.where(F.col("node").isNull()).select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = join_groups(known, least, ["comp"], "members", max(1, nodes.count())).select("node", "comp", "component_id", "copies")
+    filled = made.where(F.col("node").isNotNull()).select("doc_id", "text_hash", "node", "n")
+    out = join_groups(filled, named, ["node"], "copies", max(1, made.count())).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "text_hash", "comp")
+    empty = made.where(F.col("node").isNull()).select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("comp"))
     return out.unionByName(empty)
 
 
 def keep_one(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` but for those of a component with a smaller doc_id."""
-    gone = link_components(docs, words, percent).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs`` without those that lose to another of their component.
+
+    The smallest doc_id stays, a null one loses to any other, and the text hash settles
+    the rest. Rows are found again by doc_id and text; rows equal in both stand or fall
+    together.
+    """
+    rows = stable(docs.sparkSession, linked(docs, words, percent).where(F.col("comp").isNotNull()).select("doc_id", "text_hash", "comp"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = rows.groupBy("comp").agg(F.min(rank).alias("best"), F.count("*").alias("members"))
+    judged = join_groups(rows, best, ["comp"], "members", max(1, rows.count()))
+    lost = ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash")))
+    gone = judged.where(lost).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_lost")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_lost")), "left_anti")

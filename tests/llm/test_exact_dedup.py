@@ -59,3 +59,9 @@ def test_keep(docs):
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "c"), (2, "A"), (3, "b")]
     assert exact_dedup.exact_groups(docs([])).collect() == []
+
+
+def test_keep_with_null_and_repeated_ids(docs):
+    rows = [(5, "same"), (None, "Same"), (7, "other"), (7, "lost one"), (9, "LOST one"), (None, "c"), (None, "C")]
+    out = sorted((r.doc_id or 0, r.text.lower()) for r in exact_dedup.keep_exact(docs(rows)).collect())
+    assert out == [(0, "c"), (5, "same"), (7, "other"), (9, "lost one")]

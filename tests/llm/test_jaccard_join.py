@@ -107,3 +107,11 @@ def test_keep_one(docs, prose):
     base = prose(100, 1)
     rows = [(5, base), (3, "".join(c.upper() if c.isascii() else c for c in base)), (9, prose(50, 2)), (None, ""), (8, base + " x")]
     assert sorted(r.doc_id or 0 for r in jaccard_join.keep_one(docs(rows)).collect()) == [0, 3, 9]
+
+
+def test_keep_one_with_null_and_repeated_ids(docs, prose):
+    a, b, c = (prose(100, k) for k in (1, 2, 3))
+    rows = [(1, a), (7, a + " x"), (7, b), (None, a + " y"), (None, c), (None, c + " z")]
+    out = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs(rows)).collect()]
+    assert (1, a) in out and (7, b) in out and len(out) == 3
+    assert sum(r in ((None, c), (None, c + " z")) for r in out) == 1
