@@ -189,14 +189,20 @@ def release(spark: SparkSession) -> None:
 _TABLES: dict[str, SparkSession] = {}
 
 
-def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a compressed table in the shared folder, which goes when the
-    application ends. Unlike a checkpoint it has its own size statistics, which else
-    multiply from join to join through an iteration."""
+def scratch_path(spark: SparkSession) -> str:
+    """A new name in the shared folder; what is written there goes when the application ends."""
     path = f"{work_dir(spark)}/lodestone-{uuid.uuid4().hex}"
     if not _TABLES:
         atexit.register(_drop_tables)
     _TABLES[path] = spark
+    return path
+
+
+def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a compressed table in the shared folder, which goes when the
+    application ends. Unlike a checkpoint it has its own size statistics, which else
+    multiply from join to join through an iteration."""
+    path = scratch_path(spark)
     df.write.option("compression", "zstd").parquet(path)
     collect_garbage(spark)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,8 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from lodestone.llm.common import numbered, running_sum
+from lodestone.llm.common import numbered, release, running_sum, scratch_path, stable
 
 BUCKET_ROWS, BUCKET_BYTES, SEED = 4_096, 64 << 20, 71
 
@@ -31,7 +32,8 @@ def place(records: DataFrame, shards: int, weight: str, carry: list[str], seed:
 
     weight: a column of ``carry`` with a record's bytes in memory.
     """
-    rows = numbered(records.select(*carry), carry)
+    rows = stable(records.sparkSession, numbered(records.select(*carry), carry))  # the records' own shuffle runs once
+    release(records.sparkSession)
     total = rows.agg(F.count("*").alias("n"), F.sum(weight).alias("bytes")).first()
     if not total["n"]:
         return records.select(*carry, F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
@@ -49,15 +51,24 @@ def place(records: DataFrame, shards: int, weight: str, carry: list[str], seed:
 
 
 def shard_documents(docs: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document.
+
+    Whole documents are shuffled and written; all columns are taken from the written shards.
+    """
+    path = scratch_path(docs.sparkSession)
+    write_shards(docs, path, shards, seed)
+    fields = [f for f in docs.schema.fields if f.name in ("doc_id", "text")]
+    schema = StructType([*fields, StructField("slot", LongType()), StructField("shard", IntegerType())])
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    placed = place(rows.withColumn("memory", F.lit(48).cast("long")), shards, "memory", ["doc_id", "size", "text_crc32", "memory"], seed)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    size = (F.octet_length(text) + 16).cast("long").alias("size")
+    written = docs.sparkSession.read.schema(schema).parquet(path)
+    return written.select("doc_id", size, F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, seed: int = SEED) -> None:
-    """Writes whole documents in shuffled order, one folder a shard."""
-    weighed = docs.withColumn("_bytes", (F.coalesce(F.octet_length("text"), F.lit(0)) + 64).cast("long"))
-    placed = place(weighed, shards, "_bytes", weighed.columns, seed).drop("_bytes")
+    """Writes whole documents in shuffled order, one folder a shard; columns of ``docs``
+    named shard or slot give way to the document's own."""
+    record = F.struct(*(c for c in docs.columns if c not in ("shard", "slot"))).alias("record")
+    weighed = docs.select(record, (F.coalesce(F.octet_length("text"), F.lit(0)) + 64).cast("long").alias("_bytes"))
+    placed = place(weighed, shards, "_bytes", ["record", "_bytes"], seed).select("record.*", "shard", "slot")
     placed.repartitionByRange(shards, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -147,3 +147,10 @@ def test_mixed_texts(docs, prose):
         assert r.n_chars == len(r.text) and (len(words) < len(all_) or r.text == text[r.doc_id])
         assert not Counter(words) - Counter(all_)
     assert {k: v for k, v in taken.items() if v} == dict(got)
+
+
+def test_report_is_that_of_the_written_shards(spark, docs, tmp_path):
+    rows = docs([(k, f"text {k} " * (k % 50)) for k in range(300)])
+    sharding.write_shards(rows, str(tmp_path / "out"), 7)
+    back = {(r.doc_id, r.shard, r.slot) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert back == {(r.doc_id, r.shard, r.slot) for r in sharding.shard_documents(rows, 7).collect()}
