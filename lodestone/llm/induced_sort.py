@@ -11,8 +11,8 @@ tuples of the least (or greatest) character at once, and pushes the tuples of th
 suffixes one longer. A tuple is (position, common prefix with the tuple popped before
 it); the common prefix of pushed tuples is one more than the least over the tuples
 popped between them, so common-prefix values travel along with the induction. Queues
-hold at most `MEMORY` bytes and write the rest to an unlinked scratch file of the task,
-and a text beyond that is mapped from one.
+hold at most `MEMORY` bytes and write the rest to an unlinked scratch file of the task.
+The text itself is held in memory.
 
 Common prefixes are exact below ``cap`` and capped there; suffixes that agree on ``cap``
 characters may stand in any order, which no caller can see.
