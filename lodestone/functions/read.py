@@ -94,8 +94,10 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, SPACE, "")
 
 
-def capped(value: Column, limit: int, what: str = "value") -> Column:
-    """The value, or an error if it has more bytes than the limit; nothing is cut silently."""
+def capped(value: Column, limit: int, what: str = "value", or_null: bool = False) -> Column:
+    """The value, or an error (or null) if it has more bytes than the limit; nothing is cut silently."""
+    if or_null:
+        return F.when(F.octet_length(value) <= limit, value)
     return F.when(F.octet_length(value) > limit, F.raise_error(F.concat(F.lit(f"{what} of "), F.octet_length(value).cast("string"), F.lit(f" bytes is beyond the limit of {limit}")))).otherwise(value)
 
 

@@ -260,15 +260,15 @@ def trim_char(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, CAST(octet_length(encode(text)) AS integer) AS size FROM documents WHERE octet_length(encode(text)) <= 4096")
 def text_cap(spark: SparkSession, d: str) -> DataFrame:
-    fitting = table(spark, d, "documents").where(F.octet_length("text") <= 4096)
-    return fitting.select("doc_id", F.octet_length(read.capped(F.col("text"), 4096, "text")).alias("size"))
+    size = F.octet_length(read.capped(F.col("text"), 4096, "text", or_null=True))
+    return table(spark, d, "documents").select("doc_id", size.alias("size")).where("size is not null")
 
 
 @query("SELECT doc_id, CAST(octet_length(encode(text)) > 1024 AS integer) AS beyond FROM documents")
 def binary_cap(spark: SparkSession, d: str) -> DataFrame:
     raw = F.col("text").cast("binary")
-    within = F.octet_length(read.capped(F.when(F.octet_length(raw) <= 1024, raw), 1024, "binary"))
-    return table(spark, d, "documents").select("doc_id", within.isNull().cast("int").alias("beyond"))
+    beyond = read.capped(raw, 1024, "binary", or_null=True).isNull()
+    return table(spark, d, "documents").select("doc_id", F.when(raw.isNotNull(), beyond.cast("int")).alias("beyond"))
 
 
 @query("SELECT doc_id, hex(encode(substr(text, 1, 8))) AS raw FROM documents")
