@@ -6,16 +6,14 @@ separates on.
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import gc
-import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WHITESPACE = b" \t\n\v\f\r"
@@ -127,6 +125,45 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+#: Rows of a few numbers that a broadcast may have; with more the join is shuffled.
+BROADCAST_ROWS = 400_000
+
+
+def small(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for a broadcast if it has at most ``most`` rows (counted unless given);
+    else as it is, for a shuffled join."""
+    n = df.limit(most + 1).count() if rows is None else rows
+    return F.broadcast(df) if n <= most else df
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have, made of these."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def text_id(name: str = "text") -> tuple[Column, Column]:
+    """128 bits that tell texts apart, as two numbers; a null text has its own."""
+    return F.xxhash64(F.col(name)), F.xxhash64(F.lit(0x51_7C_C1B7), F.col(name))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` but those whose doc_id and text are among ``gone`` (doc_id, h1, h2).
+
+    Nulls match nulls; the columns of ``docs`` may have any names.
+    """
+    names = fresh(docs, "_gone_id", "_gone_h1", "_gone_h2")
+    keys = gone.select("doc_id", "h1", "h2").distinct().toDF(*names)
+    h1, h2 = text_id()
+    match = docs["doc_id"].eqNullSafe(F.col(names[0])) & (h1 == F.col(names[1])) & (h2 == F.col(names[2]))
+    return docs.join(small(keys, most=100_000), match, "left_anti")
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, share: int = 1000) -> DataFrame:
     """Left join of ``rows`` to one row per key of ``groups`` where a key may hold most rows.
 
@@ -155,10 +192,18 @@ def work_dir(spark: SparkSession) -> str:
     return conf or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
 
 
-def numbered(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows with a number among equal rows, from 0; equal rows are counted before the shuffle."""
-    counted = df.groupBy(*columns).agg(F.count("*").alias("_n"))
-    return counted.withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int")))).drop("_n")
+def numbered(df: DataFrame, columns: list[str], run: int = 4_096) -> DataFrame:
+    """Rows with a number among equal rows, ``copy`` from 0, and how many these are, ``copies``.
+
+    Equal rows are counted before the shuffle. Runs of ``run`` numbers are dealt out before they become rows, so a row that most of
+    the table repeats does not come back in one task.
+    """
+    counted = df.groupBy(*columns).agg(F.count("*").alias("copies"))
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / run))))
+    many = runs.where(F.col("copies") > run).repartition("_run", *columns)
+    first, last = F.col("_run") * run, F.least(F.col("copies"), (F.col("_run") + 1) * run) - 1
+    each = runs.where(F.col("copies") <= run).unionByName(many)
+    return each.withColumn("copy", F.explode(F.sequence(first, last))).withColumn("copy", F.col("copy").cast("int")).drop("_run")
 
 
 def running_sum(df: DataFrame, keys: list[str], order: str, value: str, name: str, chunk: int = 4096) -> DataFrame:
@@ -175,37 +220,71 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: str, name: st
     return inner.join(before, [*keys, "_part"]).withColumn(name, (F.col("_before") + F.col("_own")).cast("long")).drop("_part", "_before", "_own")
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files that no query needs any more.
-
-    The driver's Python lets go of its frames first; the JVM learns of that a moment
-    later, so only a second round reaches all of them.
-    """
-    for _ in range(2):
-        collect_garbage(spark)
-        time.sleep(0.4)
-
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_TABLES: dict[str, SparkSession] = {}
 
+class Scratch:
+    """Tables of one computation, in the shared folder.
 
-def scratch_path(spark: SparkSession) -> str:
-    """A new name in the shared folder; what is written there goes when the application ends."""
-    path = f"{work_dir(spark)}/lodestone-{uuid.uuid4().hex}"
-    if not _TABLES:
-        atexit.register(_drop_tables)
-    _TABLES[path] = spark
-    return path
-
+    ``table`` cuts the lineage: it writes a compressed table, deletes the shuffle files of
+    the query that made it and returns the table, which unlike a checkpoint has its own
+    size statistics. ``drop`` deletes tables that nothing reads any more; what is left
+    goes when the driver's JVM ends.
+    """
 
-def stable(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a compressed table in the shared folder, which goes when the
-    application ends. Unlike a checkpoint it has its own size statistics, which else
-    multiply from join to join through an iteration."""
-    path = scratch_path(spark)
-    df.write.option("compression", "zstd").parquet(path)
-    collect_garbage(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.written = spark, {}, 0
+
+    def path(self) -> str:
+        path = f"{work_dir(self.spark)}/lodestone-{uuid.uuid4().hex}"
+        fs, at = _file_system(self.spark, path)
+        fs.deleteOnExit(at)
+        return path
+
+    def table(self, df: DataFrame, drop: Iterable[DataFrame] = ()) -> DataFrame:
+        path = self.path()
+        with shuffle_files_dropped(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
+        self.drop(*drop)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        self.written += 1
+        if self.written % 8 == 0:
+            collect_garbage(self.spark)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            _, path = self.paths.pop(id(df), (None, None))
+            if path:
+                delete(self.spark, path)
+
+    def keep(self, *tables: DataFrame) -> None:
+        """Drops all tables but these."""
+        kept = {id(t) for t in tables}
+        self.drop(*(df for k, (df, _) in list(self.paths.items()) if k not in kept))
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
+    fs.cancelDeleteOnExit(at)
+
+
+@contextlib.contextmanager
+def shuffle_files_dropped(spark: SparkSession):
+    """Queries that run inside delete their shuffle files when they end."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def collect_garbage(spark: SparkSession) -> None:
@@ -214,28 +293,16 @@ def collect_garbage(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _drop_tables() -> None:
-    for path, spark in _TABLES.items():
-        with contextlib.suppress(Exception):  # the session may have gone before
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    _TABLES.clear()
-
-
-def slot_bitmap(values: DataFrame, slots: int) -> np.ndarray:
-    """Bits of the slots of a column of longs modulo ``slots``: ``slots`` / 8 bytes come
-    back whatever the input. For filters whose chance hits only cost work."""
-    slot = values.select(F.pmod(F.col(values.columns[0]), F.lit(slots)).alias("slot"))
-    parts = slot.groupBy(F.floor(F.col("slot") / 32_768).alias("part")).agg(F.bitmap_construct_agg(F.col("slot") % 32_768).alias("bits"))
-    out = np.zeros(slots // 8, np.uint8)
-    for row in parts.toLocalIterator():
-        out[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out
+_RESIDENT: dict[tuple, object] = {}
 
 
-def has_slot(bits: np.ndarray, value: int) -> bool:
-    slot = value % (len(bits) * 8)
-    return bool(bits[slot >> 3] >> (slot & 7) & 1)
+def resident(key: tuple, make: Callable):
+    """An object that a worker process keeps between tasks, until another key is asked for."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
 
 
 class TwoGenerations(dict):

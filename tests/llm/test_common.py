@@ -42,7 +42,12 @@ def test_running_sum(spark):
 
 def test_numbered(spark):
     df = common.numbered(spark.createDataFrame([(1, "a"), (1, "a"), (None, None), (1, "a"), (2, "a")], "k int, t string"), ["k", "t"])
-    assert sorted(((r.k or 0), r.copy) for r in df.collect()) == [(0, 0), (1, 0), (1, 1), (1, 2), (2, 0)]
+    assert sorted(((r.k or 0), r.copy, r.copies) for r in df.collect()) == [(0, 0, 1), (1, 0, 3), (1, 1, 3), (1, 2, 3), (2, 0, 1)]
+
+
+def test_numbered_in_runs(spark):
+    df = common.numbered(spark.createDataFrame([(k % 2,) for k in range(41)], "k int"), ["k"], run=6)
+    assert sorted((r.k, r.copy) for r in df.collect()) == [(k, n) for k, m in ((0, 21), (1, 20)) for n in range(m)]
 
 
 def test_join_groups_with_a_hot_key(spark):
@@ -55,12 +60,36 @@ def test_join_groups_with_a_hot_key(spark):
     assert all(r.top == r.id for r in out if r.k > 1)
 
 
-def test_slot_bitmap(spark):
-    ids = [-5, 0, 1, 7, 32_768, 99_999, -(1 << 63)]
-    bits = common.slot_bitmap(spark.createDataFrame([(i,) for i in ids], "v long"), 1 << 16)
-    slots = {i % (1 << 16) for i in ids}
-    assert int(np.unpackbits(bits).sum()) == len(slots)
-    assert all(common.has_slot(bits, i) for i in ids) and not common.has_slot(bits, 12_345)
+def test_scratch_tables_are_deleted(spark):
+    import os
+
+    scratch = common.Scratch(spark)
+    first = scratch.table(spark.range(10))
+    second = scratch.table(first.groupBy((F.col("id") % 3).alias("k")).count(), drop=[first])
+    paths = [p for _, p in scratch.paths.values()]
+    assert len(paths) == 1 and second.count() == 3 and os.path.exists(paths[0])
+    scratch.keep()
+    assert not os.path.exists(paths[0]) and spark.conf.get(common.CLEANUP) == "false"
+
+
+def test_fresh_names(spark):
+    df = spark.range(1).withColumn("_a", F.lit(1)).withColumn("__A", F.lit(1))
+    assert common.fresh(df, "_a", "b") == ["___a", "b"]
+
+
+def test_without_matches_nulls(spark):
+    df = spark.createDataFrame([(1, "a", 5), (None, "a", 5), (1, None, 5), (None, None, 5), (1, "a", 6)], "doc_id long, text string, h1 int")
+    h1, h2 = common.text_id()
+    keys = spark.createDataFrame([(None, "a"), (1, None)], "doc_id long, text string").select("doc_id", h1.alias("h1"), h2.alias("h2"))
+    left = common.without(df, keys)
+    assert left.columns == df.columns and sorted((r.doc_id or 0, r.text or "", r.h1) for r in left.collect()) == [(0, "", 5), (1, "a", 5), (1, "a", 6)]
+
+
+def test_resident_keeps_one():
+    made = []
+    for key in ("a", "a", "b", "a"):
+        assert common.resident((key,), lambda: made.append(key) or key) == key
+    assert made == ["a", "b", "a"]
 
 
 def test_cache_generations():
