@@ -1,34 +1,60 @@
-"""Connected components by contraction, as joins over the edges that are left."""
+"""Connected components by contraction, as joins over the links that are left.
+
+Defined results: links of a node with itself and repeated links change nothing; a null
+end makes no link; without links there are no rows; extra columns are ignored.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import stable
+from lodestone.llm.common import Scratch
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node, comp (the smallest node reachable) for the nodes of links (a, b).
 
     Each round points every node at its smallest neighbour, follows these pointers twice
     and maps the links through them; links inside a component vanish. The number of
     links at least halves along any path, so rounds grow with the log of the longest.
     """
-    spark = links.sparkSession
-    edges = stable(spark, links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    edges = scratch.table(ordered(links))
     comp = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("comp"))
+    known = scratch.table(comp)
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to"))
-        up = stable(spark, up.select(F.col("a").alias("from"), "to"))
+        to = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")).select(F.col("a").alias("from"), "to")
+        first = scratch.table(to)
+        up = first
         for _ in range(2):
-            again = up.select(F.col("from").alias("to"), F.col("to").alias("_next"))
+            again = first.select(F.col("from").alias("to"), F.col("to").alias("_next"))
             up = up.join(again, "to", "left").select("from", F.coalesce("_next", "to").alias("to"))
-        up = stable(spark, up)
-        comp = stable(spark, comp.join(up, F.col("comp") == F.col("from"), "left").select("node", F.coalesce("to", "comp").alias("comp")))
+        up = scratch.table(up, drop=[first])
         low = up.select(F.col("from").alias("a"), F.col("to").alias("_a"))
         high = up.select(F.col("from").alias("b"), F.col("to").alias("_b"))
-        mapped = edges.join(low, "a").join(high, "b").where("_a != _b")
-        edges = stable(spark, mapped.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
-    return comp
+        mapped = edges.join(low, "a").join(high, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+        edges = scratch.table(ordered(mapped), drop=[edges])
+        known = scratch.table(known.join(up, F.col("comp") == F.col("from"), "left").select("node", F.coalesce("to", "comp").alias("comp")), drop=[known, up])
+    scratch.drop(edges)
+    return known
+
+
+def ordered(links: DataFrame) -> DataFrame:
+    """Distinct links between two nodes, the smaller first."""
+    return links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def merged(comp: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``comp`` (node, comp) after further links (a, b); nodes that it lacks are their own.
+
+    Only the links between components are worked on. ``comp`` is dropped.
+    """
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    new = ends.join(comp, "node", "left_anti").select("node", F.col("node").alias("comp"))
+    every = scratch.table(comp.unionByName(new))
+    a, b = (every.select(F.col("node").alias(x), F.col("comp").alias(f"_{x}")) for x in "ab")
+    between = links.join(a, "a").join(b, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    found = connected_components(between, scratch)
+    up = found.select(F.col("node").alias("_from"), F.col("comp").alias("_to"))
+    return scratch.table(every.join(up, F.col("comp") == F.col("_from"), "left").select("node", F.coalesce("_to", "comp").alias("comp")), drop=[every, comp, found])

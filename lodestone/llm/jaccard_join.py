@@ -3,30 +3,34 @@
 A document is the set of its distinct word shingles. Two documents link when
 ``100 * common >= percent * union``; the result is each document's component.
 
-1. Equal sets become one node (grouped by a hash of the set).
-2. Routing. Linked sets share one of their first ``n - ceil(percent * n / 100) + 1``
-   shingles in any fixed order, so a node goes to one cell per such shingle. The order
-   is by frequency, then hash: a sketch over all documents counts shingles in `SKETCH`
-   hash cells, and the more its cell holds, the later a shingle comes. So a passage
-   or phrase that many documents share routes nothing unless a document consists of such.
+1. Equal sets become one node, grouped by 128 bits of the set's hash.
+2. Routing. The first common shingle of two linked sets, in any fixed order, has enough
+   shingles after it in both sets: ``room``, the shingles from it on, is at least the
+   number that the link needs. So a node goes to one cell for each of its first ``n -
+   ceil(percent * n / 100) + 1`` shingles. The order is by frequency, then hash: a sketch
+   over all documents counts shingles in `SKETCH` hash cells, and the more its cell holds,
+   the later a shingle comes. So a passage or phrase that many documents share routes
+   nothing unless a document consists of such. Cells of one node and cells of two nodes
+   without enough room are dropped at once: shingles travel packed, a blob a shard and batch,
+   and one that a batch has twice tells the shards so only once.
 3. Hubs. A cell's hub is the member that meets most others in all its cells. Every node is
    tried against the hub that it meets most often. This is linear and joins most of a
    group of near copies, however large, into one component.
-4. Tree. Cells that still hold nodes of several components are indexed: shingles are
-   hashed into `GROUPS` groups, a node's counts per group are a point, points of a cell
-   in order of size are packed into leaves of up to `LEAF`, and a leaf keeps its
-   bounding box. For boxes and for points the sum over the coordinates of the smaller
-   upper bound is at least the number of common shingles; what stays below the number
-   that a link needs is pruned, leaf pair first, then point pair, and so are pairs
-   that are joined already. Leaves are records, so a crowded cell is spread over tasks.
-5. Surviving pairs are verified on the full sets and links become components. This goes in
-   rounds (`TRIES`): first each node is tried with the partner of the greatest bound, then
-   with a few more, so the pairs of a round are linear in the nodes and components that
-   they join give no more; at last all pairs that still lie between two components.
-
-Whole sets are made again only for nodes in surviving pairs; these are told apart by a
-bitmap of `SLOTS` bits whose chance hits cost work and change nothing. Hashes of shingles
-and of sets have 64 bits.
+4. Cells of up to `SMALL` members that still lie in several components give their pairs
+   with enough room. Larger ones are indexed: shingles are hashed into `GROUPS` groups, a
+   node's counts per group are a point, points of a cell in order of component and size
+   are packed into leaves of up to `LEAF`, `FAN` of these into a node of the tree and so on, each
+   with its bounding box. The sum over the coordinates of the smaller upper bound is at
+   least the number of common shingles; pairs of boxes below what a link needs, or of one
+   component, are pruned from the roots down, before any member travels, then pairs of points.
+5. All pairs have to pass the bound of their points and are verified on the full sets;
+   links become components. This goes in rounds (`TRIES`): each node is first tried with
+   the partner of the greatest bound, then with a few more, so that the pairs of a round are
+   linear in the nodes and those that it joins give no more; at last all pairs that still
+   lie between two components.
+
+Texts of nodes with a cell are written once for the rounds. Hashes of shingles have 64
+bits; cells are told apart by 48, where chance hits cost work and change nothing.
 
 Defined results: null or empty texts and texts of white space have an empty set and are
 linked with nothing; with fewer words than a shingle has, the whole sequence is the only
@@ -37,18 +41,22 @@ component has no other); an empty table gives no rows; extra columns are ignored
 from __future__ import annotations
 
 import hashlib
+import tempfile
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import gram_hashes, has_slot, join_groups, map_rows, release, slot_bitmap, stable, text_bytes, to_batch, word_hashes
-from lodestone.llm.components import connected_components
+from lodestone.llm.common import BROADCAST_ROWS, Scratch, gram_hashes, join_groups, map_rows, text_bytes, text_id, to_batch, without, word_hashes
+from lodestone.llm.components import connected_components, merged
 
-SKETCH, GROUPS, LEAF, SLOTS, TRIES = 1 << 20, 128, 128, 1 << 24, (1, 8, None)
+SKETCH, GROUPS, SMALL, LEAF, FAN, TRIES = 1 << 20, 128, 64, 32, 64, (1, 8, None)
+#: Prefix shingles in a task's shard, in a batch of the sender, and in a pass over a shard.
+SHARD, BATCH, PASS = 400_000, 500_000, 4_000_000
 
 
 def shingle_set(text: bytes | None, words: int) -> np.ndarray:
@@ -57,8 +65,10 @@ def shingle_set(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(gram_hashes(each, min(words, len(each)))) if len(each) else each
 
 
-def least_common(a: np.ndarray | int, b: np.ndarray | int, percent: int):
+def least_common(a: np.ndarray | int | Column, b: np.ndarray | int | Column, percent: int):
     """Common shingles that sets of these sizes need for a link."""
+    if isinstance(a, Column):
+        return F.ceil((a + b).cast("long") * percent / (100 + percent))
     return -(-percent * (a + b) // (100 + percent))
 
 
@@ -98,7 +108,7 @@ def cell_levels(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, text_hash, node (null: empty set), n, counts, prefix per row."""
+    """doc_id, h1, h2, s1, s2 (of the set; null if empty), n, counts, prefix per row."""
     shared = docs.sparkSession.sparkContext.broadcast(cell_levels(docs, words))
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
 
@@ -109,69 +119,179 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
             own = shingle_set(row[1], words)
             n = len(own)
             if not n:
-                return [(row[0], row[2], None, 0, None, None)]
+                return [(row[0], row[2], row[3], None, None, 0, None, None)]
             first = n - -(-percent * n // 100) + 1
             order = own[np.lexsort((own, level[(own >> shift).astype(np.int64)]))[:first]]
             counts = np.bincount((own & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-            return [(row[0], row[2], set_node(own), n, packed(counts), order.astype(np.int64))]
+            s1, s2 = np.frombuffer(hashlib.blake2b(own.tobytes(), digest_size=16).digest(), "<i8").tolist()
+            return [(row[0], row[2], row[3], s1, s2, n, packed(counts), packed_prefix(order))]
 
         return step
 
-    return map_rows(docs.select("doc_id", text_bytes(), F.xxhash64("text")), "doc_id long, text_hash long, node long, n int, counts binary, prefix array<long>", make)
+    return map_rows(docs.select("doc_id", text_bytes(), *text_id()), "doc_id long, h1 long, h2 long, s1 long, s2 long, n int, counts binary, prefix binary", make)
 
 
 def packed(counts: np.ndarray) -> bytes:
-    """Counts in two bytes each, or four if they need it."""
-    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+    """Counts in one, two or four bytes each, as they need."""
+    top = counts.max()
+    return counts.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
 
 
 def unpacked(counts: bytes) -> np.ndarray:
-    return np.frombuffer(counts, "<u2" if len(counts) == 2 * GROUPS else "<u4").astype(np.int64)
+    return np.frombuffer(counts, {1: "u1", 2: "<u2", 4: "<u4"}[len(counts) // GROUPS]).astype(np.int64)
 
 
-def set_node(own: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+def packed_prefix(order: np.ndarray) -> bytes:
+    """The upper 48 bits of each shingle: four bytes each, then two each."""
+    token = order >> np.uint64(16)
+    return (token & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + (token >> np.uint64(32)).astype("<u2").tobytes()
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, own (packed shingle hashes) for at least the given nodes (node, rep).
+def unpacked_prefix(raw: bytes) -> np.ndarray:
+    n = len(raw) // 6
+    return np.frombuffer(raw, "<u4", n).astype(np.uint64) | np.frombuffer(raw, "<u2", n, 4 * n).astype(np.uint64) << np.uint64(32)
 
-    Texts are read of those doc_ids only that are some node's smallest, but for chance
-    hits and repeated ids.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(slot_bitmap(nodes.select(F.coalesce("rep", F.lit(-1))), SLOTS))
 
-    def make():
-        bits = shared.value
+#: A shingle of a node. at: its place, which a full value makes only more tolerant; more: others of its batch have it.
+ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("at", "<u2"), ("more", "u1")])
 
-        def step(row):
-            if not has_slot(bits, -1 if row[0] is None else row[0]):
-                return []
-            own = shingle_set(row[1], words)
-            return [(set_node(own), own.tobytes())] if len(own) else []
 
-        return step
+def packed_entries(rows: np.ndarray) -> bytes:
+    """Shingles in 11 bytes each, their nodes once."""
+    nodes, first, index = np.unique(rows["node"], return_index=True, return_inverse=True)
+    parts = (
+        np.array([len(rows), len(nodes)], "<u4"), nodes, rows["n"][first], (rows["token"] & np.uint64(0xFFFFFFFF)).astype("<u4"),
+        (rows["token"] >> np.uint64(32)).astype("<u2"), index.astype("<u2"), rows["at"], rows["more"],
+    )
+    return b"".join(p.tobytes() for p in parts)
 
-    return map_rows(docs.select("doc_id", text_bytes()), "node long, own binary", make)
 
+def unpacked_entries(raw: bytes) -> np.ndarray:
+    count, nodes = np.frombuffer(raw, "<u4", 2).tolist()
+    at, parts = 8, []
+    for kind, size in (("<i8", nodes), ("<u4", nodes), ("<u4", count), ("<u2", count), ("<u2", count), ("<u2", count), ("u1", count)):
+        parts.append(np.frombuffer(raw, kind, size, at))
+        at += parts[-1].nbytes
+    node, n, low, high, index, place, more = parts
+    rows = np.empty(count, ENTRY)
+    rows["token"] = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+    rows["node"], rows["n"], rows["at"], rows["more"] = node[index], n[index], place, more
+    return rows
+
+
+def live_cells(nodes: DataFrame, shards: int, percent: int) -> DataFrame:
+    """(token, node, n, room): the cells that more than one node goes to, from (node, n, prefix)."""
+    blob = pa.schema([("shard", pa.int32()), ("blob", pa.binary())])
+    live = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("room", pa.int32())])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of nodes those that link. nodes: node, rep and more of all nodes."""
-    spark = docs.sparkSession
+        def flush() -> pa.RecordBatch:
+            rows = np.concatenate(held)
+            rows = rows[np.argsort(rows["token"], kind="stable")]
+            same = rows["token"][1:] == rows["token"][:-1]
+            again = np.concatenate(([False], same))
+            rows["more"] = np.concatenate((same, [False])) | again
+            out = [(shards, packed_entries(rows[again]))] if again.any() else []  # live without asking
+            rows = rows[~again]
+            shard = (rows["token"] % np.uint64(shards)).astype(np.int64)
+            rows = rows[np.argsort(shard, kind="stable")]
+            edge = np.concatenate(([0], np.cumsum(np.bincount(shard, minlength=shards))))
+            return to_batch(out + [(k, packed_entries(rows[edge[k] : edge[k + 1]])) for k in np.flatnonzero(np.diff(edge)).tolist()], blob)
+
+        for batch in batches:
+            for node, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                token = unpacked_prefix(raw)
+                rows = np.zeros(len(token), ENTRY)
+                rows["token"], rows["node"], rows["n"], rows["at"] = token, node, n, np.minimum(np.arange(len(token)), 65_535)
+                # of equal upper bits the first place stands for all
+                held.append(rows[np.unique(token, return_index=True)[1]])
+                size += len(token)
+                if size > BATCH or len(held) > 60_000:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    def out(rows: np.ndarray) -> pa.RecordBatch:
+        room = (rows["n"].astype(np.int64) - rows["at"]).astype(np.int32)
+        columns = (rows["token"].astype(np.int64), rows["node"].copy(), rows["n"].astype(np.int32), room)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=live)
+
+    def settle(rows: np.ndarray) -> np.ndarray:
+        """The rows of a pass that may have a partner."""
+        rows = rows[np.lexsort((rows["node"], rows["token"]))]
+        first = np.flatnonzero(np.concatenate(([True], rows["token"][1:] != rows["token"][:-1])))
+        size, more = np.diff(np.append(first, len(rows))), np.maximum.reduceat(rows["more"], first) > 0
+        good = (size > 1) | more
+        two = first[(size == 2) & ~more]  # all of the cell is here
+        n, room = rows["n"].astype(np.int64), rows["n"].astype(np.int64) - rows["at"]
+        good[np.flatnonzero((size == 2) & ~more)] = np.minimum(room[two], room[two + 1]) >= least_common(n[two], n[two + 1], percent)
+        return rows[np.repeat(good, size)]
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Streams a task's blobs to scratch space and settles so many shingles at a time."""
+        with tempfile.TemporaryFile() as scratch:
+            sizes, total = [], 0
+            for batch in batches:
+                for shard, packed_ in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    raw = packed_.as_py()
+                    if shard == shards:
+                        yield out(unpacked_entries(raw))
+                        continue
+                    scratch.write(raw)
+                    sizes.append(len(raw))
+                    total += int(np.frombuffer(raw, "<u4", 1)[0])
+            passes = -(-total // PASS)
+            for k in range(passes):
+                scratch.seek(0)
+                rows = []
+                for size in sizes:
+                    part = unpacked_entries(scratch.read(size))
+                    rows.append(part[(part["token"] >> np.uint64(20)) % np.uint64(passes) == k] if passes > 1 else part)
+                found = settle(np.concatenate(rows))
+                for at in range(0, len(found), 200_000):
+                    yield out(found[at : at + 200_000])
+
+    sent = nodes.select("node", "n", "prefix").mapInArrow(send, "shard int, blob binary")
+    # rows that need no answer are dealt out evenly
+    dealt = sent.withColumn("_to", F.when(F.col("shard") < shards, F.col("shard").cast("long")).otherwise(F.xxhash64("blob")))
+    return dealt.repartition(min(shards, MOST_TASKS), "_to").select("shard", "blob").mapInArrow(decide, "token long, node long, n int, room int")
+
+
+#: Tasks of one exchange; beyond them a task takes more passes over its shards.
+MOST_TASKS = 20_000
+
+
+def live_texts(docs: DataFrame, nodes: DataFrame, live: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, text) of the nodes that have a cell."""
+    wanted = scratch.table(live.select("node").distinct().join(nodes.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.h1", "rep.h2"))
+    h1, h2 = text_id()
+    read = docs.select("doc_id", text_bytes(), h1.alias("h1"), h2.alias("h2"))
+    count = wanted.count()
+    near = read.join(F.broadcast(wanted.select("h1")), "h1", "left_semi") if count <= BROADCAST_ROWS else read
+    ids = wanted.toDF("node", "_id", "_h1", "_h2")
+    match = (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    # of rows that are repeated one stands for all
+    return scratch.table(near.join(ids, match).groupBy("node").agg(F.first("text").alias("text")), drop=[wanted])
+
+
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Of distinct pairs (a, b) of nodes those that link."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    # each a meets its b's in parts of about 256, each of which gets a copy of a's set
+    # each a meets its b's in parts of about 256, each of which gets a copy of a's text
     parts = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / 256).cast("int"))
     dealt = join_groups(pairs, parts, ["a"], "n", max(1, pairs.count())).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     left = parts.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"))
-    wanted = stable(spark, left.unionByName(dealt.select(F.col("b").alias("node"), "a", "part", "b")))
-    sets = full_sets(docs, wanted.select("node").distinct().join(nodes.select("node", "rep"), "node"), words)
+    wanted = left.unionByName(dealt.select(F.col("b").alias("node"), "a", "part", "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, one = None, None
         for batch in batches:
             out = []
-            for a, b, own in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
-                other = np.frombuffer(own.as_py(), np.uint64)
+            for a, b, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                other = shingle_set(text.as_py(), words)
                 if b is None:
                     held, one = a, other
                     continue
@@ -182,221 +302,287 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, pe
             if out:
                 yield to_batch(out, schema)
 
-    met = sets.join(wanted, "node").select("a", "part", "b", "own")
+    met = texts.join(wanted, "node").select("a", "part", "b", "text")
     met = met.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return stable(spark, met.mapInArrow(run, "a long, b long").distinct())
+    return scratch.table(met.mapInArrow(run, "a long, b long").distinct())
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) those whose summed coordinate minima allow a link."""
+    """Of pairs (a, b) those whose summed coordinate minima, ``bound``, allow a link."""
 
     def make():
         def step(row):
             a, b = unpacked(row[2]), unpacked(row[3])
-            need = least_common(int(a.sum()), int(b.sum()), percent)
-            return [(row[0], row[1])] if np.minimum(a, b).sum() >= need else []
+            bound = int(np.minimum(a, b).sum())
+            return [(row[0], row[1], bound)] if bound >= least_common(int(a.sum()), int(b.sum()), percent) else []
 
         return step
 
     one, two = points.select(F.col("node").alias("a"), F.col("counts").alias("ca")), points.select(F.col("node").alias("b"), F.col("counts").alias("cb"))
-    return map_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "ca", "cb"), "a long, b long", make)
+    return map_rows(pairs.join(one, "a").join(two, "b").select("a", "b", "ca", "cb"), "a long, b long, bound long", make)
 
 
-MEMBER = np.dtype([("node", "<i8"), ("comp", "<i8"), ("n", "<i8"), ("counts", "<i4", GROUPS)])
+MEMBER = np.dtype([("node", "<i8"), ("comp", "<i8"), ("n", "<i4"), ("room", "<i4"), ("counts", "<u4", GROUPS)])
 
 
 def point_pairs(a: np.ndarray, b: np.ndarray, own: bool, percent: int, most: int | None) -> Iterator[tuple[int, int, int]]:
-    """Pairs of members of two leaves (or of one with itself) that sizes and points allow,
+    """Pairs of members of two leaves (or of one with itself) that rooms and points allow,
     with their bounds.
 
     most: how many for each member, greatest bounds first.
     """
     for k in range(len(a)):
         one, rest = a[k], b[k + 1 :] if own else b
-        rest = rest[(rest["comp"] != one["comp"]) & (rest["n"] * 100 >= one["n"] * percent) & (one["n"] * 100 >= rest["n"] * percent)]
+        need = least_common(int(one["n"]), rest["n"].astype(np.int64), percent)
+        fits = (rest["comp"] != one["comp"]) & (rest["node"] != one["node"]) & (np.minimum(rest["room"], one["room"]) >= need)
+        rest, need = rest[fits], need[fits]
         if not len(rest):
             continue
-        bound = np.minimum(rest["counts"], one["counts"]).sum(1)
-        good = np.flatnonzero(bound >= least_common(one["n"], rest["n"], percent))
+        bound = np.minimum(rest["counts"], one["counts"]).sum(1, dtype=np.int64)
+        good = np.flatnonzero(bound >= need)
         if most is not None and len(good) > most:
             good = good[np.argsort(-bound[good], kind="stable")[:most]]
         for node, value in zip(rest["node"][good].tolist(), bound[good].tolist(), strict=True):
-            yield (min(int(one["node"]), node), max(int(one["node"]), node), int(value))
+            yield (min(int(one["node"]), node), max(int(one["node"]), node), value)
 
 
-def leaves(rows: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Packs rows (token, n, node, comp, counts), sorted by token and n, into leaves.
+#: A box: sizes, greatest room, its component if it has one only, and the counts' upper bounds.
+BOX = "id long, parent long, token long, low int, high int, room int, comp long, box binary, members binary"
 
-    A cell that one leaf holds is joined with itself at once and gives (a, b, bound, token). The
-    leaves of other cells, and of those that may go on in another task, come as records.
+
+def tree_of(rows: DataFrame, height: int) -> DataFrame:
+    """Packs rows (token, n, room, node, comp, counts), sorted by token, component and size, into trees.
+
+    level 0 has the leaves; every root has level ``height`` and is its own parent. A cell
+    has a root in each task that has rows of it.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bound", pa.int64()), ("token", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("leaf", pa.int64()), ("comp", pa.int64()), ("box", pa.binary()), ("members", pa.binary())])
+    schema = pa.schema([("level", pa.int32()), *((n, pa.int64()) for n in ("id", "parent", "token")), *((n, pa.int32()) for n in ("low", "high", "room")), ("comp", pa.int64()), ("box", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell: list[tuple] = []
+        ids = iter(range(TaskContext.get().partitionId() << 40, 1 << 62))
         out: list[tuple] = []
-        state = {"first": True, "split": False}
+        cell: list[tuple] = []
+        waiting: list[list[list]] = [[] for _ in range(height + 1)]  # by level, without their parents
 
-        def close(last: bool) -> None:
-            """``last``: no more rows of this token here."""
+        def close_leaf() -> None:
             block = np.zeros(len(cell), MEMBER)
-            for k, (_, n, node, comp, counts) in enumerate(cell):
-                block[k] = (node, comp, n, unpacked(counts))
-            if last and not state["split"]:
-                out.extend((*pair, cell[0][0], None, None, None, None, None, None) for pair in point_pairs(block, block, True, percent, most))
-            else:
-                comps = np.unique(block["comp"])
-                lone = int(comps[0]) if len(comps) == 1 else None
-                out.append((None, None, None, cell[0][0], int(block["n"].min()), int(block["n"].max()), int(block["node"][0]), lone, block["counts"].max(0).tobytes(), block.tobytes()))
+            for k, (_, n, room, node, comp, counts) in enumerate(cell):
+                block[k] = (node, comp, n, room, unpacked(counts))
+            comps = np.unique(block["comp"])
+            token = cell[0][0]
             cell.clear()
+            lone = int(comps[0]) if len(comps) == 1 else None
+            waiting[0].append([next(ids), token, int(block["n"].min()), int(block["n"].max()), int(block["room"].max()), lone, block["counts"].max(0), block.tobytes()])
+            pack(0, False)
+
+        def pack(level: int, last: bool) -> None:
+            """Gives the waiting boxes of a level a parent when there are enough, or no more."""
+            group = waiting[level]
+            if not group or level < height and len(group) < FAN and not last:
+                return
+            parent = None
+            if level < height:
+                comps = {g[5] for g in group}
+                parent = next(ids)
+                waiting[level + 1].append([parent, group[0][1], min(g[2] for g in group), max(g[3] for g in group), max(g[4] for g in group), comps.pop() if len(comps) == 1 else None, np.max([g[6] for g in group], 0), None])
+            for own, token, low, high, room, comp, box, members in group:
+                out.append((level, own, own if parent is None else parent, token, low, high, room, comp, box.astype("<u4").tobytes(), members))
+            group.clear()
+            if level < height:
+                pack(level + 1, last)
+
+        def close_token() -> None:
+            if cell:
+                close_leaf()
+            for level in range(height + 1):
+                pack(level, True)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if cell and row[0] != cell[0][0]:
-                    state["split"] |= state["first"]  # the first token may have begun in another task
-                    close(True)
-                    state.update(first=False, split=False)
-                elif len(cell) >= LEAF:
-                    state["split"] = True
-                    close(False)
+                    close_token()
+                elif len(cell) >= LEAF or len(cell) >= LEAF // 2 and row[4] != cell[-1][4]:
+                    close_leaf()  # at a border of components a leaf may be half full
                 cell.append(row)
-            if out:
-                yield to_batch(out, schema)
-                out.clear()
-        if cell:
-            state["split"] = True  # the last token may go on in another task
-            close(True)
+                if len(out) >= 2_000:
+                    yield to_batch(out, schema)
+                    out.clear()
+        close_token()
         if out:
             yield to_batch(out, schema)
 
-    return rows.mapInArrow(run, "a long, b long, bound long, token long, low long, high long, leaf long, comp long, box binary, members binary")
+    order = ("token", "comp", "n", "node")
+    placed = rows.select("token", "n", "room", "node", "comp", "counts").repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed.mapInArrow(run, f"level int, {BOX}")
 
 
-def tree_pairs(tree: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Pairs (a, b, bound, token) of different components that the boxes and points allow."""
-    columns = ("low", "high", "leaf", "comp", "box", "members")
-    cells = tree.where("members is not null")
-    left = cells.select("token", *(F.col(c).alias(f"{c}_a") for c in columns))
-    right = cells.select("token", *(F.col(c).alias(f"{c}_b") for c in columns))
-    order = F.struct("low_a", "high_a", "leaf_a") <= F.struct("low_b", "high_b", "leaf_b")
-    near = F.col("high_a") * 100 >= F.col("low_b") * percent
-    mixed = F.coalesce(F.col("comp_a") != F.col("comp_b"), F.lit(True))
-    met = left.join(right, "token").where(order & near & mixed).select("token", "box_a", "low_a", "members_a", "box_b", "low_b", "members_b")
+def box_pairs(pairs: DataFrame, percent: int) -> DataFrame:
+    """Of pairs of boxes (columns of each with _a and _b) those that may hold a link: (a, b)."""
 
     def make():
         def step(row):
-            token, box_a, low_a, members_a, box_b, low_b, members_b = row
-            if np.minimum(np.frombuffer(box_a, "<i4"), np.frombuffer(box_b, "<i4")).sum() < least_common(low_a, low_b, percent):
-                return ()
-            return ((*pair, token) for pair in point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), members_a == members_b, percent, most))
+            a, b, low_a, low_b, box_a, box_b = row
+            bound = np.minimum(np.frombuffer(box_a, "<u4"), np.frombuffer(box_b, "<u4")).sum(dtype=np.int64)
+            return [(a, b)] if bound >= least_common(low_a, low_b, percent) else []
 
         return step
 
-    inner = tree.where("members is null").select("a", "b", "bound", "token")
-    return inner.unionByName(map_rows(met, "a long, b long, bound long, token long", make))
+    column = F.col
+    near = F.least(column("high_a"), column("high_b"), column("room_a"), column("room_b")) >= least_common(column("low_a"), column("low_b"), percent)
+    mixed = F.coalesce(column("comp_a") != column("comp_b"), F.lit(True))
+    return map_rows(pairs.where(near & mixed & (column("id_a") <= column("id_b"))).select("id_a", "id_b", "low_a", "low_b", "box_a", "box_b"), "a long, b long", make)
 
 
-def size_matched(rows: DataFrame, percent: int) -> DataFrame:
-    """Of rows (token, n, node, comp), sorted so, those with a size match next to them.
+def tree_pairs(tree: DataFrame, height: int, percent: int, most: int | None, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b, bound) of different components that the boxes and points allow."""
+    names = [c for c in tree.columns if c not in ("level", "members")]
 
-    The first and last row of a batch always stay, since their neighbours are elsewhere.
-    """
+    def boxes(level: int, side: str) -> DataFrame:
+        return tree.where(F.col("level") == level).select(*(F.col(c).alias(f"{c}_{side}") for c in names))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            token, n = (batch.column(k).to_numpy().astype(np.int64) for k in (0, 1))
-            pair = (token[1:] == token[:-1]) & (n[:-1] * 100 >= n[1:] * percent)
-            keep = np.concatenate(([True], pair)) | np.concatenate((pair, [True]))
-            yield batch.filter(pa.array(keep))
+    met = boxes(height, "a").join(boxes(height, "b").withColumnRenamed("token_b", "token_a"), "token_a")
+    kept = scratch.table(box_pairs(met, percent))
+    for level in range(height - 1, -1, -1):
+        down = kept.join(boxes(level, "a"), F.col("a") == F.col("parent_a")).drop("a").join(boxes(level, "b"), F.col("b") == F.col("parent_b"))
+        kept = scratch.table(box_pairs(down, percent), drop=[kept])
 
-    return rows.mapInArrow(run, rows.schema)
+    def make():
+        def step(row):
+            a, b, members_a, members_b = row
+            return point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), a == b, percent, most)
+
+        return step
 
+    leaves = [tree.where("level = 0").select(F.col("id").alias(x), F.col("members").alias(f"members_{x}")) for x in "ab"]
+    full = kept.join(leaves[0], "a").join(leaves[1], "b").select("a", "b", "members_a", "members_b")
+    return map_rows(full, "a long, b long, bound long", make).select("a", "b").distinct()
 
-def open_rows(live: DataFrame, comp: DataFrame, total: int, percent: int) -> DataFrame:
-    """Rows (token, n, node, comp) of the cells whose members are in several components."""
-    spark = live.sparkSession
-    placed = stable(spark, live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    mixed = placed.groupBy("token").agg(F.count("*").alias("members"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high").select("token", "members")
-    open_ = join_groups(placed, mixed, ["token"], "members", total).where(F.col("members").isNotNull()).select("token", "n", "node", "comp")
-    order = ("token", "n", "node")
-    return stable(spark, size_matched(open_.repartitionByRange(*order).sortWithinPartitions(*order), percent))
 
+def small_pairs(live: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that share a small cell with enough room."""
+    a = live.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("room").alias("ra"), F.col("comp").alias("ca"))
+    b = live.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("room").alias("rb"), F.col("comp").alias("cb"))
+    room = F.least("ra", "rb") >= least_common(F.col("na"), F.col("nb"), percent)
+    met = a.join(b, (a["token"] == b["token"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & room)
+    return met.select("a", "b").distinct()
 
-def open_tree(rows: DataFrame, points: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """Leaves of these rows."""
-    order = ("token", "n", "node")
-    with_points = rows.join(points, "node").select("token", "n", "node", "comp", "counts")
-    return stable(rows.sparkSession, leaves(with_points.repartitionByRange(*order).sortWithinPartitions(*order), percent, most))
+
+def placed_in(live: DataFrame, comp: DataFrame) -> DataFrame:
+    return live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs (a, b) that lie between two components."""
+    for x in "ab":
+        pairs = pairs.join(comp.select(F.col("node").alias(x), F.col("comp").alias(f"_{x}")), x, "left")
+    return pairs.where(F.coalesce("_a", "a") != F.coalesce("_b", "b")).drop("_a", "_b")
 
 
 def link_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; see the module text."""
-    return linked(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+    return linked(docs, words, percent, Scratch(docs.sparkSession)).select("doc_id", "n_shingles", "component_id")
+
+
+def linked(docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Adds h1, h2 and comp, the component's node (null: empty set)."""
+    made = scratch.table(signatures(docs, words, percent))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")).alias("rep")
+    groups = made.where("n > 0").groupBy("s1", "s2").agg(rep, F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", "counts", "prefix")))
+    nodes = scratch.table(groups.select(F.monotonically_increasing_id().alias("node"), "*"))
+    rows = scratch.table(made.drop("counts", "prefix"), drop=[made])
+    totals = nodes.agg(F.count("*").alias("nodes"), F.sum(F.length("prefix") / 6).alias("shingles"), F.max("copies").alias("copies")).first()
+    total = max(1, totals["nodes"])
+
+    live = scratch.table(live_cells(nodes, max(8, int((totals["shingles"] or 0) // SHARD)), percent))
+    slim = scratch.table(nodes.drop("prefix"), drop=[nodes])
+    comp = components_of(docs, slim, live, words, percent, total, scratch)
+
+    known = placed_in(slim.select("node", "s1", "s2", "rep", "copies"), comp)
+    known = scratch.table(known, drop=[slim, comp])
+    best = F.min(F.struct(F.col("rep.none"), F.col("rep.doc_id"))).alias("_best")
+    least = known.groupBy("comp").agg(best, F.count("*").alias("members")).select("comp", F.col("_best.doc_id").alias("component_id"), "members")
+    named = join_groups(known, least, ["comp"], "members", total).select("s1", "s2", "comp", "component_id", "copies")
+    filled = rows.where("n > 0").select("doc_id", "h1", "h2", "s1", "s2", "n")
+    out = scratch.table(join_groups(filled, named, ["s1", "s2"], "copies", max(1, rows.count())).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "h1", "h2", "comp"))
+    empty = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "h1", "h2", F.lit(None).cast("long").alias("comp"))
+    scratch.keep(out, rows)
+    return out.unionByName(empty)
 
 
-def linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Adds text_hash and comp, the component's node (null: empty set)."""
-    spark = docs.sparkSession
-    made = stable(spark, signatures(docs, words, percent))
-    groups = made.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("prefix").alias("prefix"))
-    nodes = stable(spark, groups)
+def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int, percent: int, total: int, scratch: Scratch) -> DataFrame:
+    """(node, comp) of the nodes with a link, from the cells (token, node, n, room)."""
     points = nodes.select("node", "counts")
-
-    total = max(1, nodes.count())
-    tokens = nodes.select(F.explode("prefix").alias("token"), "node", "n")
-    cells = tokens.groupBy("token").agg(F.count("*").alias("members")).where("members > 1")
-    live = join_groups(tokens, cells, ["token"], "members", total).where(F.col("members").isNotNull()).select("token", "node", "n", "members")
-    live = stable(spark, live)
-    release(spark)
-    degree = live.groupBy("node").agg(F.sum("members").alias("degree"))
-    ranked = live.join(degree, "node")
-    best = ranked.groupBy("token").agg(F.max(F.struct("degree", "node")).alias("best"), F.count("*").alias("n_rows")).select("token", F.col("best.node").alias("hub"), "n_rows")
-    met = join_groups(live, best, ["token"], "n_rows", total).where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("times"))
-    hubs = met.groupBy("node").agg(F.max(F.struct("times", "hub")).alias("best")).select(F.col("best.hub").alias("a"), F.col("node").alias("b"))
-    links = verified(stable(spark, bounded(hubs, points, percent)), nodes, docs, words, percent)
-    comp = connected_components(links)
-    release(spark)
-
-    live = live.select("token", "node", "n")
+    texts = live_texts(docs, nodes, live, scratch)
+    cells = live.groupBy("token").agg(F.count("*").alias("members"))
+    sized = scratch.table(join_groups(live, cells, ["token"], "members", total), drop=[live])
+
+    degree = sized.groupBy("node").agg(F.sum("members").alias("degree"))
+    hub = F.max(F.struct("degree", "node", "n", "room")).alias("hub")
+    best = sized.join(degree, "node").groupBy("token").agg(hub, F.count("*").alias("size")).select("token", "size", *(F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "n", "room")))
+    room = F.least("room", "hub_room") >= least_common(F.col("n"), F.col("hub_n"), percent)
+    met = join_groups(sized, best, ["token"], "size", total).where((F.col("node") != F.col("hub_node")) & room).groupBy("node", "hub_node").agg(F.count("*").alias("times"))
+    tries = met.groupBy("node").agg(F.max(F.struct("times", "hub_node")).alias("best")).select(F.col("best.hub_node").alias("a"), F.col("node").alias("b"))
+    tries = scratch.table(bounded(tries, points, percent).select("a", "b"))
+    links = verified(tries, texts, words, percent, scratch)
+    comp = connected_components(links, scratch)
+    scratch.drop(tries, links)
+
+    # components only grow, so cells that have all members in one stay closed
+    open_ = scratch.table(open_cells(sized, comp, total), drop=[sized])
+    few = scratch.table(small_pairs(placed_in(open_.where(F.col("members") <= SMALL), comp), percent))
+    many = scratch.table(open_.where(F.col("members") > SMALL).drop("members").join(points, "node"), drop=[open_])
+    largest = many.groupBy("token").count().agg(F.max("count")).first()[0]
+    tried = None
     for most in TRIES:
-        rows = open_rows(live, comp, total, percent)
-        found = stable(spark, tree_pairs(open_tree(rows, points, percent, most), percent, most))
-        # components only grow, so a cell without a pair now will never have one
-        live = rows.join(found.select("token").distinct(), "token", "left_semi").select("token", "node", "n")
-        pairs = found.select("a", "b", "bound").distinct()
+        pool = apart(few, comp)
+        if largest:
+            height = 0
+            while LEAF * FAN ** (height + 1) < largest:
+                height += 1
+            tree = scratch.table(tree_of(placed_in(many, comp), height))
+            pool = pool.unionByName(tree_pairs(tree, height, percent, most, scratch)).distinct()
+        if tried is not None:
+            pool = pool.join(tried, ["a", "b"], "left_anti")
+        pool = scratch.table(bounded(pool, points, percent))
         if most is not None:
-            best = [F.row_number().over(Window.partitionBy(x).orderBy(F.desc("bound"), y)) <= most for x, y in (("a", "b"), ("b", "a"))]
-            pairs = pairs.withColumn("_a", best[0]).withColumn("_b", best[1]).where("_a or _b")
-        tried = stable(spark, pairs.select("a", "b"))
-        if tried.isEmpty():
+            rank = [F.row_number().over(Window.partitionBy(x).orderBy(F.desc("bound"), y)) <= most for x, y in (("a", "b"), ("b", "a"))]
+            chosen = scratch.table(pool.withColumn("_a", rank[0]).withColumn("_b", rank[1]).where("_a or _b").select("a", "b"))
+        else:
+            chosen = scratch.table(pool.select("a", "b"))
+        if largest:
+            scratch.drop(tree)
+        count, left = chosen.count(), pool.count()
+        scratch.drop(pool)
+        if count:
+            links = verified(chosen, texts, words, percent, scratch)
+            comp = merged(comp, links, scratch)
+            tried = chosen if tried is None else scratch.table(tried.unionByName(chosen), drop=[tried, chosen])
+        if not left or left == count and not largest:
             break
-        links = stable(spark, links.unionByName(verified(tried, nodes, docs, words, percent)))
-        comp = connected_components(links)
-        release(spark)
-
-    known = nodes.select("node", "rep", "copies").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    known = stable(spark, known)
-    least = known.groupBy("comp").agg(F.min("rep").alias("component_id"), F.count("*").alias("members"))
-    named = join_groups(known, least, ["comp"], "members", max(1, nodes.count())).select("node", "comp", "component_id", "copies")
-    filled = made.where(F.col("node").isNotNull()).select("doc_id", "text_hash", "node", "n")
-    out = join_groups(filled, named, ["node"], "copies", max(1, made.count())).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "text_hash", "comp")
-    empty = made.where(F.col("node").isNull()).select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("comp"))
-    return out.unionByName(empty)
+    scratch.drop(texts)
+    return comp
+
+
+def open_cells(sized: DataFrame, comp: DataFrame, total: int) -> DataFrame:
+    """(token, node, n, room, members) of the cells whose members are in several components."""
+    placed = placed_in(sized, comp)
+    mixed = placed.groupBy("token").agg(F.count("*").alias("_n"), F.min("comp").alias("_low"), F.max("comp").alias("_high")).where("_low < _high").select("token", "_n")
+    return join_groups(sized, mixed, ["token"], "_n", total).where(F.col("_n").isNotNull()).drop("_n")
 
 
 def keep_one(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """The rows of ``docs`` without those that lose to another of their component.
 
-    The smallest doc_id stays, a null one loses to any other, and the text hash settles
-    the rest. Rows are found again by doc_id and text; rows equal in both stand or fall
-    together.
+    The smallest doc_id stays, a null one loses to any other, and 128 bits of the text
+    settle the rest. Rows are found again by doc_id and text, so nulls, repeated ids and any
+    names of further columns do no harm; rows equal in both stand or fall together.
     """
-    rows = stable(docs.sparkSession, linked(docs, words, percent).where(F.col("comp").isNotNull()).select("doc_id", "text_hash", "comp"))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    scratch = Scratch(docs.sparkSession)
+    rows = linked(docs, words, percent, scratch).where(F.col("comp").isNotNull()).select("doc_id", "h1", "h2", "comp")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h1", "h2")
     best = rows.groupBy("comp").agg(F.min(rank).alias("best"), F.count("*").alias("members"))
     judged = join_groups(rows, best, ["comp"], "members", max(1, rows.count()))
-    lost = ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash")))
-    gone = judged.where(lost).select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_lost")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("_lost")), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("h1") == F.col("best.h1")) & (F.col("h2") == F.col("best.h2"))
+    gone = scratch.table(judged.where(~same).select("doc_id", "h1", "h2").distinct())
+    scratch.keep(gone)
+    return without(docs, gone)

@@ -4,6 +4,7 @@ import re
 import pytest
 
 from lodestone.llm import jaccard_join
+from lodestone.llm.common import Scratch
 from lodestone.llm.components import connected_components
 from tests.llm.conftest import ODD
 
@@ -91,16 +92,17 @@ def test_bound_never_prunes_links():
 
 
 def test_components(spark):
+    scratch = Scratch(spark)
     r = random.Random(2)
     links = [(r.randrange(200), r.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 360)] + [(5, 5)]
     up = {x: x for pair in links for x in pair}
     for _ in range(400):
         for a, b in links:
             up[a] = up[b] = min(up[a], up[b])
-    got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    got = connected_components(spark.createDataFrame(links, "a long, b long"), scratch).collect()
     single = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
     assert {x.node: x.comp for x in got} == {k: v for k, v in up.items() if k not in single}
-    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert connected_components(spark.createDataFrame([], "a long, b long"), scratch).collect() == []
 
 
 def test_keep_one(docs, prose):
