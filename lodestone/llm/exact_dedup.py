@@ -6,12 +6,11 @@ asked only of rows that the step before could not tell apart:
 1. rows are counted by byte length; a length that occurs once settles its row;
 2. rows of the other lengths are counted by (length, hash of the first characters);
 3. only rows of a (length, prefix) that occurs twice or more have their whole content
-   read and hashed (SHA-256), and equal hashes are one group.
+   hashed (SHA-256), and equal hashes are one group.
 
-Which keys survive step 2 reaches step 3 as a bitmap of ``slots`` bits, 1 MB by default
-whatever the input: texts need no shuffle to learn whether they survive. A slot shared
-by chance costs one needless hash and changes nothing. Rows are matched to their groups
-with the few hottest groups broadcast (fewer than 1,000 by construction) and the rest
+All of it are built-in functions. The lengths and prefixes that go on reach the rows by a
+broadcast while they are few (`small`) and by a shuffled join beyond. Rows are matched to their
+groups with the few hottest groups broadcast (fewer than 1,000 by construction) and the rest
 shuffled, so a text that a third of all rows share lands nowhere as a whole.
 
 Defined results: null text counts as empty, and equals the empty text; the row with the
@@ -21,78 +20,84 @@ doc_id loses to any other; an empty table gives no rows; extra columns are ignor
 
 from __future__ import annotations
 
-import hashlib
-
-import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import has_slot, join_groups, map_rows, slot_bitmap, stable, text_bytes
+from lodestone.llm.common import Scratch, fresh, join_groups, numbered, small, text_id, without
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SLOTS = 1 << 23
 
 
-def refine(docs: DataFrame, prefix_chars: int, slots: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, text, mark per row, and the bitmap of marks whose rows need a full hash."""
+def normalised(text: Column) -> Column:
+    return F.translate(text, _UPPER, _LOWER)
+
+
+def refined(docs: DataFrame, prefix_chars: int, scratch: Scratch) -> DataFrame:
+    """doc_id, text, h1, h2 and alive: whether the length and prefix of a row occur twice."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(
-        "doc_id",
-        "text",
-        F.octet_length(text).alias("n_bytes"),
-        F.xxhash64(F.translate(F.substring(text, 1, prefix_chars), _UPPER, _LOWER)).alias("prefix"),
-    )
-    keys = keyed.select("n_bytes", "prefix")
-    lengths = keys.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
-    alike = keys.groupBy("n_bytes", "prefix").count().join(lengths, "n_bytes", "left_semi").where("count > 1")
-    mark = F.xxhash64("n_bytes", "prefix")
-    return keyed.select("doc_id", "text", mark.alias("mark")), slot_bitmap(alike.select(mark), slots)
-
-
-def exact_groups(docs: DataFrame, prefix_chars: int = 64, slots: int = SLOTS, digest_all: bool = False) -> DataFrame:
+    prefix = F.xxhash64(normalised(F.substring("text", 1, prefix_chars)))
+    h1, h2 = text_id()
+    sized = docs.select("doc_id", text.alias("text"), h1.alias("h1"), h2.alias("h2"), F.octet_length(text).alias("n_bytes"))
+    lengths = scratch.table(sized.groupBy("n_bytes").count().where("count > 1").select("n_bytes"))
+    close = sized.join(small(lengths), "n_bytes", "left_semi").withColumn("mark", F.xxhash64("n_bytes", prefix))
+    alike = scratch.table(close.groupBy("mark").count().where("count > 1").select("mark", F.lit(True).alias("alive")))
+    marked = sized.withColumn("mark", F.xxhash64("n_bytes", prefix)).join(small(alike), "mark", "left")
+    return marked.select("doc_id", "text", "h1", "h2", F.coalesce("alive", F.lit(False)).alias("alive"))
+
+
+def digests(docs: DataFrame, prefix_chars: int, digest_all: bool, scratch: Scratch) -> DataFrame:
+    """doc_id, h1, h2, alive, digest (of rows that are not alive only for ``digest_all``)."""
+    rows = refined(docs, prefix_chars, scratch)
+    digest = F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    needed = digest if digest_all else F.when(F.col("alive"), digest)
+    return scratch.table(rows.select("doc_id", "h1", "h2", "alive", needed.alias("digest")))
+
+
+def exact_groups(docs: DataFrame, prefix_chars: int = 64, digest_all: bool = False) -> DataFrame:
     """doc_id, keep_id, group_size, kept, digest: one row per row of ``docs``.
 
     digest is the SHA-256 (binary) of the normalised text where step 3 read it, else
     null. ``digest_all`` has it computed for settled rows too, for callers that report
     it; it does not change the grouping.
     """
-    spark = docs.sparkSession
-    keyed, bitmap = refine(docs, prefix_chars, slots)
-    shared = spark.sparkContext.broadcast(bitmap)
-
-    def make():
-        bits = shared.value
-
-        def step(row):
-            doc_id, text, mark = row
-            alive = has_slot(bits, mark)
-            digest = hashlib.sha256((text or b"").lower()).digest() if alive or digest_all else None
-            return [(doc_id, digest, alive)]
-
-        return step
-
-    hashed = map_rows(keyed.select("doc_id", text_bytes(), "mark"), "doc_id long, digest binary, alive boolean", make)
-    hashed = stable(spark, hashed)
+    scratch = Scratch(docs.sparkSession)
+    hashed = digests(docs, prefix_chars, digest_all, scratch)
+    scratch.keep(hashed)
     single = hashed.where(~F.col("alive")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
-    rows = hashed.where("alive").groupBy("doc_id", "digest").agg(F.count("*").alias("copies"))
-    groups = hashed.where("alive").groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    joined = join_groups(rows, groups, ["digest"], "group_size", hashed.count())
-    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    grouped = joined.select("*", copy.alias("copy")).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "digest"
-    )
-    return single.unionByName(grouped)
+    alive = hashed.where("alive")
+    groups = alive.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    joined = join_groups(numbered(alive, ["doc_id", "digest"]), groups, ["digest"], "group_size", hashed.count())
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 0)
+    return single.unionByName(joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest"))
 
 
-def keep_exact(docs: DataFrame, **options) -> DataFrame:
+def keep_exact(docs: DataFrame, prefix_chars: int = 64) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows are found again by doc_id and digest, as neither nulls nor repeated ids tell a
-    row; of rows with the same doc_id and normalised text one stays.
+    Of a group the largest doc_id stays, among several rows of it the one with the greatest text
+    hash. Rows are found again by doc_id and 128 bits of their text, as neither nulls nor
+    repeated ids tell a row; of rows equal in both one stays, the first by its columns as JSON.
     """
-    digest = F.unhex(F.sha2(F.translate(F.coalesce(F.col("text"), F.lit("")), _UPPER, _LOWER).cast("binary"), 256))
-    ranked = exact_groups(docs, **options).where(F.col("digest").isNotNull())
-    gone = ranked.groupBy(F.col("doc_id").alias("_gone"), F.col("digest").alias("_lost")).agg(F.max("kept").alias("_any")).where(~F.col("_any")).select("_gone", "_lost")
-    left = docs.withColumn("_digest", digest).join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.col("_digest") == F.col("_lost")), "left_anti")
-    once = Window.partitionBy("doc_id", "_digest").orderBy(F.xxhash64("text"))
-    return left.withColumn("_copy", F.row_number().over(once)).where("_copy = 1").select(*docs.columns)
+    scratch = Scratch(docs.sparkSession)
+    hashed = digests(docs, prefix_chars, False, scratch).where("alive")
+    best = F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h1", "h2")).alias("best")
+    groups = hashed.groupBy("digest").agg(best, F.count("*").alias("n"))
+    rows = hashed.groupBy("doc_id", "h1", "h2", "digest").agg(F.count("*").alias("copies"))
+    joined = join_groups(rows, groups, ["digest"], "n", max(1, hashed.count()))
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("h1") == F.col("best.h1")) & (F.col("h2") == F.col("best.h2"))
+    judged = joined.select("doc_id", "h1", "h2", "copies", stays.alias("stays")).where("not stays or copies > 1")
+    out = scratch.table(judged)
+    scratch.keep(out)
+    left = without(docs, out)
+    several = out.where("stays").select("doc_id", "h1", "h2")
+    return left if several.isEmpty() else left.unionByName(one_of_each(docs, several))
+
+
+def one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each of ``keys`` (doc_id, h1, h2)."""
+    names = fresh(docs, "_id", "_h1", "_h2", "_row")
+    h1, h2 = text_id()
+    match = docs["doc_id"].eqNullSafe(F.col(names[0])) & (h1 == F.col(names[1])) & (h2 == F.col(names[2]))
+    row = F.struct(*(docs[c] for c in docs.columns))
+    met = docs.join(small(keys.toDF(*names[:3]), most=100_000), match).groupBy(*names[:3]).agg(F.min_by(row, F.to_json(row)).alias(names[3]))
+    return met.select(*(F.col(names[3])[c].alias(c) for c in docs.columns))

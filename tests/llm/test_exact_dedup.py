@@ -47,12 +47,6 @@ def test_digests_only_of_survivors(docs):
     assert out[0] is None and out[1] is None and out[2] == out[3] == hashlib.sha256(b"three").digest()
 
 
-def test_few_slots_change_nothing(docs):
-    rows = [(k, f"{k % 40} words") for k in range(60)]
-    wide, narrow = (sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(docs(rows), slots=s).collect()) for s in (1 << 23, 1 << 15))
-    assert wide == narrow
-
-
 def test_keep(docs):
     rows = [(1, "a"), (2, "A"), (2, "A"), (3, "b"), (None, "c"), (None, "c")]
     out = exact_dedup.keep_exact(docs(rows))
