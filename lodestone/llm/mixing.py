@@ -27,9 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import join_groups, numbered, running_sum, stable
+from lodestone.llm.common import Scratch, fresh, join_groups, numbered, running_sum, text_id
 
-BLOCK, SLOTS, BUCKET, ROUNDS, CELLS, SEED = 256, 512, 512, 32, 1_024, 53
+BLOCK, SLOTS, BUCKET, ROUNDS, CELLS, TASK, SEED = 256, 512, 512, 32, 1_024, 50_000, 53
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -61,15 +61,16 @@ def permuted(x: Column, n: Column, *key: Column, back: bool = False) -> Column:
     return F.aggregate(rounds, x.cast("long"), step)
 
 
-def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = SEED) -> tuple[DataFrame, DataFrame, DataFrame]:
+def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: int = SEED, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their place in their source's stream, sources, and filled slots.
 
-    Documents: doc_id, text_hash, size, copy, sid, source_size, target, start.
-    Slots: shard, sid, pass, block, words (how many words of the block are taken).
+    Documents: doc_id, source, h1, h2 (128 bits of the text), size, copy, sid, source_size,
+    target, start. Slots: shard, sid, pass, block, words (how many words of the block are taken).
     """
-    spark = docs.sparkSession
-    sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("text_hash"))
-    rows = stable(spark, numbered(sized, ["doc_id", "source", "size", "text_hash"]))
+    scratch = scratch or Scratch(docs.sparkSession)
+    h1, h2 = text_id()
+    sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), h1.alias("h1"), h2.alias("h2"))
+    rows = scratch.table(numbered(sized, ["doc_id", "source", "size", "h1", "h2"]))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     sources = targets(sources, weights, share, cap)
 
@@ -85,21 +86,21 @@ def plan(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1
     covers = F.coalesce(F.col("_place") < F.col("_last"), F.lit(False))
     sources = sources.withColumn("excess", F.when(F.col("rest") > 0, F.col("_last") * BLOCK - F.when(covers, BLOCK - short).otherwise(0) - F.col("rest")).otherwise(0))
     sources = sources.withColumn("n_slots", (F.col("passes") * F.col("n_blocks") + F.col("_last")).cast("long"))
-    sources = stable(spark, sources.select("source", "sid", "source_size", "target", "n_docs", "n_blocks", "n_slots", "excess"))
+    sources = scratch.table(sources.select("source", "sid", "source_size", "target", "n_docs", "n_blocks", "n_slots", "excess"))
 
     total = rows.count()
-    mark = F.xxhash64("doc_id", "text_hash", "copy", F.lit(seed))
+    mark = F.xxhash64("doc_id", "h1", "h2", "copy", F.lit(seed))
     buckets = max(1, -(-total // BUCKET))
     known = join_groups(rows.withColumn("_key", F.xxhash64("source")), sources.withColumn("_key", F.xxhash64("source")).drop("source", "n_blocks", "n_slots", "excess"), ["_key"], "n_docs", total).drop("_key", "n_docs")
     known = known.withColumn("_mark", mark).withColumn("_bucket", F.pmod("_mark", F.lit(buckets)))
     sums = known.groupBy("sid", "_bucket").agg(F.sum("size").alias("_words"))
     first = running_sum(sums, ["sid"], "_bucket", "_words", "_first").select("sid", "_bucket", "_first")
-    before = Window.partitionBy("sid", "_bucket").orderBy("_mark", "doc_id", "text_hash", "copy").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("sid", "_bucket").orderBy("_mark", "doc_id", "h1", "h2", "copy").rowsBetween(Window.unboundedPreceding, -1)
     placed = known.join(first, ["sid", "_bucket"]).withColumn("start", F.col("_first") + F.coalesce(F.sum("size").over(before), F.lit(0)))
-    return placed.select("doc_id", "source", "text_hash", "size", "copy", "sid", "source_size", "target", "start"), sources, fill(sources, seed)
+    return placed.select("doc_id", "source", "h1", "h2", "size", "copy", "copies", "sid", "source_size", "target", "start"), sources, fill(sources, seed, scratch)
 
 
-def fill(sources: DataFrame, seed: int) -> DataFrame:
+def fill(sources: DataFrame, seed: int, scratch: Scratch) -> DataFrame:
     """Draws the slots' sources shard by shard and gives each slot its block."""
     spark = sources.sparkSession
     live = sources.where("n_slots > 0").select("sid", "n_slots", "n_blocks", "source_size", "excess")
@@ -111,7 +112,7 @@ def fill(sources: DataFrame, seed: int) -> DataFrame:
     draws = spark.range(total).select(F.floor(F.col("id") / SLOTS).alias("shard"), F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "id"), F.lit(max(total, 1))).alias("_u"))
     drawn = draws.withColumn("_cell", F.floor(F.col("_u") / width)).join(cells, "_cell").where("_u >= _from and _u < _to")
     counts = running_sum(drawn.groupBy("sid", "shard").agg(F.count("*").alias("c")), ["sid"], "shard", "c", "had")
-    counts = stable(spark, counts)
+    counts = scratch.table(counts)
 
     wanted = live.select("sid", "n_slots")
     given = counts.join(F.broadcast(wanted) if total == 0 else wanted, "sid").withColumn("good", F.greatest(F.lit(0), F.least(F.col("c"), F.col("n_slots") - F.col("had"))))
@@ -125,7 +126,9 @@ def fill(sources: DataFrame, seed: int) -> DataFrame:
     short = short.select("sid", "c", "r", F.posexplode(F.sequence(F.col("r"), F.col("r") + F.col("n") - 1)).alias("k", "_r")).select("sid", (F.col("c") + F.col("k")).alias("j"), F.col("_r").alias("r"))
     slots = kept.unionByName(over.join(short, "r").select("shard", "sid", "j"))
 
-    slots = slots.join(live.drop("source_size"), "sid").withColumn("pass", F.floor(F.col("j") / F.col("n_blocks")))
+    # few rows became many, and the permutation is the work: so many slots a task
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK))
+    slots = slots.repartition(tasks, "sid", "j").join(live.drop("source_size"), "sid").withColumn("pass", F.floor(F.col("j") / F.col("n_blocks")))
     block = permuted(F.col("j") % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("sid"), F.col("pass"))
     slots = slots.withColumn("block", block).join(live.select("sid", "source_size"), "sid")
     length = F.least(F.lit(BLOCK), F.col("source_size") - F.col("block") * BLOCK)
@@ -143,7 +146,7 @@ def pieces(placed: DataFrame, slots: DataFrame) -> DataFrame:
     lo = F.greatest(F.col("start"), F.col("block") * BLOCK)
     hi = F.least(F.col("start") + F.col("size"), F.col("block") * BLOCK + F.col("words"))
     met = cut.join(slots, ["sid", "block"]).withColumn("lo", lo - F.col("start")).withColumn("hi", hi - F.col("start")).where("hi > lo")
-    return met.select("doc_id", "source", "text_hash", "size", "copy", "shard", "pass", "block", "lo", "hi")
+    return met.select("doc_id", "source", "h1", "h2", "size", "copy", "copies", "shard", "pass", "block", "lo", "hi")
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -157,7 +160,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     end = F.col("start") + F.col("size")
     taken = F.aggregate("words", F.lit(0).cast("long"), lambda sum_, w: sum_ + F.greatest(F.lit(0).cast("long"), F.least(end, F.col("block") * BLOCK + w) - lo))
     met = cut.join(each, ["sid", "block"], "left").withColumn("taken", F.coalesce(taken, F.lit(0)))
-    keys = ["doc_id", "text_hash", "copy", "sid", "size", "source_size", "target"]
+    keys = ["doc_id", "h1", "h2", "copy", "sid", "size", "source_size", "target"]
     return met.groupBy(*keys).agg(F.sum("taken").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -165,20 +168,31 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix as documents: per document and pass a row with the words taken in it.
 
     A text that is taken whole stays as it is; else its taken words follow each other,
-    each with the white space before it. n_chars is that of the new text.
+    each with the white space before it. n_chars is that of the new text. The columns of
+    ``docs`` may have any names; of rows equal in doc_id, source and text the one that is
+    first by its columns as JSON gives these to all. Texts travel once.
     """
-    placed, _, slots = plan(docs, **options)
-    ranges = pieces(placed, slots).groupBy("doc_id", "source", "text_hash", "copy", "size", "pass").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("ranges"), F.sum(F.col("hi") - F.col("lo")).alias("taken"))
-    passes = ranges.groupBy("doc_id", "source", "text_hash").agg(F.collect_list(F.struct("copy", "pass", "size", "taken", "ranges")).alias("passes"))
-    # equal rows have equal texts: one of them stands for all in the join
-    one = docs.withColumn("_hash", F.xxhash64("text")).withColumnsRenamed({"doc_id": "_doc_id", "source": "_source"})
-    alike = Window.partitionBy("_doc_id", "_source", "_hash").orderBy("_hash")
-    match = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_hash") == F.col("text_hash"))
-    single = one.withColumn("_n", F.row_number().over(alike)).where("_n = 1")
-    joined = single.join(passes, match).withColumn("_p", F.explode("passes"))
+    scratch = Scratch(docs.sparkSession)
+    placed, _, slots = plan(docs, scratch=scratch, **options)
+    key = ["doc_id", "source", "h1", "h2"]
+    ranges = pieces(placed, slots).groupBy(*key, "copy", "copies", "size", "pass").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("ranges"), F.sum(F.col("hi") - F.col("lo")).alias("taken"))
+    whole = F.when(F.col("taken") < F.col("size"), F.col("ranges"))  # null: the text as it is
+    passes = scratch.table(ranges.groupBy(*key, "copies").agg(F.collect_list(F.struct("copy", "pass", whole.alias("ranges"))).alias("passes")))
+    scratch.keep(passes)
+    names = fresh(docs, "_id", "_source", "_h1", "_h2", "_copies", "_passes", "_row", "_pass", "_text")
+    taken = passes.toDF(*names[:6])
+    id_, source_, h1_, h2_, copies_, passes_, row_, pass_, text_ = map(F.col, names)
+
+    h1, h2 = text_id()
+    match = docs["doc_id"].eqNullSafe(id_) & docs["source"].eqNullSafe(source_) & (h1 == h1_) & (h2 == h2_)
+    joined = docs.join(taken.where(copies_ == 1), match).select(*docs.columns, F.explode(passes_).alias(names[7]))
+    several = taken.where(copies_ > 1)
+    if not several.isEmpty():  # equal rows: one of them stands for all
+        row = F.struct(*(docs[c] for c in docs.columns))
+        one = docs.join(several, match).groupBy(*names[:4]).agg(F.min_by(row, F.to_json(row)).alias(names[6]), F.first(passes_).alias(names[5]))
+        joined = joined.unionByName(one.select(*(row_[c].alias(c) for c in docs.columns), F.explode(passes_).alias(names[7])))
     words = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
-    some = F.array_join(F.flatten(F.transform("_p.ranges", lambda r: F.slice(words, (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), "")
-    text = F.when(F.col("_p.taken") == F.col("_p.size"), F.col("text")).otherwise(some)
-    out = joined.withColumn("_text", text)
-    new = {"text": F.col("_text")} | ({"n_chars": F.length("_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    some = F.array_join(F.flatten(F.transform(pass_["ranges"], lambda r: F.slice(words, (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), "")
+    out = joined.withColumn(names[8], F.when(pass_["ranges"].isNull(), F.col("text")).otherwise(some))
+    new = {"text": text_} | ({"n_chars": F.length(text_).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return out.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
