@@ -26,10 +26,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import TwoGenerations, map_rows, text_bytes
+from lodestone.llm.common import TwoGenerations, map_rows, resident, text_bytes
 
 #: Entries in a generation of each of a worker's caches.
 CACHE = 150_000
+#: Pairs of tokens whose compatibility a worker remembers at a time.
+PAIRS = 1_000_000
 #: Below this code point the classes of the two pattern libraries agree.
 _AGREED = "԰"
 
@@ -108,6 +110,8 @@ class BacktrackingBpe:
                 # ... but comes before the right side's
                 b, bar = self.parts[b][0], made_b + 0.5
         if limit is None:
+            if len(self.fits) >= PAIRS:
+                self.fits.clear()
             self.fits[key] = fine
         return fine
 
@@ -244,15 +248,9 @@ class ByteLevelTokenizer:
         return b"".join(parts).decode("utf-8", "replace")
 
 
-_LOADED: dict[tuple[str, str], ByteLevelTokenizer] = {}
-
-
 def load(path: str, pattern: str) -> ByteLevelTokenizer:
-    """One tokenizer per worker process and file."""
-    key = (path, pattern)
-    if key not in _LOADED:
-        _LOADED[key] = ByteLevelTokenizer(path, pattern)
-    return _LOADED[key]
+    """One tokenizer per worker process, until another is asked for."""
+    return resident(("bpe", path, pattern), lambda: ByteLevelTokenizer(path, pattern))
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:

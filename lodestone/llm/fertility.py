@@ -14,7 +14,8 @@ tokens in bits. Basic rules on words and lines come first. Then a text is reject
   held against all texts of its script, and only if these are as few against `BANDS`.
 
 The corpus figures cover every text that passes the basic rules and the first bands. They
-are medians, so partial aggregation carries them: one row a language and one a script.
+are quantiles of exact counts on a grid (`GRID`), so reruns agree whatever the order of
+tasks, and partial aggregation carries them: a row for each language or script and grid cell.
 
 Defined results: null or empty text has zero counts and null measures, and fails the
 basic rules; repeated rows give repeated rows; extra columns are ignored; an empty
@@ -28,10 +29,10 @@ import unicodedata
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import TwoGenerations, join_groups, map_rows, stable, text_bytes
+from lodestone.llm.common import Scratch, TwoGenerations, join_groups, map_rows, resident, text_bytes, text_id, without
 
 SYMBOLS = b"#*$%&|<>"
 #: By script: characters per token of the byte-level and of the piece vocabulary (least,
@@ -44,7 +45,7 @@ BANDS = {
     "HIRAGANA": {"byte_cpt": (0.25, 4.0), "piece_cpt": (0.3, 4.0), "fallback": 1.0, "entropy": 0.35},
     "OTHER": {"byte_cpt": (0.1, 12.0), "piece_cpt": (0.1, 12.0), "fallback": 1.0, "entropy": 0.3},
 }
-BELOW, ABOVE, LEAST = 3.25, 6.0, 30
+BELOW, ABOVE, LEAST, GRID, MOST_KEYS = 3.25, 6.0, 30, 1_000, 50_000
 CPT = ("byte_cpt", "piece_cpt")
 COUNTS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 MEASURES = "script string, n_tokens long, byte_cpt double, piece_cpt double, fallback_share double, entropy double, reason string"
@@ -134,13 +135,8 @@ def script_of(word: str) -> str | None:
     return None
 
 
-_LOADED: dict[tuple, WordMeasures] = {}
-
-
 def load(*paths: str) -> WordMeasures:
-    if paths not in _LOADED:
-        _LOADED[paths] = WordMeasures(*paths)
-    return _LOADED[paths]
+    return resident(("fertility", *paths), lambda: WordMeasures(*paths))
 
 
 def base_counts(text: bytes) -> tuple[list[bytes], np.ndarray, tuple[int, int, int, int, int]]:
@@ -192,35 +188,46 @@ def measure(text: bytes, measures: WordMeasures, bands: dict, min_tokens: int) -
     return (*counts, base_failed, script, tokens, byte_cpt, piece_cpt, fallback_share, entropy, reason)
 
 
-def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern: str, bands: dict | None = None, min_tokens: int = 50) -> DataFrame:
-    """Counts, measures, reason (null: none) and kept per row; see the module text."""
+def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern: str, bands: dict | None = None, min_tokens: int = 50, scratch: Scratch | None = None) -> DataFrame:
+    """Counts, measures, reason (null: none), kept, and h1, h2 (of the text) per row; see the module text."""
     limits = bands or BANDS
+    scratch = scratch or Scratch(docs.sparkSession)
 
     def make():
         measures = load(byte_path, piece_path, pattern)
-        return lambda row: [(row[0], *measure(row[1] or b"", measures, limits, min_tokens), row[2], row[3])]
+        return lambda row: [(row[0], *measure(row[1] or b"", measures, limits, min_tokens), *row[2:])]
 
-    read = docs.select("doc_id", text_bytes(), F.col("lang").cast("string"), F.xxhash64("text"))
-    measured = stable(docs.sparkSession, map_rows(read, f"{COUNTS}, {MEASURES}, lang string, text_hash long", make))
+    read = docs.select("doc_id", text_bytes(), F.col("lang").cast("string"), *text_id())
+    measured = scratch.table(map_rows(read, f"{COUNTS}, {MEASURES}, lang string, h1 long, h2 long", make))
     total = measured.count()
-    judged = with_band(with_band(measured, "lang", total, 0.5, 1.4826), "script", total, 0.9, 0.6080)
+    judged = with_band(with_band(measured, "lang", total, 0.5, 1.4826, scratch), "script", total, 0.9, 0.6080, scratch)
     far = F.when(F.col("lang_far").isNotNull(), F.col("lang_far")).otherwise(F.col("script_far"))
     judgement = F.when(far, F.lit("corpus band")).when(far.isNull(), F.col("reason"))
     reason = F.when(left_open(), judgement).otherwise(F.col("reason"))
     columns = [x.split(" ")[0] for x in f"{COUNTS}, {MEASURES}".split(", ")]
-    return judged.withColumn("reason", reason).select(*columns, F.col("reason").isNull().alias("kept"), "text_hash")
+    return judged.withColumn("reason", reason).select(*columns, F.col("reason").isNull().alias("kept"), "h1", "h2")
+
+
+def quantiles(rows: DataFrame, key: str, part: float, size: str, scale: float = 1.0) -> DataFrame:
+    """key, ``size`` (rows), and of each measure in `CPT` the least value, in steps of 1 / `GRID`,
+    that the share ``part`` of the rows does not exceed, times ``scale``."""
+    measures = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.round(F.col(c) * GRID).cast("long").alias("cell")) for c in CPT)))
+    cells = rows.select(key, measures.alias("m")).groupBy(key, "m.name", "m.cell").agg(F.count("*").alias("n"))
+    by = Window.partitionBy(key, "name")
+    upto = cells.withColumn("upto", F.sum("n").over(by.orderBy("cell"))).withColumn("all", F.sum("n").over(by))
+    reached = upto.where(F.col("upto") >= F.col("all") * part)
+    return reached.groupBy(key).agg(F.max("all").alias(size), *((F.min(F.when(F.col("name") == c, F.col("cell"))) * scale / GRID).alias(f"_{c}") for c in CPT))
 
 
-def with_band(measured: DataFrame, key: str, total: int, part: float, scale: float) -> DataFrame:
+def with_band(measured: DataFrame, key: str, total: int, part: float, scale: float, scratch: Scratch) -> DataFrame:
     """Adds ``<key>_far``: whether the characters per token lie too far from those of the
     texts with the same ``key``; null if these give no band. The spread is ``scale`` times
     the quantile ``part`` of the deviations: a high one where a key mixes languages."""
-    good = measured.where(left_open() & F.col(key).isNotNull())
-    middle = good.groupBy(key).agg(F.count("*").alias("_n"), *(quantile(c, 0.5).alias(f"_{c}_mid") for c in CPT))
-    placed = join_groups(measured, middle, [key], "_n", total)
+    middle = scratch.table(quantiles(measured.where(left_open() & F.col(key).isNotNull()), key, 0.5, "_n"))
+    placed = join_keys(measured, middle.withColumnsRenamed({f"_{c}": f"_{c}_mid" for c in CPT}), key, "_n", total)
     off = {c: (F.col(c) - F.col(f"_{c}_mid")) * F.sqrt("n_tokens") for c in CPT}
-    spread = placed.where(left_open() & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_texts"), *((quantile(F.abs(v), part) * scale).alias(f"_{c}_spread") for c, v in off.items()))
-    judged = join_groups(placed, spread, [key], "_texts", total)
+    spread = scratch.table(quantiles(placed.where(left_open() & F.col(key).isNotNull()).select(key, *(F.abs(v).alias(c) for c, v in off.items())), key, part, "_texts", scale))
+    judged = join_keys(placed, spread.withColumnsRenamed({f"_{c}": f"_{c}_spread" for c in CPT}), key, "_texts", total)
     far, known = F.lit(False), F.col("_texts") >= LEAST
     for c, v in off.items():
         width = F.col(f"_{c}_spread")
@@ -228,18 +235,23 @@ def with_band(measured: DataFrame, key: str, total: int, part: float, scale: flo
     return judged.select(*measured.columns, F.when(known, far).alias(f"{key}_far"))
 
 
+def join_keys(rows: DataFrame, keys: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Left join to a table of few rows, or as `join_groups` if they are many."""
+    if keys.count() <= MOST_KEYS:
+        return rows.join(F.broadcast(keys), key, "left")
+    return join_groups(rows, keys, [key], size, total)
+
+
 def left_open():
     """Rows that the corpus bands judge: nothing else is wrong with them."""
     return F.col("reason").isNull() | F.col("reason").isin(*CPT)
 
 
-def quantile(value, part: float):
-    return F.percentile_approx(value, F.lit(part), F.lit(10_000))
-
-
 def keep_fertile(docs: DataFrame, *paths: str, **options) -> DataFrame:
-    """The rows of ``docs`` that pass, found again by doc_id and text."""
-    report = fertility_report(docs, *paths, **options)
-    gone = report.where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), "text_hash").distinct()
-    match = F.col("doc_id").eqNullSafe(F.col("_gone")) & (F.xxhash64("text") == F.col("text_hash"))
-    return docs.join(gone, match, "left_anti")
+    """The rows of ``docs`` that pass, found again by doc_id and 128 bits of the text, so that
+    nulls, repeated rows and any names of further columns do no harm."""
+    scratch = Scratch(docs.sparkSession)
+    report = fertility_report(docs, *paths, scratch=scratch, **options)
+    gone = scratch.table(report.where(~F.col("kept")).select("doc_id", "h1", "h2"))
+    scratch.keep(gone)
+    return without(docs, gone)
