@@ -5,14 +5,16 @@ Features are word unigrams and bigrams of the whole lower-cased text (A-Z), hash
 leader (proximal, per-coordinate rates, L1 and L2) goes over the training rows in a
 seeded order. A score is the logistic of the sparse dot product.
 
-The classifier is fitted on at most `MOST` labelled rows, those of the smallest seeded
-hash of their id; all labelled rows if they are fewer. Their features are computed on
-the executors; the driver gets `FEATURES` indices a row at most, by the smallest hash,
-and a model of 2**BITS weights goes back. Every row is scored over its whole text.
+The classifier is fitted on a bounded sample of labelled rows: in the order of a seeded
+hash of their id at most `MOST`, and of these as many as have `FEATURES` features
+together. A row counts with all features of its whole text or not at all. Features are
+computed on the executors; the driver gets the sample, and a model of 2**BITS weights goes
+back. Every row is scored over its whole text.
 
 Defined results: null or empty text has no features and scores the logistic of the
 bias; labels other than 0 and 1 and null labels are not learned from; a doc_id with
-several labels is learned once per label; with no row to learn from every score is 0.5;
+several labels is learned once per label and one with several texts once per text; rows
+and labels that are repeated count once; with no row to learn from every score is 0.5;
 repeated rows are scored alike; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -24,9 +26,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import gram_hashes, map_rows, text_bytes, word_hashes
+from lodestone.llm.common import Scratch, gram_hashes, map_rows, text_bytes, text_id, word_hashes
 
-BITS, MOST, FEATURES, EPOCHS, SEED = 18, 8_000, 20_000, 3, 17
+BITS, MOST, FEATURES, EPOCHS, SEED = 18, 8_000, 8_000_000, 3, 17
 
 
 def features(text: bytes | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -62,21 +64,43 @@ def logistic(x: float) -> float:
     return 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, x))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most: int = MOST, per_row: int = FEATURES, epochs: int = EPOCHS, seed: int = SEED) -> np.ndarray:
-    """Weights from texts of ``docs`` and (doc_id, label) of ``labels``; see the module text for the bounds."""
+def sample(docs: DataFrame, labels: DataFrame, bits: int, most: int, total: int, seed: int) -> list:
+    """Rows (label, idx, val) to learn from, in the order of the seeded hash."""
 
     def make():
         def step(row):
-            index, value = features(row[1], bits)
-            return [(row[0], row[2], index[:per_row].astype("<i4").tobytes(), value[:per_row].astype("<f4").tobytes())]
+            index, value = features(row[4], bits)
+            return [(*row[:4], len(index), index.astype("<i4").tobytes(), value.astype("<f4").tobytes())]
 
         return step
 
-    known = labels.where(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int"), F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("_order"))
-    chosen = known.orderBy("_order", "doc_id", "label").limit(most).drop("_order")
-    rows = docs.select("doc_id", text_bytes()).join(F.broadcast(chosen), "doc_id")  # at most ``most`` rows of two numbers
+    scratch = Scratch(docs.sparkSession)
+    known = labels.where(F.col("label").isin(0, 1)).select("doc_id", F.col("label").cast("int")).distinct()
+    # ids first: at most ``most`` of them have texts looked up, then texts: at most ``most`` are read
+    ids = known.withColumn("at", F.xxhash64("doc_id", F.lit(seed))).orderBy("at", "doc_id", "label").limit(most)
+    h1, _ = text_id()
+    texts = docs.select("doc_id", h1.alias("h1")).join(F.broadcast(ids), "doc_id").distinct()
+    order = ("at", "h1", "label")
+    chosen = scratch.table(texts.orderBy(*order).limit(most))
+    rows = docs.select("doc_id", text_bytes(), h1.alias("h1")).join(F.broadcast(chosen), ["doc_id", "h1"])
+    once = rows.groupBy(*order, "doc_id").agg(F.first("text").alias("text"))
+    made = scratch.table(map_rows(once.select(*order, "doc_id", "text"), "at long, h1 long, label int, doc_id long, n int, idx binary, val binary", make))
+    held, last = 0, None
+    for row in made.select(*order, "n").orderBy(*order).collect():  # ``most`` rows of four numbers
+        held += row["n"]
+        if held > total:
+            break
+        last = row
+    upto = F.lit(False) if last is None else F.struct(*order) <= F.struct(*(F.lit(last[c]).cast(t) for c, t in zip(order, ("long", "long", "int"), strict=True)))
+    out = made.where(upto).orderBy(*order).collect()  # ``total`` features at most
+    scratch.keep()
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, most: int = MOST, total: int = FEATURES, epochs: int = EPOCHS, seed: int = SEED) -> np.ndarray:
+    """Weights from texts of ``docs`` and (doc_id, label) of ``labels``; see the module text for the bounds."""
+    data = [(np.frombuffer(r["idx"], "<i4"), np.frombuffer(r["val"], "<f4"), r["label"]) for r in sample(docs, labels, bits, most, total, seed)]
     model = Ftrl(1 << bits)
-    data = [(np.frombuffer(r["idx"], "<i4").astype(np.int64), np.frombuffer(r["val"], "<f4").astype(float), r["label"]) for r in map_rows(rows, "doc_id long, label int, idx binary, val binary", make).orderBy("doc_id", "label").collect()]
     if not data:
         return np.zeros((1 << bits) + 1)
     ones = sum(label for *_, label in data)

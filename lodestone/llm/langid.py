@@ -6,13 +6,16 @@ k-means gives each learned language up to `CLUSTERS` centroids; the language of
 centroid with the greatest cosine is predicted. A prediction is marked rejected if its
 cosine is below what all but `REJECT` of the training texts of that centroid have.
 
-The classifier is fitted on at most `PER_LANGUAGE` rows a language and `MOST` in all,
-those of the smallest seeded hash of their id. Every row is predicted from its whole text
-and nothing but its text.
+The classifier is fitted on a bounded sample of rows with a lang, in the order of a seeded
+hash of their id and text: `PER_LANGUAGE` a language, `MOST` in all, and of these, the
+languages in turns, as many as have `GRAMS` distinct n-grams together. A row counts with
+its whole text or not at all. Every row is predicted from its whole text and nothing but
+its text.
 
 Defined results: null texts and texts without a letter get `und` with score 0; rows with
-null or empty lang are not learned from; with nothing to learn from every row is `und`;
-repeated rows are predicted alike; extra columns are ignored; an empty table gives no rows.
+null lang are not learned from, an empty one is a language; repeated rows are learned
+from once; with nothing to learn from every row is `und`; repeated rows are predicted
+alike; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,9 +26,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import map_rows, mix64, text_bytes
+from lodestone.llm.common import Scratch, join_groups, map_rows, mix64, text_bytes, text_id
 
-BITS, CLUSTERS, PER_LANGUAGE, MOST, REJECT, PARTS, SEED = 13, 4, 1_000, 8_000, 0.002, 64, 29
+BITS, CLUSTERS, PER_LANGUAGE, MOST, GRAMS, REJECT, SEED = 13, 4, 1_000, 8_000, 12_000_000, 0.002, 29
 _PIECE = 1 << 19
 _ALPHA: list[np.ndarray] = []
 
@@ -91,35 +94,55 @@ def cluster(rows: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12
     return centre
 
 
-def fit(rows: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST, clusters: int = CLUSTERS, seed: int = SEED) -> Centroids:
-    """Centroids from rows of (doc_id, text, lang); see the module text for the bounds."""
+def sample(rows: DataFrame, per_language: int, most: int, grams: int, seed: int) -> list:
+    """Rows (lang, idx, cnt) to learn from."""
 
     def make():
         def step(row):
-            counts = gram_counts(row[1] or b"")
+            counts = gram_counts(row[2] or b"")
             if counts is None:
                 return []
             at = np.flatnonzero(counts)
-            return [(row[0], row[2], at.astype("<i4").tobytes(), counts[at].astype("<i4").tobytes())]
+            return [(row[0], row[1], len(at), at.astype("<u2").tobytes(), counts[at].astype("<f4").tobytes())]
 
         return step
 
-    order = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    known = rows.where((F.col("lang") != "") & F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("lang").cast("string"), order.alias("_order"))
-    # in two levels, so that a language's one task sees PARTS times its sample at most
-    by_part = Window.partitionBy("lang", F.pmod("_order", F.lit(PARTS))).orderBy("_order", "doc_id")
-    known = known.withColumn("_n", F.row_number().over(by_part)).where(F.col("_n") <= per_language)
-    first = Window.partitionBy("lang").orderBy("_order", "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).orderBy("_n", "lang").limit(most).select("doc_id", F.col("lang").alias("_lang"))
-    texts = rows.select("doc_id", text_bytes()).join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
-    got = map_rows(texts, "doc_id long, lang string, idx binary, cnt binary", make).orderBy("doc_id", "lang").collect()
+    scratch = Scratch(rows.sparkSession)
+    h1, _ = text_id()
+    order = F.xxhash64(F.col("doc_id"), h1, F.lit(seed))
+    known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), order.alias("at"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    # twice the share of hashes that a language's sample needs, so that the window sees few rows
+    share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("n"))
+    near = join_groups(known, counts, ["lang"], "n", max(1, known.count())).where((F.col("at") / F.lit(2.0**64) + 0.5) <= share)
+    first = Window.partitionBy("lang").orderBy("at")
+    ranked = near.select("lang", "at").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
+    chosen = scratch.table(ranked.orderBy("k", "lang").limit(most))
+    texts = rows.select(F.col("lang").cast("string").alias("lang"), order.alias("at"), text_bytes())
+    once = texts.join(F.broadcast(chosen), ["lang", "at"]).groupBy("k", "lang", "at").agg(F.first("text").alias("text"))
+    made = scratch.table(map_rows(once.select("k", "lang", "text"), "k int, lang string, n int, idx binary, cnt binary", make))
+    held, last = 0, None
+    for row in made.select("k", "lang", "n").orderBy("k", "lang").collect():  # ``most`` rows
+        held += row["n"]
+        if held > grams:
+            break
+        last = row
+    upto = F.lit(False) if last is None else F.struct("k", "lang") <= F.struct(F.lit(last["k"]).cast("int"), F.lit(last["lang"]))
+    out = made.where(upto).orderBy("k", "lang").collect()  # ``grams`` pairs of numbers at most
+    scratch.keep()
+    return out
+
+
+def fit(rows: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST, clusters: int = CLUSTERS, grams: int = GRAMS, seed: int = SEED) -> Centroids:
+    """Centroids from rows of (doc_id, text, lang); see the module text for the bounds."""
+    got = sample(rows, per_language, most, grams, seed)
     size = 1 << BITS
     by: dict[str, list] = {}
     seen = np.zeros(size)
     for r in got:
-        at = np.frombuffer(r["idx"], "<i4")
+        at = np.frombuffer(r["idx"], "<u2")
         seen[at] += 1
-        by.setdefault(r["lang"], []).append((at, np.log1p(np.frombuffer(r["cnt"], "<i4"))))
+        by.setdefault(r["lang"], []).append((at, np.log1p(np.frombuffer(r["cnt"], "<f4"))))
     idf = np.log((1 + len(got)) / (1 + seen)) + 0.1
     rng = np.random.default_rng(seed)
     names, vectors, least = [], [], []
