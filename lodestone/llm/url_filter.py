@@ -6,80 +6,112 @@ distribution. A URL's figure is the difference of its log-likelihoods under both
 divided by its length; it is allowed from a threshold on. The threshold is calibrated on
 labelled URLs that the models did not see, for the greatest mean of the two hit rates.
 
-The models are fitted on URLs that rules decide, at most `MOST` of each verdict, those
-of the smallest seeded hash; a quarter of them is held out for the calibration.
+The models are the counts of all distinct URLs that rules decide but a quarter, by a seeded
+hash, which is held out for the calibration. They stay tables: counts of strings of ``ORDER
++ 1`` bytes, summed by suffix and by context, meet the strings of the URLs to be judged in joins,
+each distinct string once. Contexts of up to two bytes are few by construction and broadcast.
+Log-likelihoods are summed as integers (`SCALE`) and the calibration counts figures on a
+grid (`GRID`), so results do not depend on the order of rows. Everything is built-in functions.
 
 Defined results: null URLs and URLs without `://` have empty host and path, fit no rule
 and are judged by the models (null as the empty text); an empty URL, and every URL when
 one verdict has no example, has the figure 0; the longest fitting rule wins, of equally
-long ones a block; repeated rows are judged alike; extra columns are ignored.
+long ones a block; repeated rows are judged alike; extra columns are ignored; an empty
+table gives no rows; URLs of any length are read whole.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import map_rows
+from lodestone.llm.common import Scratch, join_groups, text_id
 
-ORDER, MOST, SEED = 5, 4_000, 41
+ORDER, SEED, SCALE, GRID = 5, 41, 1 << 20, 1_000
+VERDICTS = ("allow", "block")
 Rule = tuple[str, str, str]  # verdict, host, path
 
 
-class MarkovModel:
-    """Counts of the byte that follows each context of up to ``order`` bytes."""
-
-    def __init__(self, urls: list[bytes], order: int = ORDER):
-        self.order = order
-        self.next: dict[bytes, dict[int, int]] = {}
-        for url in urls:
-            padded = b"\x02" * order + url + b"\x03"
-            for k in range(order, len(padded)):
-                for n in range(order + 1):
-                    follow = self.next.setdefault(padded[k - n : k], {})
-                    follow[padded[k]] = follow.get(padded[k], 0) + 1
-        self.sums = {c: (sum(f.values()), len(f)) for c, f in self.next.items()}
-
-    def log_likelihood(self, url: bytes) -> float:
-        padded, total = b"\x02" * self.order + url + b"\x03", 0.0
-        for k in range(self.order, len(padded)):
-            p = 1 / 256
-            for n in range(self.order + 1):
-                context = padded[k - n : k]
-                seen = self.sums.get(context)
-                if seen is None:
-                    break
-                p = (self.next[context].get(padded[k], 0) + seen[1] * p) / (seen[0] + seen[1])
-            total += math.log2(p)
-        return total
-
-
-class RatioFilter:
-    """Both models and the calibrated threshold."""
-
-    def __init__(self, allowed: list[bytes], blocked: list[bytes], order: int = ORDER):
-        held = [[u for k, u in enumerate(group) if k % 4 == 3] for group in (allowed, blocked)]
-        used = [[u for k, u in enumerate(group) if k % 4 != 3] for group in (allowed, blocked)]
-        self.models = [MarkovModel(group, order) for group in used] if all(used) else None
-        self.threshold = self.calibrate(*held) if self.models and all(held) else 0.0
-
-    def figure(self, url: bytes) -> float:
-        if not url or self.models is None:
-            return 0.0
-        good, bad = (m.log_likelihood(url) for m in self.models)
-        return (good - bad) / len(url)
-
-    def calibrate(self, allowed: list[bytes], blocked: list[bytes]) -> float:
-        marks = sorted([(self.figure(u), 1 / len(allowed)) for u in allowed] + [(self.figure(u), -1 / len(blocked)) for u in blocked])
-        best, cut, gain = 0.0, marks[0][0], 0.0
-        for k, (value, weight) in enumerate(marks):
-            gain -= weight  # with a threshold above this mark
-            after = marks[k + 1][0] if k + 1 < len(marks) else value
-            if gain > best and after > value:
-                best, cut = gain, (value + after) / 2
-        return cut
+def strings(urls: DataFrame, order: int = ORDER) -> DataFrame:
+    """``gram`` for every byte of the texts ``url`` and the end: it and the ``order`` bytes
+    before it, as a number; bytes 2 stand before the start and a byte 3 is the end."""
+    padded = F.concat(F.lit("02" * order), F.hex(F.col("url").cast("binary")), F.lit("03"))
+    place = F.explode(F.sequence(F.lit(0), F.octet_length("url")))
+    cut = urls.withColumn("_hex", padded).withColumn("_at", place)
+    gram = F.conv(F.substring("_hex", F.col("_at") * 2 + 1, F.lit(2 * order + 2)), 16, 10).cast("long")
+    return cut.withColumn("gram", gram).drop("_hex", "_at")
+
+
+def key(level: Column, value: Column) -> Column:
+    """A string of some length as one number."""
+    return F.shiftleft(level.cast("long"), 48).bitwiseOR(value)
+
+
+def levels(grams: DataFrame, order: int) -> DataFrame:
+    """Each gram's suffixes: level n has n bytes of context; ``suffix`` with the byte, ``context`` without."""
+    each = grams.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(order))))
+    suffix = F.expr(f"gram & (shiftleft(1L, 8 * (level + 1)) - 1)")
+    return each.withColumn("suffix", key(F.col("level"), suffix)).withColumn("context", key(F.col("level"), F.shiftright(suffix, 8)))
+
+
+def counts_of(urls: DataFrame, order: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(suffix, c_<verdict>) and (context, n_<verdict>, t_<verdict>) of URLs (url, verdict):
+    how often a suffix occurs, and how often a context with how many different next bytes."""
+    grams = strings(urls, order).groupBy("gram").agg(*(F.count(F.when(F.col("verdict") == v, 1)).alias(f"c_{v}") for v in VERDICTS))
+    by = levels(grams, order).groupBy("suffix", "context", "level").agg(*(F.sum(f"c_{v}").alias(f"c_{v}") for v in VERDICTS))
+    by = scratch.table(by)
+    sums = [F.sum(f"c_{v}").alias(f"n_{v}") for v in VERDICTS] + [F.count(F.when(F.col(f"c_{v}") > 0, 1)).alias(f"t_{v}") for v in VERDICTS]
+    return by.select("level", "suffix", *(f"c_{v}" for v in VERDICTS)), scratch.table(by.groupBy("level", "context").agg(*sums))
+
+
+def differences(grams: DataFrame, counts: tuple[DataFrame, DataFrame], order: int) -> DataFrame:
+    """(gram, gain): log2 of the ratio of both models' probabilities, times `SCALE`, of distinct grams."""
+    by_suffix, by_context = counts
+    wanted = levels(grams, order)
+    # a level of up to two bytes has at most 65,792 keys
+    low, high = wanted.where("level <= 1"), wanted.where("level > 1")
+    met = low.join(F.broadcast(by_suffix.where("level <= 1").drop("level")), "suffix", "left").unionByName(high.join(by_suffix.where("level > 1").drop("level"), "suffix", "left"))
+    low, high = met.where("level <= 2"), met.where("level > 2")
+    met = low.join(F.broadcast(by_context.where("level <= 2").drop("level")), "context", "left").unionByName(high.join(by_context.where("level > 2").drop("level"), "context", "left"))
+    figures = [f"{x}_{v}" for v in VERDICTS for x in "cnt"]
+    lists = met.groupBy("gram").agg(F.array_sort(F.collect_list(F.struct("level", *(F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in figures)))).alias("steps"))
+
+    def probability(verdict: str) -> Column:
+        c, n, t = (f"{x}_{verdict}" for x in "cnt")
+        step = lambda p, s: F.when(s[n] > 0, (s[c] + s[t] * p) / (s[n] + s[t])).otherwise(p)
+        return F.aggregate("steps", F.lit(1 / 256), step)
+
+    gain = (F.log2(probability("allow")) - F.log2(probability("block"))) * SCALE
+    return lists.select("gram", F.round(gain).cast("long").alias("gain"))
+
+
+def figures(urls: DataFrame, counts: tuple[DataFrame, DataFrame], order: int, scratch: Scratch) -> DataFrame:
+    """``urls`` (h1, h2, url and more, a row each) with ``figure``."""
+    cut = scratch.table(strings(urls.select("h1", "h2", "url"), order).groupBy("h1", "h2", "gram").agg(F.count("*").alias("times")))
+    grams = cut.groupBy("gram").agg(F.count("*").alias("urls"))
+    gains = scratch.table(grams.join(differences(grams.select("gram"), counts, order), "gram"))
+    sums = join_groups(cut, gains, ["gram"], "urls", max(1, urls.count())).groupBy("h1", "h2").agg(F.sum(F.col("gain") * F.col("times")).alias("gain"))
+    sums = scratch.table(sums, drop=[cut, gains])
+    figure = F.when(F.col("url") == "", 0.0).otherwise(F.col("gain") / SCALE / F.octet_length("url"))
+    return scratch.table(urls.join(sums, ["h1", "h2"]).withColumn("figure", figure).drop("gain"), drop=[sums])
+
+
+def best_cut(cells: list[tuple[int, str, int]]) -> float:
+    """The threshold with the greatest mean of both hit rates, between two cells of the grid;
+    cells: (figure times `GRID`, rounded; verdict; URLs)."""
+    total = {v: sum(n for _, verdict, n in cells if verdict == v) for v in VERDICTS}
+    if not all(total.values()):
+        return 0.0
+    marks: dict[int, float] = {}
+    for cell, verdict, n in cells:
+        marks[cell] = marks.get(cell, 0.0) + (n if verdict == "allow" else -n) / total[verdict]
+    order = sorted(marks)
+    best, cut, gain = 0.0, order[0] - 0.5, 0.0
+    for k, cell in enumerate(order[:-1]):
+        gain -= marks[cell]  # with a threshold above this cell
+        if gain > best + 1e-12:
+            best, cut = gain, (cell + order[k + 1]) / 2
+    return cut / GRID
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -99,27 +131,33 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], most: int = MOST, order: int = ORDER, seed: int = SEED) -> DataFrame:
-    """page_id, host, path, rule, verdict, figure per row."""
+def held_out(url: Column, seed: int) -> Column:
+    """A quarter of the URLs, by the first eight digits of an MD5."""
+    return F.conv(F.substring(F.md5(F.concat(url, F.lit(str(seed))).cast("binary")), 1, 8), 16, 10).cast("long") % 4 == 3
+
+
+def judge_urls(pages: DataFrame, rules: list[Rule], order: int = ORDER, seed: int = SEED) -> DataFrame:
+    """page_id, host, path, rule, verdict, figure (null where a rule decides) per row."""
+    scratch = Scratch(pages.sparkSession)
     host, path = split_url(F.col("url"))
-    split = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    ruled = split.withColumn("decided", rule_of(F.col("host"), F.col("path"), rules)).select("page_id", "url", "host", "path", "decided.*")
-    groups = []
-    for verdict in ("allow", "block"):
-        known = ruled.where(F.col("verdict") == verdict).select("url", F.xxhash64(F.col("url"), F.lit(seed)).alias("_order")).distinct()
-        groups.append([r["url"].encode() for r in known.orderBy("_order", "url").limit(most).collect()])
-    shared = pages.sparkSession.sparkContext.broadcast(RatioFilter(*groups, order=order))
-
-    def make():
-        judge = shared.value
-
-        def step(row):
-            page_id, url, at, start, rule, verdict = row
-            if verdict is not None:
-                return [(page_id, at, start, rule, verdict, None)]
-            figure = judge.figure((url or "").encode())
-            return [(page_id, at, start, None, "allow" if figure >= judge.threshold else "block", figure)]
-
-        return step
-
-    return map_rows(ruled, "page_id long, host string, path string, rule string, verdict string, figure double", make)
+    split = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
+    h1, h2 = text_id("url")
+    ruled = split.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)).select("page_id", "url", h1.alias("h1"), h2.alias("h2"), "host", "path", "_rule.*")
+    each = scratch.table(ruled.groupBy("h1", "h2").agg(F.first("url").alias("url"), F.first("verdict").alias("verdict"), F.count("*").alias("n")))
+    counts = counts_of(each.where(F.col("verdict").isNotNull() & ~held_out(F.col("url"), seed)), order, scratch)
+    examples = each.where(~held_out(F.col("url"), seed)).agg(*(F.count(F.when(F.col("verdict") == v, 1)) for v in VERDICTS)).first()
+    wanted = each.where(F.col("verdict").isNull() | held_out(F.col("url"), seed))
+    if all(examples):
+        judged = figures(wanted, counts, order, scratch)
+    else:
+        judged = scratch.table(wanted.withColumn("figure", F.lit(0.0)))
+    cells = judged.where(F.col("verdict").isNotNull()).groupBy(F.round(F.col("figure") * GRID).cast("long").alias("cell"), "verdict").count()
+    threshold = best_cut([tuple(r) for r in cells.collect()]) if all(examples) else 0.0  # cells of a bounded grid
+    scratch.keep(judged)
+
+    open_ = judged.where(F.col("verdict").isNull()).select("h1", "h2", "n", "figure")
+    decided = ruled.where(F.col("verdict").isNotNull()).select("page_id", "host", "path", "rule", "verdict", F.lit(None).cast("double").alias("figure"))
+    left = ruled.where(F.col("verdict").isNull()).select("page_id", "host", "path", "h1", "h2")
+    verdict = F.when(F.col("figure") >= threshold, "allow").otherwise("block")
+    met = join_groups(left, open_, ["h1", "h2"], "n", max(1, pages.count())).select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), verdict.alias("verdict"), "figure")
+    return decided.unionByName(met)
