@@ -36,10 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import has_slot, join_groups, map_rows, mix64, release, slot_bitmap, stable, text_bytes, to_batch
+from lodestone.llm.common import BROADCAST_ROWS, Scratch, join_groups, map_rows, mix64, text_id, to_batch
 from lodestone.llm.induced_sort import suffix_order
 
 GRAM, SHARD_BYTES, PIECE = 24, 4 << 20, 1 << 20
+#: Tasks of one exchange, and pairs of an anchor and a text that a task holds at a time.
+MOST_TASKS, PASS = 20_000, 4_000_000
 CUT = np.uint64(24)  # bits of an anchor that the filter leaves out
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
@@ -94,7 +96,39 @@ def unpacked_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return (high.astype(np.uint64) << np.uint64(32)) | low, np.frombuffer(raw, "<i8", m, 8)[index]
 
 
-def shared_anchors(docs: DataFrame, length: int, shards: int, buckets: int) -> DataFrame:
+class Blobs:
+    """Packed pairs in a scratch file of the task, read back in passes of bounded memory."""
+
+    def __init__(self):
+        self.file, self.sizes, self.pairs = tempfile.TemporaryFile(), [], 0
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.file.close()
+
+    def add(self, raw: bytes) -> None:
+        self.file.write(raw)
+        self.sizes.append(len(raw))
+        self.pairs += int(np.frombuffer(raw, "<u4", 1)[0])
+
+    def passes(self, part_of) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All (value, key) of a part at a time; part_of(value, key) gives a hash by which they are dealt."""
+        count = -(-self.pairs // PASS)
+        for k in range(count):
+            self.file.seek(0)
+            parts = []
+            for size in self.sizes:
+                v, key = unpacked_pairs(self.file.read(size))
+                if count > 1:
+                    mine = part_of(v, key) % np.uint64(count) == k
+                    v, key = v[mine], key[mine]
+                parts.append((v, key))
+            yield np.concatenate([v for v, _ in parts]), np.concatenate([key for _, key in parts])
+
+
+def shared_anchors(docs: DataFrame, length: int, shards: int) -> DataFrame:
     """(text_key, anchors): packed anchors of a text that another text may have.
 
     Anchors are cut to 40 bits here, which at worst lets more of them through.
@@ -137,81 +171,60 @@ def shared_anchors(docs: DataFrame, length: int, shards: int, buckets: int) -> D
             yield flush(values, keys)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Streams a task's blobs to scratch space, then emits the pairs of shared anchors."""
+        """Emits the pairs of shared anchors, by bucket of their text."""
 
-        def emit(value: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-            bucket = key % buckets
+        def emit(value: np.ndarray, key: np.ndarray) -> Iterator[pa.RecordBatch]:
+            bucket = key % shards
             order = np.argsort(bucket, kind="stable")
             value, key, bucket = value[order], key[order], bucket[order]
-            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-            return to_batch([(int(bucket[a]), packed_pairs(value[a:b], key[a:b])) for a, b in zip(cut, [*cut[1:], len(key)], strict=True)], kept)
-
-        with tempfile.TemporaryFile() as scratch:
-            sizes, value, low, high = [], np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-            waiting: list[tuple] = []
-
-            def merge() -> None:
-                nonlocal value, low, high
-                parts = [(value, low, high), *waiting]
-                waiting.clear()
-                v, lo, hi = (np.concatenate([p[k] for p in parts]) for k in range(3))
-                order = np.argsort(v, kind="stable")
-                v, lo, hi = v[order], lo[order], hi[order]
-                cut = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1])))
-                value, low, high = v[cut], np.minimum.reduceat(lo, cut), np.maximum.reduceat(hi, cut)
-
-            held = 0
+            cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))).tolist()
+            rows = []
+            for a, b in zip(cut, [*cut[1:], len(key)], strict=True):
+                rows += [(int(bucket[a]), packed_pairs(value[k : min(b, k + 60_000)], key[k : min(b, k + 60_000)])) for k in range(a, b, 60_000)]
+            if rows:
+                yield to_batch(rows, kept)
+
+        with Blobs() as blobs:
             for batch in batches:
                 for shard, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    raw = packed.as_py()
-                    v, k = unpacked_pairs(raw)
                     if shard >= shards:
-                        yield emit(v, k)
-                        continue
-                    sizes.append(len(raw))
-                    scratch.write(raw)
-                    waiting.append((v, k, k))
-                    held += len(v)
-                    if held > 300_000:
-                        merge()
-                        held = 0
-            if not sizes:
-                return
-            merge()
-            shared = value[low < high]
-            scratch.seek(0)
-            for size in sizes:
-                v, k = unpacked_pairs(scratch.read(size))
-                at = np.minimum(np.searchsorted(shared, v), max(len(shared) - 1, 0))
-                hit = shared[at] == v if len(shared) else np.zeros(len(v), bool)
-                if hit.any():
-                    yield emit(v[hit], k[hit])
+                        yield from emit(*unpacked_pairs(packed.as_py()))
+                    else:
+                        blobs.add(packed.as_py())
+            for value, key in blobs.passes(lambda v, _: v >> np.uint64(5)):
+                order = np.lexsort((key, value))
+                value, key = value[order], key[order]
+                cut = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+                last = np.append(cut[1:], len(value)) - 1
+                shared = np.repeat(key[cut] < key[last], last - cut + 1)
+                yield from emit(value[shared], key[shared])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The pairs of a task's buckets by text."""
-        parts = [unpacked_pairs(raw.as_py()) for batch in batches for raw in batch.column(1)]
-        if not parts:
-            return
-        value, key = (np.concatenate([p[k] for p in parts]) for k in range(2))
-        order = np.argsort(key, kind="stable")
-        value, key = value[order], key[order]
-        cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        for at in range(0, len(cut), 20_000):
-            edges = [*cut[at : at + 20_001].tolist(), len(key)]
-            yield to_batch([(int(key[a]), value[a:b].tobytes()) for a, b in zip(edges[:20_000], edges[1:], strict=False)], done)
+        with Blobs() as blobs:
+            for batch in batches:
+                for raw in batch.column(1):
+                    blobs.add(raw.as_py())
+            for value, key in blobs.passes(lambda _, k: mix64(k.view(np.uint64))):
+                order = np.argsort(key, kind="stable")
+                value, key = value[order], key[order]
+                cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                for at in range(0, len(cut), 20_000):
+                    edges = [*cut[at : at + 20_001].tolist(), len(key)]
+                    yield to_batch([(int(key[a]), value[a:b].tobytes()) for a, b in zip(edges[:20_000], edges[1:], strict=False)], done)
 
     sent = docs.select("text_key", "text").mapInArrow(make, "shard int, blob binary")
     decided = sent.repartition(shards, "shard").mapInArrow(decide, "bucket int, pairs binary")
-    return decided.repartition(buckets, "bucket").mapInArrow(gather, "text_key long, anchors binary")
+    return decided.repartition(shards, "bucket").mapInArrow(gather, "text_key long, anchors binary")
 
 
 def segments(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
-    """(ord, text_key, start, windows, anchor, digest, body) of segments with a shared anchor.
+    """(ord, text_key, h2, start, windows, anchor, digest, body) of segments with a shared anchor.
 
     body, the bytes of a segment with its last window, comes once a task and content.
     """
-    mine = shared.join(firsts.select("text_key", F.col("least").alias("ord")), "text_key")
-    names = ("ord", "text_key", "start", "windows", "anchor", "digest")
+    mine = shared.join(firsts.select("text_key", "h2", F.col("least").alias("ord")), "text_key")
+    names = ("ord", "text_key", "h2", "start", "windows", "anchor", "digest")
     schema = pa.schema([*((n, pa.int64()) for n in names), ("body", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,7 +240,7 @@ def segments(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int)
             return out
 
         for batch in batches:
-            for key, ord_, text, wanted in zip(*batch.columns, strict=True):
+            for key, h2, ord_, text, wanted in zip(*batch.columns, strict=True):
                 text = text.as_py()
                 start, value = anchors(text, length)
                 wanted, short = np.unique(np.frombuffer(wanted.as_py(), np.uint64)), value >> CUT
@@ -244,7 +257,7 @@ def segments(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int)
                         sent.add(digest)
                 if len(sent) > 500_000:
                     sent.clear()
-                constant = [np.full(len(hit), v.as_py(), np.int64) for v in (ord_, key)]
+                constant = [np.full(len(hit), v.as_py(), np.int64) for v in (ord_, key, h2)]
                 for column, values in zip(columns, (*constant, start, end - start, value[hit].view(np.int64), np.array(digests, np.uint64).view(np.int64)), strict=True):
                     column.append(values)
                 bodies += own
@@ -253,8 +266,8 @@ def segments(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int)
         if bodies:
             yield flush()
 
-    met = docs.join(mine, ["text_key", "ord"]).select("text_key", "ord", "text", "anchors")
-    return met.mapInArrow(run, "ord long, text_key long, start long, windows long, anchor long, digest long, body binary")
+    met = docs.join(mine, ["text_key", "h2", "ord"]).select("text_key", "h2", "ord", "text", "anchors")
+    return met.mapInArrow(run, "ord long, text_key long, h2 long, start long, windows long, anchor long, digest long, body binary")
 
 
 def shard_profiles(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
@@ -337,20 +350,17 @@ def shard_profiles(distinct: DataFrame, length: int, shard_bytes: int) -> DataFr
     return near.select("anchor", "digest", "body", "least", "last", "n").mapInArrow(run, "anchor long, digest long, n long, profile binary")
 
 
-def repeated_segments(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """(ord, text_key, start, profile) of segments that may lose bytes."""
-    spark = docs.sparkSession
+def repeated_segments(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int, scratch: Scratch) -> DataFrame:
+    """(ord, text_key, h2, start, profile) of segments that may lose bytes."""
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(8, min(1 << 15, volume // (16 << 20)))
-    shared = stable(spark, shared_anchors(docs, length, shards, shards))
-    release(spark)
-    found = stable(spark, segments(docs, shared, firsts, length))
-    release(spark)
+    shards = max(8, min(MOST_TASKS, volume // (16 << 20)))
+    shared = scratch.table(shared_anchors(docs, length, shards))
+    found = scratch.table(segments(docs, shared, firsts, length), drop=[shared])
     kinds = found.groupBy("anchor", "digest").agg(F.max("body").alias("body"), F.min("ord").alias("least"), F.max("ord").alias("last"), F.count("*").alias("n"))
-    profiles = stable(spark, shard_profiles(kinds, length, shard_bytes))
-    release(spark)
+    profiles = scratch.table(shard_profiles(kinds, length, shard_bytes))
     placed = join_groups(found.drop("body"), profiles, ["anchor", "digest"], "n", max(1, found.count()))
-    return placed.where("profile is not null").select("ord", "text_key", "start", "profile")
+    out = placed.where("profile is not null").select("ord", "text_key", "h2", "start", "profile")
+    return scratch.table(out, drop=[found, profiles])
 
 
 def runs_of(ord_: int, pieces: list[dict], length: int) -> np.ndarray:
@@ -370,35 +380,44 @@ def runs_of(ord_: int, pieces: list[dict], length: int) -> np.ndarray:
     return np.stack([runs[first, 0], np.append(reach[:-1][first[1:]], reach[-1])], 1)
 
 
-def repeated_runs(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """(text_key, ord, runs): packed runs of the texts that lose bytes in their first document."""
+def repeated_runs(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int, scratch: Scratch) -> DataFrame:
+    """(text_key, h2, ord, runs): packed runs of the texts that lose bytes in their first document."""
 
     def make():
         def step(row):
-            runs = runs_of(row[0], row[2], length)
-            return [(row[1], row[0], runs.astype("<i8").tobytes())] if len(runs) else []
+            runs = runs_of(row[0], row[3], length)
+            return [(row[1], row[2], row[0], runs.astype("<i8").tobytes())] if len(runs) else []
 
         return step
 
-    found = repeated_segments(docs, firsts, length, shard_bytes)
+    found = repeated_segments(docs, firsts, length, shard_bytes, scratch)
     # repeated rows of a document bring their segments twice
-    pieces = found.groupBy("ord", "text_key").agg(F.collect_list(F.struct("start", "profile")).alias("pieces"))
-    return map_rows(pieces, "text_key long, ord long, runs binary", make)
+    pieces = found.groupBy("ord", "text_key", "h2").agg(F.collect_list(F.struct("start", "profile")).alias("pieces"))
+    return scratch.table(map_rows(pieces, "text_key long, h2 long, ord long, runs binary", make), drop=[found])
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, ord (null last), text_key and h2 (128 bits of the text), text (binary)."""
+    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    h1, h2 = text_id()
+    return whole.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), h1.alias("text_key"), h2.alias("h2"), F.col("text").cast("binary").alias("text"))
+
 
+def first_texts(keyed: DataFrame) -> DataFrame:
+    """text_key, h2, least (smallest ord), n (rows) of every text."""
+    return keyed.groupBy("text_key", "h2").agg(F.min("ord").alias("least"), F.count("*").alias("n"))
 
-def dedup_substrings(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES, slots: int = 1 << 24) -> DataFrame:
+
+def dedup_substrings(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
-    firsts = stable(spark, keyed.groupBy("text_key").agg(F.min("ord").alias("least"), F.count("*").alias("n")))
-    runs = stable(spark, repeated_runs(keyed, firsts, length, shard_bytes))
-    release(spark)
-    cut = stable(spark, kept_texts(keyed, runs, slots).drop("kept").dropDuplicates(["text_key"]))
-    release(spark)
-    state = firsts.join(cut, "text_key", "left")
-    keys = keyed.select("doc_id", "ord", "text_key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha256"))
-    met = join_groups(keys, state, ["text_key"], "n", max(1, firsts.agg(F.sum("n")).first()[0] or 0))
+    scratch = Scratch(docs.sparkSession)
+    keyed = keyed_texts(docs)
+    firsts = scratch.table(first_texts(keyed))
+    runs = repeated_runs(keyed, firsts, length, shard_bytes, scratch)
+    cut = scratch.table(kept_texts(keyed, runs).drop("kept").dropDuplicates(["text_key", "h2"]), drop=[runs])
+    state = firsts.join(cut, ["text_key", "h2"], "left")
+    keys = keyed.select("doc_id", "ord", "text_key", "h2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha256"))
+    met = join_groups(keys, state, ["text_key", "h2"], "n", max(1, firsts.agg(F.sum("n")).first()[0] or 0))
     copy = (F.col("ord") > F.col("least")) & (F.col("n_bytes") >= length)
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     return met.select(
@@ -410,40 +429,34 @@ def dedup_substrings(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD
     )
 
 
-def kept_texts(keyed: DataFrame, runs: DataFrame, slots: int) -> DataFrame:
-    """(text_key, n_removed, n_spans, kept_sha256, kept) of the texts that have runs.
-
-    Only these travel: a bitmap of ``slots`` bits tells the readers which.
-    """
-    shared = keyed.sparkSession.sparkContext.broadcast(slot_bitmap(runs.select("text_key"), slots))
-
-    def chosen():
-        bits = shared.value
-        return lambda row: [row] if has_slot(bits, row[0]) else []
+def kept_texts(keyed: DataFrame, runs: DataFrame) -> DataFrame:
+    """(text_key, h2, n_removed, n_spans, kept_sha256, kept) of the texts that have runs."""
 
     def make():
         def step(row):
-            key, text, packed = row
+            key, h2, text, packed = row
             gone = np.frombuffer(packed, "<i8").reshape(-1, 2)
             edges = [0, *gone.ravel().tolist(), len(text)]
             kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            return [(key, len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept)]
+            return [(key, h2, len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept)]
 
         return step
 
-    read = map_rows(keyed.select("text_key", "ord", "text"), "text_key long, ord long, text binary", chosen)
-    met = read.join(runs, ["text_key", "ord"]).select("text_key", "text", "runs")
-    return map_rows(met, "text_key long, n_removed long, n_spans long, kept_sha256 string, kept binary", make)
+    count = runs.count()
+    near = keyed.select("text_key", "h2", "ord", "text")
+    if count <= BROADCAST_ROWS:  # else the join's shuffle tells the texts
+        near = near.join(F.broadcast(runs.select("text_key")), "text_key", "left_semi")
+    met = near.join(runs, ["text_key", "h2", "ord"]).select("text_key", "h2", "text", "runs")
+    return map_rows(met, "text_key long, h2 long, n_removed long, n_spans long, kept_sha256 string, kept binary", make)
 
 
-def deduped_texts(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES, slots: int = 1 << 24) -> DataFrame:
+def deduped_texts(docs: DataFrame, length: int = 50, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, kept (binary): what is left of every row's text."""
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).cast("long").alias("ord"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
-    firsts = stable(spark, keyed.groupBy("text_key").agg(F.min("ord").alias("least"), F.count("*").alias("n")))
-    runs = stable(spark, repeated_runs(keyed, firsts, length, shard_bytes))
-    cut = kept_texts(keyed, runs, slots).select("text_key", "kept").dropDuplicates(["text_key"])
-    met = join_groups(keyed, firsts.join(cut, "text_key", "left"), ["text_key"], "n", max(1, firsts.agg(F.sum("n")).first()[0] or 0))
+    scratch = Scratch(docs.sparkSession)
+    keyed = keyed_texts(docs)
+    firsts = scratch.table(first_texts(keyed))
+    runs = repeated_runs(keyed, firsts, length, shard_bytes, scratch)
+    cut = kept_texts(keyed, runs).select("text_key", "h2", "kept").dropDuplicates(["text_key", "h2"])
+    met = join_groups(keyed, firsts.join(cut, ["text_key", "h2"], "left"), ["text_key", "h2"], "n", max(1, firsts.agg(F.sum("n")).first()[0] or 0))
     copy = (F.col("ord") > F.col("least")) & (F.octet_length("text") >= length)
     return met.select("doc_id", F.when(copy, F.lit(b"")).otherwise(F.coalesce("kept", "text")).alias("kept"))
