@@ -6,6 +6,11 @@ duplicates are judged on five-word shingles at a similarity of 0.8; of each grou
 document with the smallest doc_id stays. The mix repeats and cuts documents to reach its
 targets: per document and pass there is a row with the words taken.
 
+Nulls, empty and very long texts, ties and repeated rows have the results that the stages'
+operators state; rows are found again by doc_id and 128 bits of their text, so null and repeated
+ids do no harm. Further columns, whatever their names, go through all stages but the last; an
+empty table gives no rows.
+
 SQL expresses neither the tokenisers nor the mix, so ORACLE_SQL is None; the tests hold
 the stages against brute-force versions.
 """
@@ -15,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestone.llm import bpe, exact_dedup, fertility, jaccard_join, mixing
-from lodestone.llm.common import stable
+from lodestone.llm.common import Scratch
 from lodestone.llm.queries import BYTE_JSON, FERTILITY_PATHS, PATTERN
 
 
@@ -51,7 +56,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written before the next one reads it."""
+    scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stable(spark, stage(spark, docs, sf_dir))
+    for _, stage in STAGES[:-1]:
+        docs = scratch.table(stage(spark, docs, sf_dir), drop=[docs])
     return STAGES[-1][1](spark, docs, sf_dir)
