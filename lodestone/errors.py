@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
+from collections.abc import Iterator
+
+from pyspark.errors import PySparkException
+
 # Texts that callers compare.
 OUT_OF_RANGE_NS = (
     "Timestamp is not representable in arrow: {value}\n"
@@ -21,10 +27,6 @@ class MetadataUnavailable(ExchangeError):
     """The source does not say which columns a statement returns."""
 
 
-class EncodingInvalid(ExchangeError):
-    """A column name is not valid in the encoding that the source promises."""
-
-
 class ColumnFailure(ExchangeError):
     """A column can't be exchanged: its name, zero-based index and the reason."""
 
@@ -95,10 +97,6 @@ class ExecuteStatement(WriterError):
     """The database refused a chunk of rows."""
 
 
-class RebindBuffer(WriterError):
-    """A grown parameter buffer could not be bound again."""
-
-
 class UnsupportedForInsertion(WriterError):
     def __init__(self, data_type: object):
         super().__init__(f"{data_type} can't be inserted")
@@ -119,3 +117,30 @@ class PreparingStatement(WriterError):
     def __init__(self, sql: str, cause: Exception):
         super().__init__(f"the database does not accept the statement {sql}: {cause}")
         self.sql, self.cause = sql, cause
+
+
+@contextlib.contextmanager
+def typed_errors() -> Iterator[None]:
+    """Values that a scan refuses come out of an action inside as the errors of this module."""
+    try:
+        yield
+    except PySparkException as e:
+        text = str(e)
+        before, after = OUT_OF_RANGE_NS.split("{value}")
+        if m := re.search(re.escape(before) + "(.*?)" + re.escape(after.split("\n")[0]) + "\n" + re.escape(after.split("\n")[1][:40]), text):
+            raise OutOfRangeTimestampNs(m[1]) from e
+        if m := re.search(r"invalid UTF-8; readable part: ([^\n]*)", text):
+            raise InvalidUtf8(m[1]) from e
+        raise
+
+
+@contextlib.contextmanager
+def writer_errors() -> Iterator[None]:
+    """What stops a sink comes out as a writer's error: the database's refusal, or rows that
+    could not be produced."""
+    try:
+        yield
+    except PySparkException as e:
+        text = str(e)
+        refused = "ExecuteStatement" in text or "java.sql." in text or "SQLException" in text
+        raise (ExecuteStatement if refused else ReadingBatch)(text) from e

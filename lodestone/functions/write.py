@@ -15,6 +15,12 @@ TZ_WIDTH = {"s": 25, "ms": 29, "us": 32, "ns": 35}
 TIME_WIDTH = {"ms": 12, "us": 15, "ns": 18}
 
 
+def floor_div(value: Column, by: int) -> Column:
+    """Whole division that rounds down, in integers throughout."""
+    unit = F.lit(by).cast("long")
+    return F.call_function("div", value.cast("long") - F.pmod(value.cast("long"), unit), unit)
+
+
 def bit(c: Column) -> Column:
     return c.cast("tinyint")
 
@@ -30,12 +36,12 @@ def date_from_days(days: Column) -> Column:
 
 def date_from_ms(ms: Column) -> Column:
     """64-bit dates count milliseconds, so the day is the floor, not the number itself."""
-    return F.date_from_unix_date(F.floor(ms / F.lit(86_400_000)).cast("int"))
+    return F.date_from_unix_date(floor_div(ms, 86_400_000).cast("int"))
 
 
 def timestamp_from_epoch(ticks: Column, unit: str) -> Column:
     if unit == "ns":
-        return F.timestamp_micros(F.floor(ticks / F.lit(1000)).cast("long")).cast("timestamp_ntz")
+        return F.timestamp_micros(floor_div(ticks, 1000)).cast("timestamp_ntz")
     return {"s": F.timestamp_seconds, "ms": F.timestamp_millis, "us": F.timestamp_micros}[unit](ticks).cast("timestamp_ntz")
 
 
@@ -44,6 +50,14 @@ def truncated_ns(ns: Column) -> Column:
     return ns - ns % 100
 
 
+def timestamp_ns_text(ns: Column) -> Column:
+    """Seven digits as text: Spark's own type ends at six. Truncated toward zero."""
+    kept = truncated_ns(ns)
+    whole = F.date_format(F.timestamp_seconds(floor_div(kept, 1_000_000_000)).cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
+    digits = F.lpad(F.call_function("div", F.pmod(kept, F.lit(1_000_000_000).cast("long")), F.lit(100).cast("long")).cast("string"), 7, "0")
+    return F.concat(whole, F.lit("."), digits)
+
+
 def check_time_zone(tz: str) -> None:
     """IANA names and fixed offsets; raises when the writer is made, not when it runs."""
     import re
@@ -67,8 +81,7 @@ def timestamp_tz_text(ticks: Column, unit: str, tz: str) -> Column:
     """Wall time with offset. Fractions floor, so instants before 1970 are right as well."""
     check_time_zone(tz)
     scale = 10 ** UNITS[unit]
-    seconds = F.floor(ticks / F.lit(scale)) if unit == "s" else (ticks - F.pmod(ticks, F.lit(scale).cast("long"))) / F.lit(scale)
-    instant = F.timestamp_seconds(seconds.cast("long"))
+    instant = F.timestamp_seconds(floor_div(ticks, scale))
     wall = F.date_format(F.from_utc_timestamp(instant, tz), "yyyy-MM-dd HH:mm:ss")
     fraction = [] if unit == "s" else [F.lit("."), F.lpad(F.pmod(ticks, F.lit(scale).cast("long")).cast("string"), UNITS[unit], "0")]
     return F.concat(wall, *fraction, offset_text(instant, tz))
@@ -77,7 +90,7 @@ def timestamp_tz_text(ticks: Column, unit: str, tz: str) -> Column:
 def time_text(ticks: Column, unit: str) -> Column:
     """`HH:MM:SS` with 0, 3, 6 or 9 fractional digits."""
     scale, digits = 10 ** UNITS[unit], UNITS[unit]
-    seconds = F.floor(ticks / F.lit(scale)).cast("long")
+    seconds = floor_div(ticks, scale)
     whole = F.format_string("%02d:%02d:%02d", F.floor(seconds / 3600).cast("int"), F.floor(seconds % 3600 / 60).cast("int"), (seconds % 60).cast("int"))
     return whole if unit == "s" else F.concat(whole, F.lit("."), F.lpad((ticks % F.lit(scale)).cast("string"), digits, "0"))
 

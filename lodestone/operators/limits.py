@@ -8,6 +8,7 @@ in UTF-16, and a closing zero.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, field
 
 from lodestone.errors import BufferTooSmall, ColumnFailure, TooLarge, UnknownStringLength, ZeroSizedColumn
@@ -69,16 +70,24 @@ class ReaderOptions:
     allocation_limit: int = 1 << 31
     value_errors_as_null: bool = False
     trim_fixed_sized_characters: bool = False
-    payload_text_encoding: str = "utf8"
+    payload_text_encoding: str = "auto"
+    enforce_not_null: bool = False
     dbms_name: str | None = None
     widths: dict[str, int] = field(default_factory=dict, init=False)
 
+    @property
+    def encoding(self) -> str:
+        """utf8 or utf16; "auto" is what the platform's databases speak: UTF-16 on Windows only."""
+        if self.payload_text_encoding == "auto":
+            return "utf16" if sys.platform == "win32" else "utf8"
+        return self.payload_text_encoding
+
     def row_width(self, columns: list[ColumnDescriptor], logicals: list[Logical]) -> int:
         """Bytes of a row; the widths by column stay in ``widths``."""
         self.widths = {}
         for index, (column, logical) in enumerate(zip(columns, logicals, strict=True)):
             try:
-                self.widths[column.name] = column_width(logical, column, self.max_text_size, self.max_binary_size, self.payload_text_encoding)
+                self.widths[column.name] = column_width(logical, column, self.max_text_size, self.max_binary_size, self.encoding)
             except (ZeroSizedColumn, UnknownStringLength) as e:
                 raise ColumnFailure(column.name, index, e) from None
         return sum(self.widths.values())

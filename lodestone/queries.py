@@ -9,14 +9,14 @@ import os
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestone.functions import read, sqlgen, write
 from lodestone.functions.inference import ColumnDescriptor, infer_schema
 from lodestone.operators.chunks import chunked
-from lodestone.operators.convert import read_projection
+from lodestone.operators.convert import read_projection, write_projection
 from lodestone.operators.limits import ReaderOptions, rows_per_batch
 from lodestone.plans import session
 from lodestone.sources import dbapi, jdbc
@@ -188,10 +188,27 @@ def ts_from_epoch(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", *(F.date_format(write.timestamp_from_epoch(read.epoch(ts, u), u), US).alias(u) for u in ("s", "ms", "us")))
 
 
-@query("SELECT event_id, (CASE WHEN n < 0 THEN -((-n) // 100) ELSE n // 100 END) * 100 AS ns FROM (SELECT event_id, epoch_ns(ts) * (CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END) + event_id % 100 AS n FROM events)")
+NANOS = "epoch_ns(ts) * (CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END) + event_id % 1000"
+
+
+def nanos() -> Column:
+    """Nanoseconds on both sides of 1970, not all multiples of a hundred."""
+    return read.epoch_ns(F.col("ts")) * F.when(F.col("event_id") % 2 == 0, 1).otherwise(-1) + F.col("event_id") % 1000
+
+
+@query(f"SELECT event_id, (CASE WHEN n < 0 THEN -((-n) // 100) ELSE n // 100 END) * 100 AS ns FROM (SELECT event_id, {NANOS} AS n FROM events)")
 def ns_trunc(spark: SparkSession, d: str) -> DataFrame:
-    ns = read.epoch_ns(F.col("ts")) * F.when(F.col("event_id") % 2 == 0, 1).otherwise(-1) + F.col("event_id") % 100
-    return table(spark, d, "events").select("event_id", write.truncated_ns(ns).alias("ns"))
+    return table(spark, d, "events").select("event_id", write.truncated_ns(nanos()).alias("ns"))
+
+
+@query(
+    f"""SELECT event_id, strftime(make_timestamp(CAST(floor(t / 1e7) AS bigint) * 1000000), '%Y-%m-%d %H:%M:%S') || '.' || lpad(CAST(((t % 10000000) + 10000000) % 10000000 AS varchar), 7, '0') AS ns
+    FROM (SELECT event_id, CASE WHEN n < 0 THEN -((-n) // 100) ELSE n // 100 END AS t FROM (SELECT event_id, {NANOS} AS n FROM events))"""
+)
+def ns_sink(spark: SparkSession, d: str) -> DataFrame:
+    """Through the projection that every sink uses."""
+    rows = table(spark, d, "events").select("event_id", nanos().alias("ns", metadata=Logical("timestamp", unit="ns").field("ns").metadata))
+    return write_projection(rows)
 
 
 def zone_sql(zone: str, name: str) -> str:
@@ -254,14 +271,17 @@ def utf16_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT n_nationkey, n_name AS name FROM nation")
 def trim_char(spark: SparkSession, d: str) -> DataFrame:
-    padded = F.concat(F.lit(" \t "), F.col("n_name"), F.lit("  \n"))
-    return table(spark, d, "nation").select("n_nationkey", read.trimmed(padded).alias("name"))
+    """A scan of a padded column that trims, as the option says."""
+    nation = table(spark, d, "nation").select("n_nationkey", F.concat(F.lit(" "), "n_name").alias("name"))
+    reload(spark, "PADDED", "N_NATIONKEY INT, NAME CHAR(40)", nation)
+    schema = [("n_nationkey", Logical("int32")), ("name", Logical("utf8"))]
+    return jdbc.scan(spark, DERBY, "SELECT * FROM PADDED", ReaderOptions(schema=schema, trim_fixed_sized_characters=True), jdbc.DERBY_DRIVER)
 
 
-@query("SELECT doc_id, CAST(octet_length(encode(text)) AS integer) AS size FROM documents WHERE octet_length(encode(text)) <= 4096")
+@query("SELECT doc_id, CAST(CASE WHEN octet_length(encode(text)) <= 4096 THEN octet_length(encode(text)) END AS integer) AS size FROM documents")
 def text_cap(spark: SparkSession, d: str) -> DataFrame:
-    size = F.octet_length(read.capped(F.col("text"), 4096, "text", or_null=True))
-    return table(spark, d, "documents").select("doc_id", size.alias("size")).where("size is not null")
+    """Of every document what the cap decides: its size, or null beyond it."""
+    return table(spark, d, "documents").select("doc_id", F.octet_length(read.capped(F.col("text"), 4096, "text", or_null=True)).alias("size"))
 
 
 @query("SELECT doc_id, CAST(octet_length(encode(text)) > 1024 AS integer) AS beyond FROM documents")
@@ -271,16 +291,49 @@ def binary_cap(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.when(raw.isNotNull(), beyond.cast("int")).alias("beyond"))
 
 
-@query("SELECT doc_id, hex(encode(substr(text, 1, 8))) AS raw FROM documents")
-def binary_rt(spark: SparkSession, d: str) -> DataFrame:
-    back = read.fixed_binary(F.col("text").cast("binary"), F.octet_length("text"))
-    return table(spark, d, "documents").select("doc_id", F.hex(F.substring(back.cast("string"), 1, 8).cast("binary")).alias("raw"))
-
-
 @query("SELECT doc_id, octet_length(encode(text)) AS size, md5(text) AS digest FROM documents")
-def binary_whole(spark: SparkSession, d: str) -> DataFrame:
-    back = read.fixed_binary(F.col("text").cast("binary"), F.octet_length("text"))
-    return table(spark, d, "documents").select("doc_id", F.octet_length(back).cast("long").alias("size"), F.md5(back).alias("digest"))
+def binary_rt(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts as variable and as fixed-size binary through a database and back."""
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").cast("binary").alias("raw"))
+    where = {"database": sqlite_copy(docs, "raw", "doc_id INTEGER, raw BLOB"), "timeout": 60}
+    columns = [ColumnDescriptor("doc_id", "bigint"), ColumnDescriptor("raw", "longvarbinary")]
+    back = dbapi.scan(spark, "sqlite3", where, "SELECT doc_id, raw FROM raw", columns=columns, options=ReaderOptions(max_binary_size=1 << 20))
+    return back.select("doc_id", F.octet_length("raw").cast("long").alias("size"), F.md5("raw").alias("digest"))
+
+
+@query("SELECT doc_id, CAST(16 AS bigint) AS size, md5(text) AS digest FROM documents")
+def binary_fixed(spark: SparkSession, d: str) -> DataFrame:
+    """A fixed-size column, the digests of whole texts, through a database and back."""
+    docs = table(spark, d, "documents").select("doc_id", F.unhex(F.md5("text")).alias("raw"))
+    where = {"database": sqlite_copy(docs, "raw", "doc_id INTEGER, raw BLOB"), "timeout": 60}
+    columns = [ColumnDescriptor("doc_id", "bigint"), ColumnDescriptor("raw", "binary", length=16)]
+    back = dbapi.scan(spark, "sqlite3", where, "SELECT doc_id, raw FROM raw", columns=columns)
+    return back.select("doc_id", F.octet_length("raw").cast("long").alias("size"), F.lower(F.hex("raw")).alias("digest"))
+
+
+SUNK = f"""
+SELECT event_id, strftime(ts, '%H:%M:%S.%f') || '000' AS at,
+       strftime(timezone('Europe/Berlin', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S.%f') ||
+       printf('%s%02d:%02d', '+', CAST(date_diff('second', ts, timezone('Europe/Berlin', timezone('UTC', ts))) // 3600 AS integer), 0) AS zoned,
+       '+' || lpad(CAST(event_id AS varchar), 38, '0') || '00' AS wide, CAST(event_id % 2 AS bigint) AS odd
+FROM events"""
+
+
+@query(SUNK)
+def sink_types(spark: SparkSession, d: str) -> DataFrame:
+    """Time, zoned timestamp, a decimal of 40 digits with negative scale and a boolean in a database."""
+    meta = lambda kind, **more: Logical(kind, **more).field("x").metadata
+    ts = F.col("ts").cast("timestamp")
+    of_day = F.pmod(F.unix_micros(ts), F.lit(86_400_000_000).cast("long")) * 1000
+    rows = table(spark, d, "events").select(
+        "event_id",
+        of_day.alias("at", metadata=meta("time", unit="ns")),
+        ts.alias("zoned", metadata=meta("timestamp", unit="us", tz="Europe/Berlin")),
+        F.col("event_id").cast("string").alias("wide", metadata=meta("decimal", precision=38, scale=-2)),
+        (F.col("event_id") % 2 == 1).alias("odd"),
+    )
+    where = {"database": sqlite_copy(rows, "sunk", "event_id INTEGER, at TEXT, zoned TEXT, wide TEXT, odd INTEGER"), "timeout": 60}
+    return dbapi.scan(spark, "sqlite3", where, "SELECT * FROM sunk", "event_id long, at string, zoned string, wide string, odd long")
 
 
 WIDTHS = (0, 1, 8, 100, 8_192, 10_000, 1 << 20, 512 << 20)
@@ -291,9 +344,19 @@ def batch_size_rule(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(w, rows_per_batch(w)) for w in WIDTHS], "width long, n_rows long")
 
 
-@query("SELECT CAST((row_number() OVER (ORDER BY c_custkey) - 1) // 700 AS bigint) AS batch, c_custkey FROM customer")
+BATCHES = "SELECT CAST((row_number() OVER (ORDER BY c_custkey) - 1) // {0} AS bigint) AS batch, c_custkey, c_name FROM customer"
+
+
+def customer_batches(spark: SparkSession, d: str, options: ReaderOptions) -> DataFrame:
+    """Customers with the number of the batch that a reader with these limits fetched them in."""
+    where = {"database": sqlite_copy(table(spark, d, "customer").select("c_custkey", "c_name"), "customer", "c_custkey INTEGER, c_name TEXT"), "timeout": 60}
+    columns = [ColumnDescriptor("c_custkey", "bigint"), ColumnDescriptor("c_name", "varchar", length=25)]
+    return dbapi.scan(spark, "sqlite3", where, "SELECT * FROM customer ORDER BY c_custkey", columns=columns, options=options, batch_column="batch")
+
+
+@query(BATCHES.format(700))
 def batch_rows(spark: SparkSession, d: str) -> DataFrame:
-    return chunked(table(spark, d, "customer").select("c_custkey"), ["c_custkey"], 700).select(F.col("chunk").alias("batch"), "c_custkey")
+    return customer_batches(spark, d, ReaderOptions(max_num_rows_per_batch=700))
 
 
 COLUMNS = [
@@ -311,12 +374,10 @@ def row_width(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(list(options.widths.items()), "name string, width int")
 
 
-@query("SELECT CAST(m AS bigint) AS max_bytes, CAST(least(65535, m // 340) AS bigint) AS n_rows FROM (VALUES (340), (10000), (10485760), (536870912)) t(m)")
+@query(BATCHES.format("(37500 // (16 + 8 + 4 * 25 + 1))"))
 def batch_bytes(spark: SparkSession, d: str) -> DataFrame:
-    from lodestone.functions.inference import infer_logical
-
-    logicals = [infer_logical(c) for c in COLUMNS]
-    return spark.createDataFrame([(m, ReaderOptions(max_bytes_per_batch=m).max_rows_per_batch(COLUMNS, logicals)) for m in (340, 10_000, 10 << 20, 512 << 20)], "max_bytes long, n_rows long")
+    """A row may take 16 bytes for its number and 109 for its text."""
+    return customer_batches(spark, d, ReaderOptions(max_bytes_per_batch=37_500))
 
 
 @query("SELECT chunk, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high FROM (SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS bigint) AS chunk FROM orders) GROUP BY chunk")

@@ -2,8 +2,11 @@
 
 Reading: every partition runs the query (with its own parameters) on its own connection
 and yields Arrow batches of exactly ``batch_rows`` rows, fetched one ahead by a thread if
-``prefetch`` is set. Writing: every task sends its rows with ``executemany`` in chunks of
-``row_capacity`` and commits at its end; a task that is repeated sends its rows again.
+``prefetch`` is set. The rows of a batch may follow from limits on rows and bytes and the
+columns' descriptions. Of several result sets one is read. Writing: every task turns its
+Arrow batches into rows and sends them with ``executemany`` in chunks of ``row_capacity``, which
+span batches, and commits at its end; a task that is repeated sends its rows again.
+Placeholders are those of the module's ``paramstyle``; named ones are columns.
 """
 
 from __future__ import annotations
@@ -18,13 +21,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, LongType, StringType, StructField, StructType
 
-from lodestone.errors import BindParameters, ExecuteStatement, PreparingStatement
-from lodestone.functions.sqlgen import insert_statement
-from lodestone.operators.convert import write_projection
+from lodestone.errors import BindParameters, ExecuteStatement, PreparingStatement, writer_errors
+from lodestone.functions.inference import ColumnDescriptor, infer_logical
+from lodestone.functions.sqlgen import insert_statement, placeholders
+from lodestone.operators.convert import read_projection, write_projection
+from lodestone.operators.limits import ReaderOptions
+from lodestone.types import Logical, check_readable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -50,13 +56,19 @@ class DbApiReader(DataSourceReader):
         yield from prefetched(batches) if self.options.get("prefetch") == "true" else batches
 
     def batches(self, params: list) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(self.schema)
+        arrow, number = to_arrow_schema(self.schema), self.options.get("batch_column") or None
         connection = connect(self.options)
         try:
             cursor = connection.cursor()
             cursor.execute(self.options["query"], params)
+            for _ in range(int(self.options.get("result_set", 0))):
+                if not cursor.nextset():
+                    return
+            batch = 0
             while rows := cursor.fetchmany(int(self.options.get("batch_rows", 65_535))):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+                columns = [*zip(*rows, strict=True)] + ([[batch] * len(rows)] if number else [])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+                batch += 1
         finally:
             connection.close()
 
@@ -103,30 +115,32 @@ class Sent(WriterCommitMessage):
         self.chunks = chunks
 
 
-class DbApiWriter(DataSourceWriter):
+class DbApiWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.options = dict(options)
 
-    def write(self, iterator: Iterator) -> Sent:
-        capacity, chunks = int(self.options.get("row_capacity", 10_000)), []
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Sent:
+        capacity, chunks, named = int(self.options.get("row_capacity", 10_000)), [], paramstyle(self.options["module"]) in ("named", "pyformat")
         connection = connect(self.options)
         try:
             cursor, held = connection.cursor(), []
 
             def flush() -> None:
-                if held:
-                    try:
-                        cursor.executemany(self.options["statement"], held)
-                    except Exception as e:
-                        raise ExecuteStatement(str(e)) from e
-                    chunks.append(len(held))
-                    held.clear()
-
-            for row in iterator:
-                held.append(tuple(row))
-                if len(held) == capacity:
-                    flush()
-            flush()
+                try:
+                    cursor.executemany(self.options["statement"], held)
+                except Exception as e:
+                    raise ExecuteStatement(f"ExecuteStatement: {e}") from e
+                chunks.append(len(held))
+                held.clear()
+
+            for batch in iterator:
+                rows = batch.to_pylist() if named else zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                for row in rows:
+                    held.append(row)
+                    if len(held) == capacity:
+                        flush()
+            if held:
+                flush()
             connection.commit()
         finally:
             connection.close()
@@ -154,30 +168,86 @@ class DbApiSource(DataSource):
         return DbApiWriter(self.options)
 
 
-def scan(spark: SparkSession, module: str, connect_args: dict, query: str, schema: str | StructType, params: list[list] | None = None, batch_rows: int = 65_535, prefetch: bool = False) -> DataFrame:
-    """params: one list of parameters per partition."""
+def paramstyle(module: str) -> str:
+    return importlib.import_module(module).paramstyle
+
+
+def scan(
+    spark: SparkSession, module: str, connect_args: dict, query: str, schema: str | StructType | None = None, params: list[list] | None = None, batch_rows: int = 65_535,
+    prefetch: bool = False, columns: list[ColumnDescriptor] | None = None, options: ReaderOptions | None = None, result_set: int = 0, batch_column: str | None = None,
+) -> DataFrame:
+    """Rows of a query.
+
+    params: one list of parameters per partition. Either ``schema`` says what comes, or ``columns``
+    describe it: then types are inferred and values converted as in any scan, and the limits of
+    ``options`` on rows and bytes give the rows of a batch. result_set: which of several, from 0.
+    batch_column: adds the number of a row's batch in its partition.
+    """
+    reading = schema
+    if columns is not None:
+        reader_options = options or ReaderOptions()
+        typed = reader_options.schema or [(c.name, infer_logical(c, k, reader_options.dbms_name)) for k, c in enumerate(columns)]
+        check_readable(typed)
+        batch_rows = reader_options.max_rows_per_batch(columns, [t for _, t in typed])
+        reading = StructType([StructField(c.name, delivered(t)) for c, (_, t) in zip(columns, typed, strict=True)])
+    if batch_column:
+        whole = StructType.fromDDL(reading) if isinstance(reading, str) else reading
+        reading = StructType([*whole.fields, StructField(batch_column, LongType())])
     spark.dataSource.register(DbApiSource)
-    reader = spark.read.format("dbapi").schema(schema)
-    options = {"module": module, "connect": json.dumps(connect_args), "query": query, "partitions": json.dumps(params or [[]]), "batch_rows": batch_rows, "prefetch": str(prefetch).lower()}
-    return reader.options(**options).load()
-
-
-def execute_many(df: DataFrame, module: str, connect_args: dict, statement: str, row_capacity: int = 10_000) -> None:
-    """Runs any statement with one placeholder per column for all rows."""
-    marks = statement.count("?")
-    if marks != len(df.columns):
-        raise BindParameters(f"{marks} placeholders for {len(df.columns)} columns")
-    connection = connect({"module": module, "connect": json.dumps(connect_args)})
-    try:  # prepared once here, so that a bad statement fails before any row is sent
-        connection.cursor().execute("EXPLAIN " + statement, [None] * marks)
-    except Exception as e:
-        raise PreparingStatement(statement, e) from e
-    finally:
-        connection.close()
+    given = {
+        "module": module, "connect": json.dumps(connect_args), "query": query, "partitions": json.dumps(params or [[]]), "batch_rows": batch_rows,
+        "prefetch": str(prefetch).lower(), "result_set": result_set, "batch_column": batch_column or "",
+    }
+    rows = spark.read.format("dbapi").schema(reading).options(**given).load()
+    if columns is None:
+        return rows
+    extra = [(batch_column, Logical("int64"))] if batch_column else []
+    described = columns + [ColumnDescriptor(n, "bigint") for n, _ in extra]
+    return read_projection(rows, typed + extra, reader_options, described)
+
+
+def delivered(logical: Logical) -> DataType:
+    """What a driver gives for a type: dates, times, decimals and timestamps as text."""
+    if logical.kind in ("decimal", "time", "timestamp", "date"):
+        return StringType()
+    return LongType() if logical.kind == "bool" else logical.spark_type()
+
+
+def result_sets(spark: SparkSession, module: str, connect_args: dict, query: str, schemas: list[str | None]) -> list[DataFrame]:
+    """A frame for each result of a query that gives several; None: a result without columns."""
+    empty = StructType([])
+    return [spark.createDataFrame([], empty) if s is None else scan(spark, module, connect_args, query, s, result_set=k) for k, s in enumerate(schemas)]
+
+
+def execute_many(df: DataFrame, module: str, connect_args: dict, statement: str, row_capacity: int = 10_000, probe: str | None = None) -> None:
+    """Runs any statement with one placeholder per column for all rows.
+
+    probe: a form such as "EXPLAIN {}" that has the database check the statement before any row is
+    sent. Databases differ in it, so only sqlite has one by itself; without one a bad statement
+    fails with the first chunk.
+    """
+    style = paramstyle(module)
+    marks = placeholders(statement, style)
+    if len(marks) != len(df.columns):
+        raise BindParameters(f"{len(marks)} placeholders for {len(df.columns)} columns")
+    if style in ("named", "pyformat"):
+        names = {m[1:] if style == "named" else m[2:-2] for m in marks}
+        if names != set(df.columns):
+            raise BindParameters(f"placeholders {sorted(names)} for columns {sorted(df.columns)}")
+    probe = probe or ("EXPLAIN {}" if module == "sqlite3" else None)
+    if probe:
+        connection = connect({"module": module, "connect": json.dumps(connect_args)})
+        try:
+            connection.cursor().execute(probe.format(statement), dict.fromkeys(df.columns) if style in ("named", "pyformat") else [None] * len(marks))
+        except Exception as e:
+            raise PreparingStatement(statement, e) from e
+        finally:
+            connection.close()
     df.sparkSession.dataSource.register(DbApiSource)
     options = {"module": module, "connect": json.dumps(connect_args), "statement": statement, "row_capacity": row_capacity}
-    write_projection(df).write.format("dbapi").options(**options).mode("append").save()
+    with writer_errors():
+        write_projection(df).write.format("dbapi").options(**options).mode("append").save()
 
 
 def insert(df: DataFrame, module: str, connect_args: dict, table: str, row_capacity: int = 10_000) -> None:
-    execute_many(df, module, connect_args, insert_statement(table, df.schema), row_capacity)
+    execute_many(df, module, connect_args, insert_statement(table, df.schema, paramstyle(module)), row_capacity)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from lodestone.errors import FailedToDescribeColumn, MetadataUnavailable
+from lodestone.errors import FailedToDescribeColumn, MetadataUnavailable, TooLarge, writer_errors
 from lodestone.functions.inference import ColumnDescriptor, infer_logical, jdbc_descriptor
 from lodestone.operators.convert import read_projection, write_projection
 from lodestone.operators.limits import ReaderOptions
@@ -56,8 +57,8 @@ def execute(spark: SparkSession, url: str, *statements: str, driver: str | None
 def scan(spark: SparkSession, url: str, sql: str, options: ReaderOptions | None = None, driver: str | None = None, partition: tuple[str, int, int, int] | None = None) -> DataFrame:
     """Rows of a statement in inferred or given types.
 
-    partition: (column, lower, upper, count) for parallel reading. Filters and columns
-    of later steps are pushed into the statement.
+    partition: (column, lower, upper, count) for parallel reading. Columns of later steps are
+    pushed into the statement, and filters on columns that need no conversion.
     """
     options = options or ReaderOptions()
     columns, name = describe(spark, url, sql, driver)
@@ -71,10 +72,41 @@ def scan(spark: SparkSession, url: str, sql: str, options: ReaderOptions | None
         reader = reader.option("dbtable", f"({sql}) q").option("partitionColumn", column).option("lowerBound", low).option("upperBound", high).option("numPartitions", count)
     else:
         reader = reader.option("query", sql)
-    return read_projection(reader.load(), schema, options)
+    return read_projection(reader.load(), schema, options, columns if len(columns) == len(schema) else None)
 
 
 def insert(df: DataFrame, url: str, table: str, row_capacity: int = 10_000, driver: str | None = None) -> None:
     """Appends rows in chunks. Each partition is a transaction where the database has them."""
     writer = write_projection(df).write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", row_capacity)
-    (writer.option("driver", driver) if driver else writer).mode("append").save()
+    with writer_errors():
+        (writer.option("driver", driver) if driver else writer).mode("append").save()
+
+
+def result_sets(spark: SparkSession, url: str, sql: str, driver: str | None = None, most: int = 100_000) -> list[DataFrame]:
+    """All results of a statement that gives several, in order; one without rows, such as an
+    update count, has no columns. They come through the driver: more than ``most`` rows of a
+    result are refused, as a scan is the way to these.
+    """
+    connection = _connect(spark, url, driver)
+    try:
+        statement = connection.createStatement()
+        results, rows = [], statement.execute(sql)
+        while rows or statement.getUpdateCount() != -1:
+            if rows:
+                cursor = statement.getResultSet()
+                meta = cursor.getMetaData()
+                names = [meta.getColumnLabel(k) for k in range(1, meta.getColumnCount() + 1)]
+                values = []
+                while cursor.next():
+                    values.append(tuple(cursor.getString(k) for k in range(1, len(names) + 1)))
+                    if len(values) > most:
+                        raise TooLarge(len(values), len(names))
+                descriptors = [jdbc_descriptor(n, meta.getColumnType(k), meta.getPrecision(k), meta.getScale(k), meta.getColumnDisplaySize(k), True, meta.isSigned(k)) for k, n in enumerate(names, 1)]
+                texts = spark.createDataFrame(values, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+                results.append(read_projection(texts, [(c.name, infer_logical(c, k)) for k, c in enumerate(descriptors)]))
+            else:
+                results.append(spark.createDataFrame([], T.StructType([])))
+            rows = statement.getMoreResults()
+        return results
+    finally:
+        connection.close()

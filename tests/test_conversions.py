@@ -4,8 +4,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.errors import ColumnFailure, InvalidTimeZone
+from lodestone.errors import ColumnFailure, InvalidTimeZone, InvalidUtf8, OutOfRangeTimestampNs, typed_errors
 from lodestone.functions import read, sqlgen, write
+from lodestone.functions.inference import ColumnDescriptor
 from lodestone.operators.convert import read_projection, write_projection
 from lodestone.operators.limits import ReaderOptions
 from lodestone.types import Logical
@@ -90,6 +91,56 @@ def test_decimal_text(spark, sql, p, s, text):
     assert got == text and len(got) == write.decimal_width(p, s)
 
 
+@pytest.mark.parametrize(
+    ("ns", "text"),
+    [(11_111_111_111_111_111, "1970-05-09 14:25:11.1111111"), (0, "1970-01-01 00:00:00.0000000"), (-150, "1969-12-31 23:59:59.9999999"), (-1_000_000_001, "1969-12-31 23:59:59.0000000"), (1_700_000_000_380_112_000, "2023-11-14 22:13:20.3801120"), (2**63 - 1, "2262-04-11 23:47:16.8547758")],
+)
+def test_nanoseconds_in_a_sink(spark, ns, text):
+    field = Logical("timestamp", unit="ns").field("t")
+    rows = spark.sql(f"SELECT {ns}L AS t").select(F.col("t").alias("t", metadata=field.metadata))
+    assert write_projection(rows).first().t == text
+
+
+def test_whole_microseconds_stay(spark):
+    ticks = spark.range(200_000).select((F.col("id") * 1_000 + 1_700_000_000_000_000_000).alias("t"))
+    wrong = ticks.where(F.unix_micros(write.timestamp_from_epoch(F.col("t"), "ns").cast("timestamp")) * 1000 != F.col("t"))
+    assert wrong.count() == 0
+
+
+def test_nulls_in_columns_declared_without(spark):
+    rows = spark.sql("SELECT CAST(NULL AS int) AS a").select(F.col("a").alias("a", metadata={"nullable": False}))
+    with pytest.raises(Exception, match="declared without nulls"):
+        write_projection(rows).collect()
+    described = [ColumnDescriptor("a", "integer", nullable=False)]
+    source = spark.sql("SELECT CAST(NULL AS int) AS a")
+    assert read_projection(source, [("a", Logical("int32"))], None, described).schema["a"].metadata["nullable"] is False
+    with pytest.raises(Exception, match="declared without nulls"):
+        read_projection(source, [("a", Logical("int32"))], ReaderOptions(enforce_not_null=True), described).collect()
+
+
+def test_trimming_of_fixed_columns(spark):
+    source = spark.sql("SELECT ' ab  ' AS a, ' ab  ' AS b")
+    described = [ColumnDescriptor("a", "char", length=5), ColumnDescriptor("b", "varchar", length=5)]
+    schema = [("a", Logical("utf8")), ("b", Logical("utf8"))]
+    assert read_projection(source, schema, ReaderOptions(trim_fixed_sized_characters=True), described).first() == ("ab", " ab  ")
+    assert read_projection(source, schema, ReaderOptions(), described).first() == (" ab  ", " ab  ")
+
+
+def test_encoding(monkeypatch):
+    assert ReaderOptions().encoding == "utf8" and ReaderOptions(payload_text_encoding="utf16").encoding == "utf16"
+    monkeypatch.setattr("sys.platform", "win32")
+    assert ReaderOptions().encoding == "utf16"
+
+
+def test_typed_errors(spark):
+    with pytest.raises(OutOfRangeTimestampNs) as e, typed_errors():
+        one(spark, "TIMESTAMP_NTZ '2300-01-01 00:00:00.1'", read.epoch_ns)
+    assert e.value.value.startswith("2300-01-01")
+    with pytest.raises(InvalidUtf8) as e, typed_errors():
+        one(spark, "X'48656c6c6fc3'", read.text_utf8)
+    assert e.value.lossy_value.startswith("Hello")
+
+
 def test_small_write_rules(spark):
     assert one(spark, "-150L", write.truncated_ns) == -100
     assert one(spark, "86400000L", write.date_from_ms) == dt.date(1970, 1, 2)
@@ -112,7 +163,7 @@ def test_projections(spark):
         read_projection(source.select("t"), [("t", Logical("utf8"))], ReaderOptions(max_text_size=3)).collect()
 
 
-@pytest.mark.parametrize(("name", "text"), [("a", "a"), ('"values"', '"values"'), ("column name with spaces", '"column name with spaces"'), ("[x y]", "[x y]"), ("a-b", '"a-b"'), ("Ü1_$#@", "Ü1_$#@"), ("", ""), ('"', '"'), ("x\ny", '"x\ny"')])
+@pytest.mark.parametrize(("name", "text"), [("a", "a"), ('"values"', '"values"'), ("column name with spaces", '"column name with spaces"'), ("[x y]", "[x y]"), ("a-b", '"a-b"'), ("Ü1_$#@", "Ü1_$#@"), ("", ""), ('"', '"'), ("x\ny", '"x\ny"'), ("नाि", "नाि"), ("½", "½"), ("a\u0301", '"a\u0301"')])
 def test_quoting(spark, name, text):
     assert sqlgen.quoted(name) == text
     assert values(spark, [(name,)], "n string", sqlgen.quoted_column(F.col("n"))) == [(text,)]
@@ -120,3 +171,13 @@ def test_quoting(spark, name, text):
 
 def test_insert_statement():
     assert sqlgen.insert_statement("MyTable", ["a", "b c"]) == 'INSERT INTO MyTable (a, "b c") VALUES (?, ?)'
+    assert sqlgen.insert_statement("t", ["a", "b"], "numeric") == "INSERT INTO t (a, b) VALUES (:1, :2)"
+    assert sqlgen.insert_statement("t", ["a", "b"], "pyformat") == "INSERT INTO t (a, b) VALUES (%(a)s, %(b)s)"
+
+
+@pytest.mark.parametrize(
+    ("statement", "style", "found"),
+    [("UPDATE t SET a = ? WHERE b = '?' -- ?\n AND \"c?\" = ? /* ? */", "qmark", ["?", "?"]), ("x = %s AND y LIKE 'a%s' AND z LIKE 5%%", "format", ["%s"]), ("a = :n AND b = :m AND c::int = :n", "named", [":n", ":m"]), ("(:2, :1)", "numeric", [":2", ":1"]), ("%(a)s, %(b)s, %(a)s", "pyformat", ["%(a)s", "%(b)s"])],
+)
+def test_placeholders(statement, style, found):
+    assert sqlgen.placeholders(statement, style) == found
