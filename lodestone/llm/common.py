@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WHITESPACE = b" \t\n\v\f\r"
-_IS_SPACE = np.zeros(256, dtype=bool)
-_IS_SPACE[list(WHITESPACE)] = True
+IS_SPACE = np.zeros(256, dtype=bool)
+IS_SPACE[list(WHITESPACE)] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 1 << 19
@@ -95,7 +95,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     parts, at = [], 0
     while at < len(text):
         end = at + _CHUNK
-        while end < len(text) and not _IS_SPACE[text[end]]:
+        while end < len(text) and not IS_SPACE[text[end]]:
             end += 1
         parts.append(_chunk_hashes(text[at:end]))
         at = end
@@ -104,7 +104,7 @@ def word_hashes(text: bytes) -> np.ndarray:
 
 def _chunk_hashes(text: bytes) -> np.ndarray:
     raw = np.frombuffer(text, np.uint8)
-    edge = np.diff(np.concatenate(([False], ~_IS_SPACE[raw], [False])).view(np.int8))
+    edge = np.diff(np.concatenate(([False], ~IS_SPACE[raw], [False])).view(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if not len(start):
         return np.empty(0, np.uint64)

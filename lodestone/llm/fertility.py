@@ -19,20 +19,25 @@ tasks, and partial aggregation carries them: a row for each language or script a
 
 Defined results: null or empty text has zero counts and null measures, and fails the
 basic rules; repeated rows give repeated rows; extra columns are ignored; an empty
-table gives no rows; texts of any length are read whole.
+table gives no rows; texts of any length are read whole. Words and windows of words are told
+apart by 64-bit hashes within a batch.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import unicodedata
-from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from lodestone.llm.common import Scratch, TwoGenerations, join_groups, map_rows, resident, text_bytes, text_id, without
+from lodestone.llm.common import IS_SPACE, Scratch, gram_hashes, join_groups, mix64, resident, text_bytes, text_id, to_batch, without, word_hashes
 
 SYMBOLS = b"#*$%&|<>"
 #: By script: characters per token of the byte-level and of the piece vocabulary (least,
@@ -45,35 +50,46 @@ BANDS = {
     "HIRAGANA": {"byte_cpt": (0.25, 4.0), "piece_cpt": (0.3, 4.0), "fallback": 1.0, "entropy": 0.35},
     "OTHER": {"byte_cpt": (0.1, 12.0), "piece_cpt": (0.1, 12.0), "fallback": 1.0, "entropy": 0.3},
 }
+#: By name, as ties go to the first; the last has no letter.
+SCRIPTS = [*sorted(BANDS), None]
+_SCRIPT_AT = {name: k for k, name in enumerate(SCRIPTS)}
+_LATIN = _SCRIPT_AT["LATIN"]
 BELOW, ABOVE, LEAST, GRID, MOST_KEYS = 3.25, 6.0, 30, 1_000, 50_000
+#: Bytes of text that are measured at once, or one longer text.
+BATCH = 6 << 20
 CPT = ("byte_cpt", "piece_cpt")
 COUNTS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 MEASURES = "script string, n_tokens long, byte_cpt double, piece_cpt double, fallback_share double, entropy double, reason string"
 
 
-def repeated_words(ids: np.ndarray, distinct: int, window: int = 5) -> int:
-    """Words covered by a window of ``window`` words that occurs twice or more."""
-    n = len(ids) - window + 1
-    if n < 2:
-        return 0
-    code, top = ids[:n].astype(np.int64), distinct
-    for k in range(1, window):
-        if top * distinct >= 1 << 62:  # rank anew, so that codes stay exact
-            code = np.unique(code, return_inverse=True)[1].astype(np.int64)
-            top = int(code.max()) + 1
-        code, top = code * distinct + ids[k : k + n], top * distinct
-    _, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
-    at = np.flatnonzero(count[inverse] > 1)
-    edge = np.zeros(len(ids) + 1, np.int64)
+def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words."""
+    solid = ~IS_SPACE[np.frombuffer(text, np.uint8)]
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], solid, [False])).view(np.int8)))
+    return edge[::2], edge[1::2]
+
+
+def repeated_words(words: np.ndarray, doc: np.ndarray, docs: int, window: int = 5) -> np.ndarray:
+    """By document, words covered by a window of ``window`` words that occurs twice or more in it.
+
+    words: hashes, one document after another; doc: the document of each.
+    """
+    grams = gram_hashes(words, window)
+    own = doc[: len(grams)]
+    inside = np.flatnonzero(own == doc[window - 1 :]) if len(grams) else np.empty(0, np.int64)
+    _, inverse, count = np.unique(mix64(grams[inside] + mix64(own[inside].astype(np.uint64) + np.uint64(1))), return_inverse=True, return_counts=True)
+    at = inside[count[inverse] > 1]
+    edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + window, -1)
-    return int((np.cumsum(edge) > 0).sum())
+    return np.bincount(doc[np.cumsum(edge[:-1]) > 0], minlength=docs)
 
 
 class WordMeasures:
-    """Token measures by word, kept in a bounded cache."""
+    """Token measures of words, with a space before each."""
 
-    MOST = 150_000
+    #: Words of one call; in a call that can't be cut into words they go one by one.
+    GROUP = 1_024
 
     def __init__(self, byte_path: str, piece_path: str, pattern: str):
         import base64
@@ -87,41 +103,44 @@ class WordMeasures:
         self.leads = np.zeros(max(ranks.values()) + 1, bool)  # tokens that start with a space
         self.leads[[i for token, i in ranks.items() if token[:1] == b" "]] = True
         self.piece = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        self.byte_pieces = {i for i in range(self.piece.vocab_size()) if self.piece.is_byte(i)}
-        self.cache = TwoGenerations(None, self.MOST)
-
-    def of(self, words: list[bytes]) -> list[tuple]:
-        """(characters, tokens, pieces, fallback pieces, script, packed token ids) each."""
-        out = list(map(self.cache.get, words))
-        old, missing = self.cache.old.get, []
-        for k in [k for k, v in enumerate(out) if v is None]:
-            if (value := old(words[k])) is None:
-                missing.append(k)
+        size = self.piece.vocab_size()
+        self.byte_pieces = np.array([self.piece.is_byte(i) for i in range(size)])
+        self.piece_leads = np.array([self.piece.id_to_piece(i).startswith("\u2581") for i in range(size)])
+
+    def grouped(self, words: list[str], encode, leads: np.ndarray, before: str) -> tuple[np.ndarray, np.ndarray]:
+        """All words' ids one after another, and how many each word has. Words are encoded in one
+        call a group, as only the space before a word makes a token start with a space."""
+        parts, counts = [], []
+        for k in range(0, len(words), self.GROUP):
+            group = words[k : k + self.GROUP]
+            flat = np.array(encode(before + " ".join(group)), np.int64)
+            at = np.flatnonzero(leads[flat])
+            if len(at) == len(group) and (not len(at) or at[0] == 0):
+                counts.append(np.diff(np.append(at, len(flat))))
             else:
-                out[k] = value
-                self.cache.keep(words[k], value)
-        if missing:
-            texts = [words[k].decode("utf-8", "replace") for k in missing]
-            ascii_ = [w.isascii() for w in texts]
-            rows = zip(missing, texts, self.packed_ids(texts), self.piece.encode(texts, num_threads=1), ascii_, strict=True)
-            apart, keep = self.byte_pieces.isdisjoint, self.cache.keep
-            for k, text, ids, pieces, plain in rows:
-                fallback = 0 if apart(pieces) else sum(p in self.byte_pieces for p in pieces)
-                script = "LATIN" if plain and text[0].isalpha() else script_of(text)
-                out[k] = (len(text), len(ids) >> 2, len(pieces) or 1, fallback, script, ids)
-                if len(text) < 200:
-                    keep(words[k], out[k])
-        return out
-
-    def packed_ids(self, texts: list[str]) -> list[bytes]:
-        """Each word's byte-level ids with a space before it, from one call for all words:
-        only the space before a word makes a token start with a space."""
-        flat = np.array(self.byte(" " + " ".join(texts)), "<u4")
-        at = np.flatnonzero(self.leads[flat]).tolist()
-        if len(at) != len(texts):
-            return [np.array(self.byte(" " + t), "<u4").tobytes() for t in texts]
-        raw = flat.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip(at, [*at[1:], len(flat)], strict=True)]
+                each = [encode(before + w) for w in group]
+                flat = np.array([i for ids in each for i in ids], np.int64)
+                counts.append(np.array([len(ids) for ids in each], np.int64))
+            parts.append(flat)
+        return np.concatenate(parts), np.concatenate(counts)
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Byte-level ids of all, and of each word: byte-level tokens, pieces, fallback pieces, script."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [t.isascii() for t in texts]
+        odd = np.array([not a and (any(map(str.isspace, t)) or w != t.encode()) for w, t, a in zip(words, texts, plain, strict=True)])
+        order = np.argsort(odd, kind="stable")  # those that may be cut at white space of their own come last
+        back = np.argsort(order, kind="stable")
+        script = np.array([_LATIN if a and t[0].isalpha() else _SCRIPT_AT[script_of(t)] for t, a in zip(texts, plain, strict=True)])
+        if odd.any():
+            texts = [texts[k] for k in order.tolist()]
+        ids, tokens = self.grouped(texts, self.byte, self.leads, " ")
+        pieces, n_pieces = self.grouped(texts, self.piece.encode, self.piece_leads, "")
+        fallback = np.add.reduceat(np.append(self.byte_pieces[pieces], False).astype(np.int64), np.minimum(np.cumsum(n_pieces) - n_pieces, len(pieces))) * (n_pieces > 0)
+        first = (np.cumsum(tokens) - tokens)[back]
+        tokens = tokens[back]
+        ids = ids[np.arange(tokens.sum()) + np.repeat(first - (np.cumsum(tokens) - tokens), tokens)]
+        return ids, tokens, np.maximum(n_pieces[back], 1), fallback[back], script
 
 
 def script_of(word: str) -> str | None:
@@ -139,53 +158,71 @@ def load(*paths: str) -> WordMeasures:
     return resident(("fertility", *paths), lambda: WordMeasures(*paths))
 
 
-def base_counts(text: bytes) -> tuple[list[bytes], np.ndarray, tuple[int, int, int, int, int]]:
-    """Distinct words, their ids in order, and the counts of the basic rules."""
-    words = text.split()
-    ids: dict[bytes, int] = {}
-    order = np.array([ids.setdefault(w, len(ids)) for w in words], np.int64)
+def line_counts(text: bytes) -> tuple[int, int, int]:
+    """Code points in words, symbols, and lines equal to an earlier one."""
     solid = text.translate(None, b" \t\n\v\f\r")
     chars = len(solid) if solid.isascii() else len(solid.decode("utf-8", "replace"))
     symbols = len(text) - len(text.translate(None, SYMBOLS))
     lines = [x for x in text.split(b"\n") if x.strip(b" \t\v\f\r")]
-    return list(ids), order, (len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(order, len(ids)))
+    return chars, symbols, len(lines) - len(set(lines))
 
 
-def measure(text: bytes, measures: WordMeasures, bands: dict, min_tokens: int) -> tuple:
+def measured(texts: list[bytes], measures: WordMeasures, bands: dict, min_tokens: int) -> list[tuple]:
     """Counts, measures and what the basic rules or the fixed bands find wrong, the bands
-    of characters per token last: they count only where the corpus gives none."""
-    distinct, order, counts = base_counts(text)
-    n_words, repeats = counts[0], counts[4]
-    base_failed = n_words < 10 or 100 * repeats > 20 * n_words
-    if not n_words:
-        return (*counts, base_failed, None, 0, None, None, None, None, "base")
-    times = np.bincount(order, minlength=len(distinct))
-    chars, lengths, pieces, fallback, scripts, packed = zip(*measures.of(distinct), strict=True)
-    lengths = np.array(lengths)
-    chars, tokens, pieces, fallback = (int(times @ np.array(v)) for v in (chars, lengths, pieces, fallback))
-    if scripts.count("LATIN") + scripts.count(None) == len(scripts):
-        script = "LATIN" if "LATIN" in scripts else "OTHER"
-    else:
-        letters: Counter = Counter()
-        for name, t in zip(scripts, times.tolist(), strict=True):
-            letters[name] += t if name else 0
-        script = max(sorted(s for s in letters if s), key=letters.get)
-    _, inverse = np.unique(np.frombuffer(b"".join(packed), "<u4"), return_inverse=True)
-    share = np.bincount(inverse, weights=np.repeat(times, lengths)) / tokens
-    entropy = float(-(share * np.log2(share)).sum())
-    byte_cpt, piece_cpt, fallback_share = chars / tokens, chars / pieces, fallback / pieces
-    band, reason = bands[script], None
+    of characters per token last: they count only where the corpus gives none.
+
+    All texts are measured at once; each distinct word is tokenised once.
+    """
+    docs, whole = len(texts), b"\n".join(texts)
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
+    start, end = word_spans(whole)
+    doc = np.searchsorted(begins, start, side="right") - 1
+    hashes = word_hashes(whole)
+    n_words = np.bincount(doc, minlength=docs)
+    repeats = repeated_words(hashes, doc, docs)
+    _, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    if len(index):
+        distinct = [whole[a:b] for a, b in zip(start[index].tolist(), end[index].tolist(), strict=True)]
+        ids, tokens, pieces, fallback, script = measures.of(distinct)
+        n_tokens, n_pieces, n_fallback = (np.bincount(doc, v[inverse], docs).astype(np.int64) for v in (tokens, pieces, fallback))
+        letters = np.bincount(doc * len(SCRIPTS) + script[inverse], minlength=docs * len(SCRIPTS)).reshape(docs, -1)[:, :-1]
+        # entropy of a document's tokens, from its distinct words
+        pair, times = np.unique(doc * len(index) + inverse, return_counts=True)
+        word = pair % len(index)
+        length = tokens[word]
+        first = (np.cumsum(tokens) - tokens)[word]
+        flat = ids[np.arange(length.sum()) + np.repeat(first - (np.cumsum(length) - length), length)]
+        token, place = np.unique(np.repeat(pair // len(index), length) * (1 << 32) + flat, return_inverse=True)
+        owner = token >> 32
+        share = np.bincount(place, np.repeat(times, length)) / n_tokens[owner]
+        entropies = np.bincount(owner, -share * np.log2(share), docs)
+    out = []
+    for k, text in enumerate(texts):
+        n, repeat = int(n_words[k]), int(repeats[k])
+        counts = (n, *line_counts(text), repeat)
+        base_failed = n < 10 or 100 * repeat > 20 * n
+        if not n:
+            out.append((*counts, base_failed, None, 0, None, None, None, None, "base"))
+            continue
+        name = SCRIPTS[int(letters[k].argmax())] if letters[k].any() else "OTHER"
+        total, entropy = int(n_tokens[k]), float(entropies[k])
+        byte_cpt, piece_cpt, share_ = counts[1] / total, counts[1] / int(n_pieces[k]), int(n_fallback[k]) / int(n_pieces[k])
+        out.append((*counts, base_failed, name, total, byte_cpt, piece_cpt, share_, entropy, reason_of(base_failed, bands[name], total, byte_cpt, piece_cpt, share_, entropy, min_tokens)))
+    return out
+
+
+def reason_of(base_failed: bool, band: dict, tokens: int, byte_cpt: float, piece_cpt: float, fallback_share: float, entropy: float, min_tokens: int) -> str | None:
     if base_failed:
-        reason = "base"
-    elif fallback_share > band["fallback"]:
-        reason = "fallback"
-    elif tokens >= min_tokens and entropy < band["entropy"] * min(math.log2(tokens), 9.0):
-        reason = "entropy"
-    elif not band["byte_cpt"][0] <= byte_cpt <= band["byte_cpt"][1]:
-        reason = "byte_cpt"
-    elif not band["piece_cpt"][0] <= piece_cpt <= band["piece_cpt"][1]:
-        reason = "piece_cpt"
-    return (*counts, base_failed, script, tokens, byte_cpt, piece_cpt, fallback_share, entropy, reason)
+        return "base"
+    if fallback_share > band["fallback"]:
+        return "fallback"
+    if tokens >= min_tokens and entropy < band["entropy"] * min(math.log2(tokens), 9.0):
+        return "entropy"
+    if not band["byte_cpt"][0] <= byte_cpt <= band["byte_cpt"][1]:
+        return "byte_cpt"
+    if not band["piece_cpt"][0] <= piece_cpt <= band["piece_cpt"][1]:
+        return "piece_cpt"
+    return None
 
 
 def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern: str, bands: dict | None = None, min_tokens: int = 50, scratch: Scratch | None = None) -> DataFrame:
@@ -193,14 +230,28 @@ def fertility_report(docs: DataFrame, byte_path: str, piece_path: str, pattern:
     limits = bands or BANDS
     scratch = scratch or Scratch(docs.sparkSession)
 
-    def make():
+    schema = to_arrow_schema(StructType.fromDDL(f"{COUNTS}, {MEASURES}, lang string, h1 long, h2 long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measures = load(byte_path, piece_path, pattern)
-        return lambda row: [(row[0], *measure(row[1] or b"", measures, limits, min_tokens), *row[2:])]
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            ids, *rest = (batch.column(k).to_pylist() for k in (0, 2, 3, 4))
+            edges = [0]
+            held = 0
+            for k, t in enumerate(texts, 1):
+                held += len(t)
+                if held >= BATCH or k == len(texts):
+                    edges.append(k)
+                    held = 0
+            for a, b in itertools.pairwise(edges):
+                found = measured(texts[a:b], measures, limits, min_tokens)
+                yield to_batch([(i, *f, *more) for i, f, *more in zip(ids[a:b], found, *(r[a:b] for r in rest), strict=True)], schema)
 
     read = docs.select("doc_id", text_bytes(), F.col("lang").cast("string"), *text_id())
-    measured = scratch.table(map_rows(read, f"{COUNTS}, {MEASURES}, lang string, h1 long, h2 long", make))
-    total = measured.count()
-    judged = with_band(with_band(measured, "lang", total, 0.5, 1.4826, scratch), "script", total, 0.9, 0.6080, scratch)
+    rows = scratch.table(read.mapInArrow(run, StructType.fromDDL(f"{COUNTS}, {MEASURES}, lang string, h1 long, h2 long")))
+    total = rows.count()
+    judged = with_band(with_band(rows, "lang", total, 0.5, 1.4826, scratch), "script", total, 0.9, 0.6080, scratch)
     far = F.when(F.col("lang_far").isNotNull(), F.col("lang_far")).otherwise(F.col("script_far"))
     judgement = F.when(far, F.lit("corpus band")).when(far.isNull(), F.col("reason"))
     reason = F.when(left_open(), judgement).otherwise(F.col("reason"))

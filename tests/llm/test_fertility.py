@@ -32,25 +32,41 @@ def brute(text):
 TEXTS = [*(t or "" for t in ODD), "a b c d e f " * 4, "x y z w v\n" * 3 + "q", "a a a a a a", "l1 é\nl1 é\n\nl2 #$\nl1 é", "u\u00a0v w\x1cx", "The The The " * 9 + "1 2 3 4"]
 
 
-def test_base_counts():
-    for text in TEXTS:
-        *_, counts = fertility.base_counts(text.encode())
-        assert counts == brute(text)[:5], text
+def test_base_counts(measures):
+    """One by one and all at once."""
+    for texts in ([t] for t in TEXTS):
+        (row,) = fertility.measured([texts[0].encode()], measures, fertility.BANDS, 50)
+        assert row[:6] == brute(texts[0]), texts
+    rows = fertility.measured([t.encode() for t in TEXTS], measures, fertility.BANDS, 50)
+    assert [r[:6] for r in rows] == [brute(t) for t in TEXTS]
+    assert fertility.measured([], measures, fertility.BANDS, 50) == []
 
 
 def test_repeated_words_with_many_distinct():
-    ids = np.array([*range(9000), *range(100, 120)])
-    assert fertility.repeated_words(ids, 9000) == 40
-
-
-def test_ids_of_words_at_once(measures):
-    for words in (["a", "the", "中é", "x\u00a0y"], ["\u00a0", "b\u00a0"], ["!", "'s", "😀"]):
-        assert measures.packed_ids(words) == [np.array(measures.byte(" " + w), "<u4").tobytes() for w in words]
+    words = np.array([*range(9000), *range(100, 120)], np.uint64)
+    assert fertility.repeated_words(words, np.zeros(len(words), np.int64), 2).tolist() == [40, 0]
+    assert fertility.repeated_words(words, (np.arange(len(words)) >= 9000).astype(np.int64), 2).tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("group", [2, 1024])
+def test_words_at_once(measures, monkeypatch, group):
+    """As each word by itself, white space of other kinds and odd bytes included."""
+    monkeypatch.setattr(measures, "GROUP", group)
+    words = ["a", "the", "中é", "x\u00a0y", "\u00a0", "b\u00a0", "!", "'s", "😀", "\u2581", "a\u2581b", "x\x1cy", "\u3000z", "naïve", "Москва", "12%", "a\u200bb", "¨", "ﬁ"]
+    ids, tokens, pieces, fallback, script = measures.of([w.encode() for w in words] + [b"\xff\xfe"])
+    words.append("\ufffd\ufffd")
+    assert ids.tolist() == [i for w in words for i in measures.byte(" " + w)]
+    assert tokens.tolist() == [len(measures.byte(" " + w)) for w in words]
+    each = [measures.piece.encode(w) for w in words]
+    assert pieces.tolist() == [len(p) or 1 for p in each]
+    assert fallback.tolist() == [sum(measures.piece.is_byte(i) for i in p) for p in each]
+    assert [fertility.SCRIPTS[k] for k in script] == [fertility.script_of(w) for w in words]
 
 
 def test_measures(measures):
     text = "The quick brown fox jumps over the lazy dog near the river bank today 中"
-    *_, script, n, byte_cpt, piece_cpt, fallback, entropy, reason = fertility.measure(text.encode(), measures, fertility.BANDS, 50)
+    (row,) = fertility.measured([text.encode()], measures, fertility.BANDS, 50)
+    *_, script, n, byte_cpt, piece_cpt, fallback, entropy, reason = row
     words = text.split()
     tokens = [i for w in words for i in measures.byte(" " + w)]
     pieces = [i for w in words for i in measures.piece.encode(w)]
