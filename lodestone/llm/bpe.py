@@ -133,35 +133,39 @@ class BacktrackingBpe:
 
     def search(self, text: str) -> list[int]:
         n = len(text)
-        longest: list[tuple[int, int] | None] = [None] * n
-        for match in self.trie.iter(text):
-            end, found = match
+        longest: list = [None] * n
+        for end, found in self.trie.iter(text):
             longest[end + 1 - found[1]] = found  # ends ascend, so the longest comes last
         out: list[tuple[int, int]] = []
         dead = bytearray(n + 1)
-        at, fits, shorter = 0, self.fits, self.shorter
+        at, last, fits, shorter, compatible = 0, -1, self.fits, self.shorter, self.compatible
         while at < n:
             found = longest[at]
             while found is not None:
                 token, size = found
                 if not dead[at + size]:
-                    if not out:
+                    if last < 0:
                         break
-                    fine = fits.get(out[-1][0] << 20 | token)
-                    if fine or fine is None and self.compatible(out[-1][0], token):
+                    key = last << 20 | token
+                    if fits[key] if key in fits else compatible(last, token):
                         break
                 found = shorter[token]
-            if found is None:
-                if not out:
-                    raise ValueError("the vocabulary lacks a byte of this text")
-                dead[at] = 1
-                at -= out.pop()[1]
-            else:
+            if found is not None:
                 out.append(found)
-                at += found[1]
+                at += size
+                last = token
+                continue
+            if not out:
+                raise ValueError("the vocabulary lacks a byte of this text")
+            dead[at] = 1
+            at -= out.pop()[1]
+            last = out[-1][0] if out else -1
         return [token for token, _ in out]
 
 
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
+
 class UnusualGap(Exception):
     """A space that starts or ends a text or stands beside other white space."""
 
@@ -196,6 +200,8 @@ class ByteLevelTokenizer:
 
     def led_ids(self, part: str) -> bytes:
         """Ids of a part together with the single space before it."""
+        if part.isalpha() and part.isascii():  # letters after a space are one piece, which this cache holds
+            return self.piece_ids(" " + part)
         if not part or part[0].isspace() or part[-1].isspace():
             raise UnusualGap
         return self.chunk_ids(" " + part)
@@ -211,7 +217,7 @@ class ByteLevelTokenizer:
 
     def piece_ids(self, piece: str) -> bytes:
         ids = self.bpe.encode(piece.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if self.special is None:
