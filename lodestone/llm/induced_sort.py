@@ -6,13 +6,17 @@ string of names is sorted recursively; the order of these suffixes then induces
 of all others: type L in ascending, type S in descending scans of the characters.
 
 A scan never visits a suffix array at random. It pops from `BucketQueue`, a priority
-queue by first character that gives equal characters back in the order they came, all
-tuples of the least (or greatest) character at once, and pushes the tuples of the
-suffixes one longer. A tuple is (position, common prefix with the tuple popped before
-it); the common prefix of pushed tuples is one more than the least over the tuples
-popped between them, so common-prefix values travel along with the induction. Queues
-hold at most `MEMORY` bytes and write the rest to an unlinked scratch file of the task.
-The text itself is held in memory.
+queue by first character that gives equal characters back in the order they came, a chunk
+of tuples at a time, and pushes the tuples of the suffixes one longer. A tuple is (position,
+common prefix with the tuple popped before it); the common prefix of a pushed tuple is one
+more than the least over the tuples popped since the last push to its character, so
+common-prefix values travel along with the induction. Of a recursion the common prefixes
+in names come back as well: texts are compared beyond them only.
+
+Nothing but chunks is held. Queues and scan results (`Spool`) keep ``memory`` bytes each and
+write the rest to unlinked scratch files of the task; arrays in text order (local minima,
+names) beyond that are mapped from such files, and so may be the text that the caller gives.
+Name strings of up to ``base`` entries are the recursion's base and sorted by prefix doubling.
 
 Common prefixes are exact below ``cap`` and capped there; suffixes that agree on ``cap``
 characters may stand in any order, which no caller can see.
@@ -21,239 +25,358 @@ characters may stand in any order, which no caller can see.
 from __future__ import annotations
 
 import tempfile
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
-MEMORY = 96 << 20
+MEMORY, CHUNK = 16 << 20, 1 << 16
 #: Name strings up to this length are sorted in memory; longer ones recurse.
 BASE = 8 << 20
+Chunk = tuple[np.ndarray, np.ndarray]
 
 
-class BucketQueue:
+class Pairs:
+    """Blocks of (position, number) in an unlinked scratch file."""
+
+    def __init__(self):
+        self.file, self.written = None, 0
+
+    def write(self, pos: np.ndarray, number: np.ndarray) -> list[tuple[int, int]]:
+        """Where the blocks are, as (offset, length)."""
+        if self.file is None:
+            self.file = tempfile.TemporaryFile()
+        self.file.seek(0, 2)
+        blocks = []
+        for at in range(0, len(pos), CHUNK):
+            blocks.append((self.file.tell(), len(pos[at : at + CHUNK])))
+            self.file.write(pos[at : at + CHUNK].astype("<i8").tobytes())
+            self.file.write(number[at : at + CHUNK].astype("<i4").tobytes())
+        self.written += 12 * len(pos)
+        return blocks
+
+    def read(self, at: int, n: int) -> Chunk:
+        self.file.seek(at)
+        return np.frombuffer(self.file.read(8 * n), "<i8"), np.frombuffer(self.file.read(4 * n), "<i4")
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+class BucketQueue(Pairs):
     """Tuples by character; ``pop`` gives a character's tuples in the order of pushing."""
 
     def __init__(self, memory: int):
+        super().__init__()
         self.memory, self.held = memory, 0
-        self.buckets: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.buckets: dict[int, list[Chunk]] = {}
         self.runs: dict[int, list[tuple[int, int]]] = {}
-        self.file = None
 
     def push(self, char: int, pos: np.ndarray, lcp: np.ndarray) -> None:
         self.buckets.setdefault(char, []).append((pos, lcp))
-        self.held += pos.nbytes + lcp.nbytes
+        self.held += 12 * len(pos)
         if self.held > self.memory:
-            self.spill()
+            for c, parts in self.buckets.items():
+                self.runs.setdefault(c, []).extend(self.write(*joined(parts)))
+            self.buckets, self.held = {}, 0
+
+    def pop(self, char: int) -> Iterator[Chunk]:
+        """Chunks until none is left, those pushed meanwhile included."""
+        while char in self.runs or char in self.buckets:
+            runs, parts = self.runs.pop(char, []), self.buckets.pop(char, [])
+            self.held -= 12 * sum(len(p) for p, _ in parts)
+            for at, n in runs:
+                yield self.read(at, n)
+            if parts:
+                pos, lcp = joined(parts)
+                for at in range(0, len(pos), CHUNK):
+                    yield pos[at : at + CHUNK], lcp[at : at + CHUNK]
+
+
+class Spool(Pairs):
+    """A scan's tuples in order, read forth or back."""
 
-    def spill(self) -> None:
-        if self.file is None:
-            self.file = tempfile.TemporaryFile()
-        self.file.seek(0, 2)
-        for char, parts in self.buckets.items():
-            pos = np.concatenate([p for p, _ in parts]).astype("<i8")
-            self.runs.setdefault(char, []).append((self.file.tell(), len(pos)))
-            self.file.write(pos.tobytes())
-            self.file.write(np.concatenate([c for _, c in parts]).astype("<i4").tobytes())
-        self.buckets, self.held = {}, 0
-
-    def pop(self, char: int) -> tuple[np.ndarray, np.ndarray]:
-        parts = []
-        for at, n in self.runs.pop(char, []):
-            self.file.seek(at)
-            parts.append((np.frombuffer(self.file.read(8 * n), "<i8"), np.frombuffer(self.file.read(4 * n), "<i4")))
-        fresh = self.buckets.pop(char, [])
-        self.held -= sum(p.nbytes + c.nbytes for p, c in fresh)
-        parts += fresh
-        if not parts:
-            return np.empty(0, np.int64), np.empty(0, np.int32)
-        return np.concatenate([p for p, _ in parts]), np.concatenate([c for _, c in parts])
+    def __init__(self, memory: int):
+        super().__init__()
+        self.memory, self.held = memory, 0
+        self.blocks: list[tuple[int, int]] = []
+        self.parts: list[Chunk] = []
 
-    def close(self) -> None:
-        if self.file is not None:
-            self.file.close()
+    def append(self, pos: np.ndarray, lcp: np.ndarray) -> None:
+        self.parts.append((pos, lcp))
+        self.held += 12 * len(pos)
+        if self.held > self.memory:
+            self.blocks += self.write(*joined(self.parts))
+            self.parts, self.held = [], 0
+
+    def forth(self) -> Iterator[Chunk]:
+        for at, n in self.blocks:
+            yield self.read(at, n)
+        yield from self.parts
+
+    def back(self) -> Iterator[Chunk]:
+        """From the end; a tuple has the common prefix with the one read before it."""
+        carry = np.zeros(1, np.int32)
+        for source in (reversed(self.parts), (self.read(*b) for b in reversed(self.blocks))):
+            for pos, lcp in source:
+                down = lcp[::-1]
+                yield pos[::-1], np.concatenate((carry, down[:-1]))
+                carry = down[-1:]
+
+
+class Reader:
+    """Takes a stream of chunks in portions of given lengths."""
+
+    def __init__(self, chunks: Iterator[Chunk]):
+        self.chunks, self.pos, self.lcp = chunks, np.empty(0, np.int64), np.empty(0, np.int32)
+
+    def take(self, n: int) -> Iterator[Chunk]:
+        while n:
+            if not len(self.pos):
+                self.pos, self.lcp = next(self.chunks)
+            k = min(n, len(self.pos))
+            yield self.pos[:k], self.lcp[:k]
+            self.pos, self.lcp, n = self.pos[k:], self.lcp[k:], n - k
+
+
+def joined(parts: list[Chunk]) -> Chunk:
+    if len(parts) == 1:
+        return parts[0]
+    return np.concatenate([p for p, _ in parts]), np.concatenate([c for _, c in parts])
+
+
+def gathered(parts: Iterable[np.ndarray], dtype: str, memory: int) -> np.ndarray:
+    """One array of the parts, mapped from a scratch file if it is beyond ``memory`` bytes."""
+    held, size, file = [], 0, None
+    for part in parts:
+        held.append(part.astype(dtype, copy=False))
+        size += held[-1].nbytes
+        if size > memory:
+            file = file or tempfile.TemporaryFile()
+            for p in held:
+                file.write(p.tobytes())
+            held = []
+    if file is None:
+        return np.concatenate(held) if held else np.empty(0, dtype)
+    for p in held:
+        file.write(p.tobytes())
+    file.flush()
+    return np.memmap(file, dtype, "r+")
+
+
+def blank(n: int, memory: int) -> np.ndarray:
+    """An array of n integers, mapped from a scratch file if it is beyond ``memory`` bytes."""
+    if 8 * n <= memory:
+        return np.empty(n, np.int64)
+    return np.memmap(tempfile.TemporaryFile(), np.int64, "w+", shape=(n,))
 
 
 class Inducer:
-    """One level of the recursion over an integer text whose last element is its least."""
+    """One level of the recursion over an integer text whose last element is its unique least."""
 
     def __init__(self, text: np.ndarray, cap: int, memory: int = MEMORY):
         self.text, self.cap, self.memory = text, cap, memory
-        n = len(text)
-        step = np.sign(np.diff(text.astype(np.int64))).astype(np.int8)
-        known = np.where(step != 0, np.arange(n - 1), n)
-        after = np.minimum.accumulate(known[::-1])[::-1] if n > 1 else known
-        rising = np.zeros(n, bool)  # type S
-        rising[-1] = True
-        rising[: n - 1] = np.where(after < n, step[np.minimum(after, n - 2)] > 0, True) if n > 1 else rising[:0]
-        self.rising = rising
-        self.minima = np.flatnonzero(rising[1:] & ~rising[:-1]) + 1
-        self.chars, self.counts = np.unique(text, return_counts=True)
+        self.spilled = 0
+        self.minima = gathered(reversed(list(self.local_minima())), "<i8", memory)
+        self.chars = np.unique(np.concatenate([np.unique(text[at : at + (CHUNK << 4)]) for at in range(0, len(text), CHUNK << 4)])).tolist()
+
+    def local_minima(self) -> Iterator[np.ndarray]:
+        """Positions by blocks of the text, from its end."""
+        text, high, after = self.text, len(self.text) - 1, True  # after: whether ``high`` has type S
+        while high > 0:
+            low = max(0, high - (CHUNK << 4))
+            own = text[low : high + 1].astype(np.int64)
+            step = np.sign(np.diff(own))
+            n = high - low
+            known = np.where(step != 0, np.arange(n), n)
+            next_ = np.minimum.accumulate(known[::-1])[::-1]
+            rising = np.append(np.where(next_ < n, step[np.minimum(next_, n - 1)] > 0, after), after)
+            yield np.flatnonzero(rising[1:] & ~rising[:-1]) + 1 + low
+            high, after = low, bool(rising[0])
 
     def head_run(self, pos: int) -> int:
         """How often the first character of a suffix repeats, up to the cap."""
-        own = self.text[pos : pos + self.cap]
+        own = np.asarray(self.text[pos : pos + self.cap])
         other = np.flatnonzero(own != own[0])
         return int(other[0]) if len(other) else len(own)
 
-    def scan(self, seeds: dict[int, tuple[np.ndarray, np.ndarray]], rising: bool) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Induces the suffixes of one type; by character (positions, prefixes) in scan order.
+    def scan(self, seeds: Callable[[int], Iterator[Chunk]], rising: bool) -> tuple[Spool, dict[int, int]]:
+        """Induces the suffixes of one type, in scan order, and how many each character has.
 
-        seeds: by character the suffixes of the other type, in scan order.
+        seeds: the suffixes of the other type with a character, in scan order.
         """
-        queue, since, out = BucketQueue(self.memory), {}, {}
-        text, kind, cap = self.text, self.rising, np.int32(self.cap)
-        pushed: set[int] = set()
-        last_char = None
-
-        def visit(char: int, pos: np.ndarray, lcp: np.ndarray) -> None:
+        queue, out, counts = BucketQueue(self.memory), Spool(self.memory), {}
+        text, cap = self.text, self.cap
+        pushed: dict[int, tuple[int, int]] = {}  # by character: visit of the last push, least prefix after it
+        at_, least_ = [], []  # visits with a prefix below all later ones
+        visits = 0
+
+        def since(char: int) -> int:
+            visit_, low = pushed[char]
+            k = bisect_left(at_, visit_ + 1)
+            return min(low, least_[k]) if k < len(at_) else low
+
+        def visit(char: int, pos: np.ndarray, lcp: np.ndarray, seed: bool) -> None:
             """Pushes what precedes the given suffixes; lcp[0] is to the suffix visited last."""
-            inner = pos > 0
+            nonlocal visits
+            visits += 1
             before = pos - 1
-            fits = inner & (kind[before] == rising)
             target = text[before]
-            floor = int(lcp.min())
+            fits = (target >= char if not rising else target < char if seed else target <= char) & (pos > 0)
             at = np.flatnonzero(fits)
-            touched = {}
+            touched = []
             if len(at):
                 order = at[np.argsort(target[at], kind="stable")]
                 keys = target[order]
-                cut = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-                for k, a in enumerate(cut):
-                    mine = order[a : cut[k + 1] if k + 1 < len(cut) else len(order)]
-                    c = int(keys[a])
-                    low = np.minimum.reduceat(lcp, np.concatenate(([0], mine[:-1] + 1))) if len(mine) > 1 else np.array([lcp[: mine[0] + 1].min()])
-                    if len(mine) > 1:  # each stretch ends with its own tuple
+                cut = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))).tolist()
+                for a, b in zip(cut, [*cut[1:], len(order)], strict=True):
+                    mine, c = order[a:b], int(keys[a])
+                    if b - a > 1:
+                        low = np.minimum.reduceat(lcp, np.concatenate(([0], mine[:-1] + 1)))
                         low[-1] = lcp[mine[-2] + 1 : mine[-1] + 1].min()
-                    if c in pushed:
-                        low[0] = min(int(low[0]), since.get(c, self.cap))
-                        new = np.minimum(low + 1, cap).astype(np.int32)
                     else:
-                        new = np.minimum(low + 1, cap).astype(np.int32)
-                        new[0] = 0
-                        pushed.add(c)
+                        low = lcp[: mine[0] + 1].min(keepdims=True)
+                    new = np.minimum(low + 1, cap).astype(np.int32)
+                    new[0] = min(int(low[0]), since(c)) + 1 if c in pushed else 0
+                    new[0] = min(int(new[0]), cap)
                     queue.push(c, before[mine], new)
-                    touched[c] = int(lcp[mine[-1] + 1 :].min()) if mine[-1] + 1 < len(lcp) else self.cap
-            for c in since:
-                since[c] = min(since[c], floor)
-            since.update(touched)
-
-        for char in self.chars.tolist() if not rising else self.chars[::-1].tolist():
-            found = []
-            while True:  # tuples of this character that come from this character
-                pos, lcp = queue.pop(char)
-                if not len(pos):
-                    break
-                found.append((pos, lcp))
-                lcp = lcp.copy()
-                if last_char != char:
+                    rest = lcp[mine[-1] + 1 :]
+                    touched.append((c, int(rest.min()) if len(rest) else cap))
+            floor = int(lcp.min())
+            while least_ and least_[-1] >= floor:
+                at_.pop()
+                least_.pop()
+            at_.append(visits)
+            least_.append(floor)
+            for c, low in touched:
+                pushed[c] = (visits, low)
+
+        for char in reversed(self.chars) if rising else self.chars:
+            n, last = 0, None
+            for pos, lcp in queue.pop(char):
+                out.append(pos, lcp)
+                if not n:
+                    lcp = lcp.copy()
                     lcp[0] = 0
-                last_char = char
-                visit(char, pos, lcp)
-            if found:
-                out[char] = (np.concatenate([p for p, _ in found]), np.concatenate([c for _, c in found]))
-            if char in seeds:
-                pos, lcp = seeds[char]
-                lcp = lcp.copy()
-                lcp[0] = min(self.cap, self.head_run(int(out[char][0][-1])), self.head_run(int(pos[0]))) if char in out else 0
-                last_char = char
-                visit(char, pos, lcp)
+                n, last = n + len(pos), int(pos[-1])
+                visit(char, pos, lcp, False)
+            if n:
+                counts[char] = n
+            head = True
+            for pos, lcp in seeds(char):
+                if head:
+                    lcp = lcp.copy()
+                    lcp[0] = 0 if last is None else min(self.cap, self.head_run(last), self.head_run(int(pos[0])))
+                    head = False
+                visit(char, pos, lcp, True)
+        self.spilled += queue.written
+        queue.close()
+        return out, counts
+
+    def seeded(self, chunks: Iterator[Chunk]) -> BucketQueue:
+        """Local minima by first character, in the order given."""
+        queue = BucketQueue(self.memory)
+        for pos, lcp in chunks:
+            first = self.text[pos]
+            order = np.argsort(first, kind="stable")
+            pos, lcp, first = pos[order], lcp[order], first[order]
+            cut = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1]))).tolist()
+            for a, b in zip(cut, [*cut[1:], len(pos)], strict=True):
+                queue.push(int(first[a]), pos[a:b], lcp[a:b])
+        return queue
+
+    def induce(self, minima: Iterator[Chunk]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """All suffixes in order with common prefixes, and whether a chunk has type S."""
+        queue = self.seeded(minima)
+        falling, n_falling = self.scan(queue.pop, rising=False)
         queue.close()
-        return out
-
-    def grouped(self, pos: np.ndarray, lcp: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-        """Sorted suffixes by first character."""
-        if not len(pos):
-            return {}
-        first = self.text[pos]
-        cut = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
-        return {int(first[a]): (pos[a:b], lcp[a:b]) for a, b in zip(cut, [*cut[1:], len(pos)], strict=True)}
-
-    def induce(self, minima: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All suffixes in order, from the local minima in order, with common prefixes."""
-        falling = self.scan(self.grouped(minima, lcp), rising=False)
-        back = {}
-        for c, (pos, low) in falling.items():
-            down = np.empty_like(low)
-            down[0], down[1:] = 0, low[:0:-1]
-            back[c] = (pos[::-1], down)
+        back = Reader(falling.back())
+        rising, n_rising = self.scan(lambda c: back.take(n_falling.get(c, 0)), rising=True)
+        self.spilled += queue.written + falling.written + rising.written
         # the last suffix has no successor that could induce it
-        rising = self.scan(back, rising=True)
-        end = len(self.text) - 1
-        least = int(self.text[end])
-        pos, low = rising.get(least, (np.empty(0, np.int64), np.empty(0, np.int32)))
-        if not len(pos) or not (pos == end).any():
-            rising[least] = (np.append(pos, end), np.append(low, np.int32(0)))
-        parts, prefixes = [], []
-        for c in self.chars.tolist():
-            before = None
-            if c in falling:
-                pos, low = falling[c]
-                low = low.copy()
-                low[0] = 0
-                parts.append(pos)
-                prefixes.append(low)
-                before = int(pos[-1])
-            if c in rising:
-                pos, low = rising[c]
-                up = np.empty_like(low)
-                up[1:] = low[:0:-1]
-                up[0] = min(self.cap, self.head_run(before), self.head_run(int(pos[-1]))) if before is not None else 0
-                parts.append(pos[::-1])
-                prefixes.append(up)
-        return np.concatenate(parts), np.concatenate(prefixes)
-
-
-def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+        yield np.array([len(self.text) - 1], np.int64), np.zeros(1, np.int32), True
+        low, high = Reader(falling.forth()), Reader(rising.back())
+        for c in self.chars[1:]:
+            last = None
+            for reader, n, kind in ((low, n_falling.get(c, 0), False), (high, n_rising.get(c, 0), True)):
+                head = True
+                for pos, lcp in reader.take(n):
+                    if head:
+                        lcp = lcp.copy()
+                        lcp[0] = 0 if last is None else min(self.cap, self.head_run(last), self.head_run(int(pos[0])))
+                        head = False
+                    last = int(pos[-1])
+                    yield pos, lcp, kind
+        falling.close()
+        rising.close()
+
+
+def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int, known: np.ndarray | None = None) -> np.ndarray:
     """Common prefixes of pairs of suffixes, up to the cap; the pairs still equal go on.
 
-    Bytes are compared eight at a time. Past its end a text counts as different from
-    itself, which its unique last element has settled before.
+    Bytes are compared eight at a time, from the ``known`` prefix on. Past its end a text counts
+    as different from itself, which its unique last element has settled before.
     """
-    out = np.zeros(len(a), np.int32)
-    live, width = np.arange(len(a)), 8 // text.itemsize
-    if width > 1:
-        words = np.lib.stride_tricks.sliding_window_view(np.concatenate((text, np.zeros(width, text.dtype))), width)
-    for _ in range(0, cap, width):
-        if not len(live):
-            break
-        x, y = a[live] + out[live], b[live] + out[live]
-        if width == 1:
-            equal = text[x] == text[y]
-            out[live[equal]] += 1
-        else:
-            differ = np.ascontiguousarray(words[x]).view("<u8").ravel() ^ np.ascontiguousarray(words[y]).view("<u8").ravel()
-            equal = differ == 0
-            lowest = differ & (~differ + np.uint64(1))
-            bits = np.log2(np.where(equal, np.uint64(1), lowest).astype(np.float64)).astype(np.int32)
-            out[live] += np.where(equal, width, bits // (8 * text.itemsize)).astype(np.int32)
-        live = live[equal]
+    out = np.zeros(len(a), np.int32) if known is None else np.minimum(known, cap).astype(np.int32)
+    width = 8 // text.itemsize
+    if len(text) < width:
+        text = np.concatenate((text, np.zeros(width, text.dtype)))
+    words, end = np.lib.stride_tricks.sliding_window_view(text, width), len(text) - width
+
+    def at(x: np.ndarray) -> np.ndarray:
+        got = np.ascontiguousarray(words[np.minimum(x, end)])
+        for k in np.flatnonzero(x > end).tolist():  # the few at the end of the text
+            own = np.asarray(text[x[k] :])
+            got[k] = 0
+            got[k, : len(own)] = own
+        return got.view("<u8").ravel()
+
+    live = np.flatnonzero(out < cap)
+    while len(live):
+        differ = at(a[live] + out[live]) ^ at(b[live] + out[live])
+        equal = differ == 0
+        lowest = differ & (~differ + np.uint64(1))
+        bits = np.log2(np.where(equal, np.uint64(1), lowest).astype(np.float64)).astype(np.int32)
+        out[live] += np.where(equal, width, bits // (8 * text.itemsize)).astype(np.int32)
+        live = live[equal & (out[live] < cap)]
     return np.minimum(out, cap)
 
 
 def names_of(level: Inducer) -> tuple[np.ndarray, int]:
     """Ranks of the substrings from each local minimum to the next, in text order."""
-    minima = level.minima
-    zero = np.zeros(len(minima), np.int32)
-    by_char = np.argsort(level.text[minima], kind="stable")
-    order, _ = level.induce(minima[by_char], zero)
-    mark = np.full(len(level.text), -1, np.int64)
-    mark[minima] = np.arange(len(minima))
-    sorted_ = mark[order]
-    sorted_ = sorted_[sorted_ >= 0]
-    ends = np.append(minima[1:], len(level.text) - 1)
-    length = ends - minima + 1
-    a, b = sorted_[:-1], sorted_[1:]
-    same = length[a] == length[b]
-    live = np.flatnonzero(same)
-    depth = 0
-    while len(live):
-        live = live[length[a[live]] > depth]
-        differ = level.text[minima[a[live]] + depth] != level.text[minima[b[live]] + depth]
-        same[live[differ]] = False
-        live = live[~differ]
-        depth += 1
-    rank = np.empty(len(minima), np.int64)
-    rank[sorted_] = np.concatenate(([0], np.cumsum(~same)))
-    return rank, int(rank.max()) + 1 if len(rank) else 0
+    text, minima = level.text, level.minima
+    rank = blank(len(minima), level.memory)
+    before, name = None, -1
+
+    def unsorted() -> Iterator[Chunk]:
+        for at in range(0, len(minima), CHUNK):
+            own = np.asarray(minima[at : at + CHUNK])
+            yield own, np.zeros(len(own), np.int32)
+
+    for pos, _, rising in level.induce(unsorted()):
+        if rising:
+            pos = pos[(pos > 0) & (text[pos - 1] > text[pos])]
+            if not len(pos):
+                continue
+            pos = pos if before is None else np.concatenate(([before], pos))
+            index = np.searchsorted(minima, pos)
+            ends = np.where(index + 1 < len(minima), minima[np.minimum(index + 1, len(minima) - 1)], len(text) - 1)
+            length = ends - pos + 1
+            same = length[1:] == length[:-1]
+            live, depth = np.flatnonzero(same), 0
+            while len(live):
+                live = live[length[live] > depth]
+                differ = text[pos[live] + depth] != text[pos[live + 1] + depth]
+                same[live[differ]] = False
+                live, depth = live[~differ], depth + 1
+            step = np.cumsum(~same)
+            if before is None:
+                rank[index[0]] = name = 0
+            rank[index[1:]] = name + step
+            name += int(step[-1]) if len(step) else 0
+            before = int(pos[-1])
+    return rank, name + 1
 
 
 def doubled(names: np.ndarray, cap: int) -> np.ndarray:
@@ -270,23 +393,54 @@ def doubled(names: np.ndarray, cap: int) -> np.ndarray:
             return order
 
 
-def suffix_order(text: np.ndarray, cap: int, memory: int = MEMORY, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes in order and the common prefix of each with the one before it.
-
-    text: integers, of which the last is the least.
+def ordered_minima(level: Inducer, base: int, depth: list[int]) -> Iterator[Chunk]:
+    """The local minima as suffixes in order, with common prefixes."""
+    names, kinds = names_of(level)
+    minima, text, cap = level.minima, level.text, level.cap
+
+    def order() -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Indices of minima, and common prefixes in names."""
+        if kinds == len(names):
+            inverse = blank(len(names), level.memory)
+            for at in range(0, len(names), CHUNK):
+                inverse[names[at : at + CHUNK]] = np.arange(at, min(at + CHUNK, len(names)))
+            ranked = inverse
+        elif len(names) <= base:
+            ranked = doubled(np.asarray(names), cap)
+        else:
+            depth.append(len(names))
+            chunks = (names[at : at + CHUNK] + 1 for at in range(0, len(names), CHUNK))
+            inner = gathered((*chunks, np.zeros(1, np.int64)), "<i8", level.memory)
+            for pos, lcp in suffix_order(inner, cap, level.memory, base, depth):
+                keep = pos < len(names)
+                yield pos[keep], lcp[keep]
+            return
+        for at in range(0, len(ranked), CHUNK):
+            yield np.asarray(ranked[at : at + CHUNK]), None
+
+    before = None
+    for index, equal in order():
+        if not len(index):
+            continue
+        first = np.asarray(minima[index])
+        known = None
+        if equal is not None:  # so many names agree, and with them their substrings
+            known = np.minimum(minima[np.minimum(index + equal, len(minima) - 1)] - first, cap)
+        a = np.concatenate(([first[0] if before is None else before], first[:-1]))
+        lcp = common_prefix(text, a, first, cap, known)
+        if before is None:
+            lcp[0] = 0
+        before = int(first[-1])
+        yield first, lcp
+
+
+def suffix_order(text: np.ndarray, cap: int, memory: int = MEMORY, base: int = BASE, depth: list[int] | None = None) -> Iterator[Chunk]:
+    """Suffixes in order and the common prefix of each with the one before it, in chunks.
+
+    text: integers, of which the last is the unique least. depth: gets the length of each
+    name string that is sorted by recursion.
     """
     level = Inducer(text, cap, memory)
-    minima = level.minima
-    if not len(minima):
-        return level.induce(minima, np.empty(0, np.int32))
-    names, kinds = names_of(level)
-    if kinds == len(names):
-        order = np.argsort(names)
-    elif len(names) <= base:
-        order = doubled(names, cap)
-    else:
-        inner, _ = suffix_order(np.append(names + 1, 0), cap, memory, base)
-        order = inner[inner < len(names)]
-    first = minima[order]
-    lcp = np.concatenate((np.zeros(1, np.int32), common_prefix(text, first[:-1], first[1:], cap)))
-    return level.induce(first, lcp)
+    minima = ordered_minima(level, base, [] if depth is None else depth) if len(level.minima) else iter(())
+    for pos, lcp, _ in level.induce(minima):
+        yield pos, lcp

@@ -12,16 +12,18 @@ with a smaller doc_id. Documents are judged as they came in; matches end with th
    packed blobs to shards of the hash range. An anchor that a task itself finds in two
    texts is sent once, so what a third of all documents have is sent once a batch.
 4. The segments of shared anchors are counted by content with their smallest doc_id, and
-   distinct segments meet by anchor in shards. A shard is one text: its suffix array and
-   common prefixes come from external induced sorting (`induced_sort`), which spills its
-   queues to scratch space, so a shard may exceed memory. Suffixes with a common prefix
+   distinct segments meet by anchor in shards. A shard is one text of about `SHARD_BYTES`: its
+   suffixes with their common prefixes come in order from external induced sorting
+   (`induced_sort`), whose queues, scans and arrays keep ``MEMORY`` bytes each and lie in scratch
+   space beyond, so a shard may be far larger than memory. Suffixes with a common prefix
    of ``length`` bytes are one string; its smallest doc_id is the least of its segments.
+   Anchors with over `HOT` contents are split before, by more of the bytes around the anchor.
 5. Segments bring these smallest ids back to the documents, whose removed runs follow.
 
 Defined results: null text is empty; documents shorter than ``length`` bytes lose
 nothing; repeated rows (same doc_id) do not remove each other; a null doc_id counts as
 larger than all others; an empty table gives no rows; extra columns are ignored. Texts
-and segments are told apart by 64-bit hashes.
+and segments are told apart by 128 bits of hashes.
 """
 
 from __future__ import annotations
@@ -32,14 +34,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import BROADCAST_ROWS, Scratch, join_groups, map_rows, mix64, text_id, to_batch
-from lodestone.llm.induced_sort import suffix_order
+from lodestone.llm.common import BROADCAST_ROWS, Scratch, join_groups, map_rows, mix64, small, text_id, to_batch
+from lodestone.llm.induced_sort import MEMORY, BucketQueue, gathered, suffix_order
 
-GRAM, SHARD_BYTES, PIECE = 24, 4 << 20, 1 << 20
+GRAM, SHARD_BYTES, PIECE, BLOCK, SLICE = 24, 16 << 20, 1 << 20, 1 << 20, 50_000
+#: Contents of an anchor that one task may get.
+HOT = 4_000
 #: Tasks of one exchange, and pairs of an anchor and a text that a task holds at a time.
 MOST_TASKS, PASS = 20_000, 4_000_000
 CUT = np.uint64(24)  # bits of an anchor that the filter leaves out
@@ -270,7 +275,72 @@ def segments(docs: DataFrame, shared: DataFrame, firsts: DataFrame, length: int)
     return met.mapInArrow(run, "ord long, text_key long, h2 long, start long, windows long, anchor long, digest long, body binary")
 
 
-def shard_profiles(distinct: DataFrame, length: int, shard_bytes: int) -> DataFrame:
+def least_by_position(text: np.ndarray, starts: np.ndarray, ords: np.ndarray, length: int, memory: int) -> Iterator[tuple[int, np.ndarray]]:
+    """By blocks of the text: where one starts, and for each position the smallest doc_id of
+    the segments with the string of ``length`` bytes that starts there.
+
+    Suffixes come in order; those with a common prefix of ``length`` are a group. Positions and
+    groups are dealt to the blocks of the text through scratch space.
+    """
+    dealt, parts, least, number = BucketQueue(memory), [], None, -1
+    for pos, lcp in suffix_order(text, length + 6, memory):
+        owner = ords[np.searchsorted(starts, pos, side="right") - 1]
+        new = lcp < length
+        new[0] |= least is None
+        first = np.flatnonzero(new)
+        head = len(first) == 0 or first[0] > 0  # goes on with the last group
+        low = np.minimum.reduceat(owner, np.concatenate(([0], first)) if head else first)
+        if head:
+            least, low = min(least, low[0]), low[1:]
+        if len(low):
+            parts += ([] if least is None else [np.array([least])]) + [low[:-1]]
+            least = low[-1]
+        group = (number + np.cumsum(new)).astype(np.int32)
+        number = int(group[-1])
+        block = pos // BLOCK
+        order = np.argsort(block, kind="stable")
+        edge = np.flatnonzero(np.concatenate(([True], block[order][1:] != block[order][:-1]))).tolist()
+        for x, y in zip(edge, [*edge[1:], len(order)], strict=True):
+            dealt.push(int(block[order[x]]), pos[order[x:y]], group[order[x:y]])
+    of_group = gathered((*parts, np.array([least])), "<i8", memory)
+    for at in range(0, len(text), BLOCK):
+        values = np.empty(min(BLOCK, len(text) - at), np.int64)
+        for pos, group in dealt.pop(at // BLOCK):
+            values[pos - at] = of_group[group]
+        yield at, values
+    dealt.close()
+
+
+def profiles_by_segment(text: np.ndarray, sizes: np.ndarray, ords: np.ndarray, last: np.ndarray, length: int, memory: int) -> Iterator[tuple[int, bytes]]:
+    """(segment, profile) of the segments of a shard that some document may lose bytes in."""
+    starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
+    windows = sizes - length + 1
+    ends = starts + windows
+    held, base, done = np.empty(0, np.int64), 0, 0
+    for at, values in least_by_position(text, starts, ords, length, memory):
+        held = np.concatenate((held, values))
+        upto = int(np.searchsorted(ends, at + len(values), side="right"))
+        if upto > done:
+            own = windows[done:upto]
+            before = np.concatenate(([0], np.cumsum(own)[:-1]))
+            segment = np.repeat(np.arange(upto - done), own)
+            place = np.arange(len(segment)) - before[segment]
+            value = held[starts[done:upto][segment] + place - base]
+            closes = np.append((segment[1:] != segment[:-1]) | (value[1:] != value[:-1]), True)
+            cut = np.flatnonzero(closes)
+            packed = np.stack([place[cut] + 1, value[cut]], 1).astype("<i8").tobytes()
+            edge = np.concatenate(([0], np.cumsum(np.bincount(segment[cut], minlength=upto - done)))).tolist()
+            for k in np.flatnonzero(np.minimum.reduceat(value, before) < last[done:upto]).tolist():
+                yield done + k, packed[16 * edge[k] : 16 * edge[k + 1]]
+            done = upto
+        keep = min(int(starts[done]) if done < len(starts) else len(text), at + len(values))
+        held, base = held[max(keep - base, 0) :], max(keep, base)
+
+
+NUMBERS = ("anchor", "digest", "least", "last", "n")
+
+
+def shard_profiles(distinct: DataFrame, length: int, shard_bytes: int, memory: int = MEMORY) -> DataFrame:
     """(anchor, digest, n, profile) of distinct segments (anchor, digest, body, least, last, n).
 
     least, last: the smallest and largest doc_id with the segment. Without anything to
@@ -280,74 +350,152 @@ def shard_profiles(distinct: DataFrame, length: int, shard_bytes: int) -> DataFr
     """
     schema = pa.schema([("anchor", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("profile", pa.binary())])
 
-    def solve(rows: list[tuple]) -> Iterator[tuple]:
-        """Profiles of the segments of a shard that some document may lose bytes in."""
-        anchor, digest, bodies, ords, last, n = zip(*rows, strict=True)
-        sizes = np.array([len(x) for x in bodies], np.int64)
-        raw = np.frombuffer(b"\0".join(bodies) + b"\0\0", np.uint8)
-        text = raw + np.uint8(2) if raw.max() < 254 else raw.astype(np.int16) + 2
-        starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        text[starts + sizes] = 1  # ends of segments
-        text[-1] = 0
-        order, lcp = suffix_order(text, length + 6)
-        first = np.flatnonzero(lcp < length)
-        owner = np.searchsorted(starts, order, side="right") - 1
-        least = np.minimum.reduceat(np.array(ords, np.int64)[owner], first)
-        by_pos = np.empty(len(text), np.int64)
-        by_pos[order] = np.repeat(least, np.diff(np.append(first, len(order))))
-
-        windows = sizes - length + 1
-        before = np.concatenate(([0], np.cumsum(windows)[:-1]))
-        segment = np.repeat(np.arange(len(rows)), windows)
-        place = np.arange(len(segment)) - before[segment]
-        value = by_pos[starts[segment] + place]
-        closes = np.append((segment[1:] != segment[:-1]) | (value[1:] != value[:-1]), True)
-        at = np.flatnonzero(closes)
-        packed = np.stack([place[at] + 1, value[at]], 1).astype("<i8").tobytes()
-        edge = np.concatenate(([0], np.cumsum(np.bincount(segment[at], minlength=len(rows))))).tolist()
-        loses = (np.minimum.reduceat(value, before) < np.array(last, np.int64)).tolist()
-        for k in range(len(rows)):
-            if loses[k]:
-                yield (anchor[k], digest[k], n[k], packed[16 * edge[k] : 16 * edge[k + 1]])
+    def encoded(bodies: pa.BinaryArray, sizes: np.ndarray) -> np.ndarray:
+        """Bytes plus 2, a 1 after each segment."""
+        first, last = np.frombuffer(bodies.buffers()[1], "<i4")[[bodies.offset, bodies.offset + len(bodies)]]
+        data = np.frombuffer(bodies.buffers()[2], np.uint8)[first:last]
+        out = np.ones(len(data) + len(sizes), np.uint8 if not len(data) or data.max() < 254 else np.uint16)
+        out[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(out.dtype) + 2
+        return out
+
+    def solve(parts: list[tuple]) -> Iterator[tuple]:
+        numbers = {name: np.concatenate([p[0][name] for p in parts]) for name in NUMBERS}
+        sizes = np.concatenate([p[1] for p in parts])
+        wide = "<u2" if any(p[2].itemsize == 2 for p in parts) else "u1"
+        text = gathered((*(p[2] for p in parts), np.zeros(1, np.uint8)), wide, memory)
+        for k, profile in profiles_by_segment(text, sizes, numbers["least"], numbers["last"], length, memory):
+            yield int(numbers["anchor"][k]), int(numbers["digest"][k]), int(numbers["n"][k]), profile
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole anchors, sorted, are gathered up to the size of a shard."""
-        rows: list[tuple] = []
-        own: list[tuple] = []
-        out: list[tuple] = []
+        parts: list[tuple] = []
         held = 0
+        rest: pa.Table | None = None
 
-        def close() -> None:
+        def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             """An anchor with one content needs no sorting: one doc_id holds for its windows."""
             nonlocal held
-            if len(own) > 1:
-                rows.extend(own)
-                held += sum(len(x[2]) for x in own)
-            elif own and own[0][3] < own[0][4]:
-                a, digest, body, least, _, n = own[0]
-                out.append((a, digest, n, np.array([[len(body) - length + 1, least]], "<i8").tobytes()))
-            own.clear()
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if own and row[0] != own[0][0]:
-                    close()
-                    if held >= shard_bytes:
-                        out.extend(solve(rows))
-                        rows.clear()
-                        held = 0
-                own.append(row)
+            numbers = {name: rows.column(name).to_numpy() for name in NUMBERS}
+            bodies = rows.column("body").combine_chunks()
+            sizes = pc.binary_length(bodies).to_numpy().astype(np.int64)
+            anchor = numbers["anchor"]
+            edge = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+            lone = edge & np.append(edge[1:], True)
+            loses = np.flatnonzero(lone & (numbers["least"] < numbers["last"]))
+            if len(loses):
+                packed = np.stack([sizes[loses] - length + 1, numbers["least"][loses]], 1).astype("<i8").tobytes()
+                columns = [pa.array(numbers[name][loses]) for name in ("anchor", "digest", "n")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([packed[16 * k : 16 * k + 16] for k in range(len(loses))], pa.binary())], schema=schema)
+            if not lone.all():
+                own = bodies.filter(pa.array(~lone))
+                text = encoded(own, sizes[~lone])
+                parts.append(({name: v[~lone] for name, v in numbers.items()}, sizes[~lone], text))
+                held += len(text)
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            out = []
+            for row in solve(parts):
+                out.append(row)
+                if len(out) >= 20_000:
+                    yield to_batch(out, schema)
+                    out = []
             if out:
                 yield to_batch(out, schema)
-                out.clear()
-        close()
-        if rows:
-            out.extend(solve(rows))
-        if out:
-            yield to_batch(out, schema)
+            parts.clear()
+            held = 0
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            anchor = rows.column("anchor").to_numpy()
+            cut = np.flatnonzero(anchor[1:] != anchor[:-1])
+            upto = int(cut[-1]) + 1 if len(cut) else 0  # the last anchor may go on
+            rest = rows.slice(upto)
+            at, borders = 0, cut + 1
+            while at < upto:
+                to = int(borders[min(np.searchsorted(borders, at + SLICE), len(borders) - 1)])
+                yield from settle(rows.slice(at, to - at))
+                at = to
+                if held >= shard_bytes:
+                    yield from flush()
+        if rest is not None and rest.num_rows:
+            yield from settle(rest)
+        if parts:
+            yield from flush()
 
     near = distinct.repartition("anchor").sortWithinPartitions("anchor", "digest")
-    return near.select("anchor", "digest", "body", "least", "last", "n").mapInArrow(run, "anchor long, digest long, n long, profile binary")
+    return near.select("anchor", "digest", "least", "last", "n", "body").mapInArrow(run, "anchor long, digest long, n long, profile binary")
+
+
+def split_segments(kinds: DataFrame, length: int) -> DataFrame:
+    """Distinct segments cut into pieces of three windows at most: (anchor, digest, n, at,
+    sub_anchor, sub_digest, body, least, last).
+
+    The place of the anchor in a window, three places apart, and the bytes that all windows
+    with it there have in common, all but two, are the new anchor. Equal windows have it alike.
+    """
+
+    def make():
+        def step(row):
+            anchor, digest, n, least, last, body = row
+            raw = np.frombuffer(body, np.uint8)
+            found = np.flatnonzero(anchor_of_windows(raw, GRAM) == np.uint64(anchor & (1 << 64) - 1))
+            window = np.arange(len(raw) - length + 1)
+            place = found[np.searchsorted(found, window)]
+            kind = (place - window) // 3
+            cut = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (kind[1:] != kind[:-1])))).tolist()
+            for a, b in zip(cut, [*cut[1:], len(window)], strict=True):
+                at = int(place[a] - 3 * kind[a])
+                key = xxhash.xxh3_64_intdigest(body[at : at + length - 2], int(kind[a])) - (1 << 63)
+                own = body[a : b - 1 + length]
+                yield anchor, digest, n, a, key, xxhash.xxh3_64_intdigest(own) - (1 << 63), own, least, last
+
+        return step
+
+    rows = kinds.select("anchor", "digest", "n", "least", "last", "body")
+    return map_rows(rows, "anchor long, digest long, n long, at long, sub_anchor long, sub_digest long, body binary, least long, last long", make)
+
+
+def hot_profiles(kinds: DataFrame, length: int, shard_bytes: int, scratch: Scratch) -> DataFrame:
+    """As `shard_profiles`, for anchors with so many contents that one task shouldn't have them all."""
+    pieces = scratch.table(split_segments(kinds, length))
+    groups = pieces.groupBy(F.col("sub_anchor").alias("anchor"), F.col("sub_digest").alias("digest"))
+    parts = groups.agg(F.max("body").alias("body"), F.min("least").alias("least"), F.max("last").alias("last"), F.count("*").alias("n"))
+    solved = scratch.table(shard_profiles(parts, length, shard_bytes))
+    named = solved.select(F.col("anchor").alias("sub_anchor"), F.col("digest").alias("sub_digest"), F.col("n").alias("_n"), "profile")
+    rows = pieces.select("anchor", "digest", "n", "at", (F.length("body") - (length - 1)).cast("long").alias("windows"), "sub_anchor", "sub_digest")
+    met = join_groups(rows, named, ["sub_anchor", "sub_digest"], "_n", max(1, pieces.count()))
+    whole = met.groupBy("anchor", "digest").agg(F.first("n").alias("n"), F.max(F.col("profile").isNotNull()).alias("some"), F.array_sort(F.collect_list(F.struct("at", "windows", "profile"))).alias("parts"))
+
+    def make():
+        def step(row):
+            runs = []
+            for part in row[3]:
+                own = np.array([[part["windows"], LAST]]) if part["profile"] is None else np.frombuffer(part["profile"], "<i8").reshape(-1, 2)
+                runs.append(own + np.array([part["at"], 0]))
+            return [(row[0], row[1], row[2], np.concatenate(runs).astype("<i8").tobytes())]
+
+        return step
+
+    out = map_rows(whole.where("some").select("anchor", "digest", "n", "parts"), "anchor long, digest long, n long, profile binary", make)
+    return scratch.table(out, drop=[pieces, solved])
+
+
+def kinds_of(found: DataFrame) -> DataFrame:
+    return found.groupBy("anchor", "digest").agg(F.max("body").alias("body"), F.min("ord").alias("least"), F.max("ord").alias("last"), F.count("*").alias("n"))
+
+
+def profiles_of(found: DataFrame, length: int, shard_bytes: int, hot: int, scratch: Scratch) -> DataFrame:
+    """(anchor, digest, n, profile) of segments; anchors with over ``hot`` contents are split."""
+    many = scratch.table(found.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"))
+    if many.isEmpty():
+        return scratch.table(shard_profiles(kinds_of(found), length, shard_bytes), drop=[many])
+    contents = found.join(small(many), "anchor", "left_semi").select("anchor", "digest").distinct()
+    split = scratch.table(contents.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), drop=[many])
+    rest = shard_profiles(kinds_of(found.join(small(split), "anchor", "left_anti")), length, shard_bytes)
+    more = hot_profiles(kinds_of(found.join(small(split), "anchor", "left_semi")), length, shard_bytes, scratch)
+    return scratch.table(rest.unionByName(more), drop=[split, more])
 
 
 def repeated_segments(docs: DataFrame, firsts: DataFrame, length: int, shard_bytes: int, scratch: Scratch) -> DataFrame:
@@ -356,8 +504,7 @@ def repeated_segments(docs: DataFrame, firsts: DataFrame, length: int, shard_byt
     shards = max(8, min(MOST_TASKS, volume // (16 << 20)))
     shared = scratch.table(shared_anchors(docs, length, shards))
     found = scratch.table(segments(docs, shared, firsts, length), drop=[shared])
-    kinds = found.groupBy("anchor", "digest").agg(F.max("body").alias("body"), F.min("ord").alias("least"), F.max("ord").alias("last"), F.count("*").alias("n"))
-    profiles = scratch.table(shard_profiles(kinds, length, shard_bytes))
+    profiles = profiles_of(found, length, shard_bytes, HOT, scratch)
     placed = join_groups(found.drop("body"), profiles, ["anchor", "digest"], "n", max(1, found.count()))
     out = placed.where("profile is not null").select("ord", "text_key", "h2", "start", "profile")
     return scratch.table(out, drop=[found, profiles])
