@@ -24,10 +24,10 @@ A document is the set of its distinct word shingles. Two documents link when
    least the number of common shingles; pairs of boxes below what a link needs, or of one
    component, are pruned from the roots down, before any member travels, then pairs of points.
 5. All pairs have to pass the bound of their points and are verified on the full sets;
-   links become components. This goes in rounds (`TRIES`): each node is first tried with
-   the partner of the greatest bound, then with a few more, so that the pairs of a round are
-   linear in the nodes and those that it joins give no more; at last all pairs that still
-   lie between two components.
+   links become components. If the pairs are no more than the nodes, all are verified at once,
+   else in rounds (`TRIES`): each node is first tried with the partner of the greatest bound,
+   then with a few more, so that the pairs of a round are linear in the nodes and those that it
+   joins give no more; at last all pairs that still lie between two components.
 
 Texts of nodes with a cell are written once for the rounds. Hashes of shingles have 64
 bits; cells are told apart by 48, where chance hits cost work and change nothing.
@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from lodestone.llm.common import BROADCAST_ROWS, Scratch, gram_hashes, join_groups, map_rows, text_bytes, text_id, to_batch, without, word_hashes
 from lodestone.llm.components import connected_components, merged
 
-SKETCH, GROUPS, SMALL, LEAF, FAN, TRIES = 1 << 20, 128, 64, 32, 64, (1, 8, None)
+SKETCH, GROUPS, SMALL, LEAF, FAN, EACH, TRIES = 1 << 20, 128, 64, 32, 64, 32, (1, 8, None)
 #: Prefix shingles in a task's shard, in a batch of the sender, and in a pass over a shard.
 SHARD, BATCH, PASS = 400_000, 500_000, 4_000_000
 
@@ -531,35 +531,44 @@ def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int
     open_ = scratch.table(open_cells(sized, comp, total), drop=[sized])
     few = scratch.table(small_pairs(placed_in(open_.where(F.col("members") <= SMALL), comp), percent))
     many = scratch.table(open_.where(F.col("members") > SMALL).drop("members").join(points, "node"), drop=[open_])
-    largest = many.groupBy("token").count().agg(F.max("count")).first()[0]
-    tried = None
+    size = F.count("*").alias("m")
+    large = many.groupBy("token").agg(size).agg(F.max("m").alias("largest"), F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs")).first()
+    linear = (large["pairs"] or 0) <= EACH * total  # then all pairs of large cells are tried at once, too
+    height = 0
+    while LEAF * FAN ** (height + 1) < (large["largest"] or 0):
+        height += 1
+
+    def candidates(most: int | None) -> DataFrame:
+        pairs = apart(few, comp)
+        if not large["largest"]:
+            return bounded(pairs, points, percent)
+        tree = scratch.table(tree_of(placed_in(many, comp), height))
+        found = scratch.table(tree_pairs(tree, height, percent, most, scratch))
+        scratch.drop(tree)
+        return bounded(pairs.unionByName(found).distinct(), points, percent)
+
+    pool = tried = None
     for most in TRIES:
-        pool = apart(few, comp)
-        if largest:
-            height = 0
-            while LEAF * FAN ** (height + 1) < largest:
-                height += 1
-            tree = scratch.table(tree_of(placed_in(many, comp), height))
-            pool = pool.unionByName(tree_pairs(tree, height, percent, most, scratch)).distinct()
+        if pool is None or not linear:
+            pool = candidates(None if linear else most)
+        else:
+            pool = apart(pool, comp)
         if tried is not None:
             pool = pool.join(tried, ["a", "b"], "left_anti")
-        pool = scratch.table(bounded(pool, points, percent))
-        if most is not None:
+        pool = scratch.table(pool)
+        left = pool.count()
+        last = most is None or linear and left <= total
+        if last:
+            chosen = scratch.table(pool.select("a", "b"))
+        else:
             rank = [F.row_number().over(Window.partitionBy(x).orderBy(F.desc("bound"), y)) <= most for x, y in (("a", "b"), ("b", "a"))]
             chosen = scratch.table(pool.withColumn("_a", rank[0]).withColumn("_b", rank[1]).where("_a or _b").select("a", "b"))
-        else:
-            chosen = scratch.table(pool.select("a", "b"))
-        if largest:
-            scratch.drop(tree)
-        count, left = chosen.count(), pool.count()
-        scratch.drop(pool)
-        if count:
-            links = verified(chosen, texts, words, percent, scratch)
-            comp = merged(comp, links, scratch)
+        if left:
+            comp = merged(comp, verified(chosen, texts, words, percent, scratch), scratch)
             tried = chosen if tried is None else scratch.table(tried.unionByName(chosen), drop=[tried, chosen])
-        if not left or left == count and not largest:
+        if last or not left:
             break
-    scratch.drop(texts)
+    scratch.drop(texts, few, many)
     return comp
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lodestone.llm import jaccard_join
@@ -79,6 +80,37 @@ def test_a_cell_of_several_leaves(docs, prose):
     check(docs, rows)
 
 
+@pytest.mark.parametrize("each", [0, 32])
+def test_trees_of_several_levels(docs, prose, monkeypatch, each):
+    """Pairs of large cells in rounds, and all at once."""
+    for name, value in (("SMALL", 4), ("LEAF", 4), ("FAN", 3), ("EACH", each)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    r = random.Random(11)
+    bases = [prose(40, 5), prose(45, 6)]
+    rows = [(k, edited(bases[k % 2], r, r.choice([1, 2, 3, 5]))) for k in range(90)]
+    check(docs, rows, 2, 80)
+
+
+def test_packed_entries(monkeypatch):
+    r = np.random.default_rng(1)
+    rows = np.zeros(50, jaccard_join.ENTRY)
+    rows["token"], rows["node"], rows["at"], rows["more"] = r.integers(0, 1 << 48, 50), r.integers(-5, 5, 50), r.integers(0, 65_535, 50), r.integers(0, 2, 50)
+    rows["n"] = rows["node"] + 9
+    assert np.array_equal(jaccard_join.unpacked_entries(jaccard_join.packed_entries(rows)), rows)
+    order = r.integers(0, 1 << 63, 9).astype(np.uint64)
+    assert np.array_equal(jaccard_join.unpacked_prefix(jaccard_join.packed_prefix(order)), order >> np.uint64(16))
+    for top in (9, 300, 70_000):
+        counts = np.arange(jaccard_join.GROUPS) % 7 + top - 8
+        assert np.array_equal(jaccard_join.unpacked(jaccard_join.packed(counts)), counts)
+
+
+def test_shards_in_passes(docs, prose, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PASS", 50)
+    monkeypatch.setattr(jaccard_join, "BATCH", 60)
+    r = random.Random(13)
+    check(docs, [(k, edited(prose(40, k // 6), r, 1)) for k in range(40)])
+
+
 def test_chain(docs):
     words = [f"v{k}" for k in range(80)]
     rows = [(100 - k, " ".join(words[k : k + 60])) for k in range(20)]
