@@ -110,13 +110,13 @@ def sample(rows: DataFrame, per_language: int, most: int, grams: int, seed: int)
     scratch = Scratch(rows.sparkSession)
     h1, _ = text_id()
     order = F.xxhash64(F.col("doc_id"), h1, F.lit(seed))
-    known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), order.alias("at"))
+    known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), order.alias("at")).distinct()
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     # twice the share of hashes that a language's sample needs, so that the window sees few rows
     share = F.least(F.lit(1.0), F.lit(2.0 * per_language) / F.col("n"))
     near = join_groups(known, counts, ["lang"], "n", max(1, known.count())).where((F.col("at") / F.lit(2.0**64) + 0.5) <= share)
     first = Window.partitionBy("lang").orderBy("at")
-    ranked = near.select("lang", "at").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
+    ranked = near.select("lang", "at").withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
     chosen = scratch.table(ranked.orderBy("k", "lang").limit(most))
     texts = rows.select(F.col("lang").cast("string").alias("lang"), order.alias("at"), text_bytes())
     once = texts.join(F.broadcast(chosen), ["lang", "at"]).groupBy("k", "lang", "at").agg(F.first("text").alias("text"))

@@ -102,14 +102,14 @@ def best_cut(cells: list[tuple[int, str, int]]) -> float:
     total = {v: sum(n for _, verdict, n in cells if verdict == v) for v in VERDICTS}
     if not all(total.values()):
         return 0.0
-    marks: dict[int, float] = {}
+    marks: dict[int, int] = {}  # what a threshold above the cell gains, in whole numbers
     for cell, verdict, n in cells:
-        marks[cell] = marks.get(cell, 0.0) + (n if verdict == "allow" else -n) / total[verdict]
+        marks[cell] = marks.get(cell, 0) + (-n * total["block"] if verdict == "allow" else n * total["allow"])
     order = sorted(marks)
-    best, cut, gain = 0.0, order[0] - 0.5, 0.0
+    best, cut, gain = 0, order[0] - 0.5, 0
     for k, cell in enumerate(order[:-1]):
-        gain -= marks[cell]  # with a threshold above this cell
-        if gain > best + 1e-12:
+        gain += marks[cell]
+        if gain > best:
             best, cut = gain, (cell + order[k + 1]) / 2
     return cut / GRID
 

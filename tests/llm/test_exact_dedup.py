@@ -59,3 +59,11 @@ def test_keep_with_null_and_repeated_ids(docs):
     rows = [(5, "same"), (None, "Same"), (7, "other"), (7, "lost one"), (9, "LOST one"), (None, "c"), (None, "C")]
     out = sorted((r.doc_id or 0, r.text.lower()) for r in exact_dedup.keep_exact(docs(rows)).collect())
     assert out == [(0, "c"), (5, "same"), (7, "other"), (9, "lost one")]
+
+
+def test_repeated_rows_with_other_columns(docs):
+    """Of rows equal in id and text one stays; of an id's texts the greatest hash."""
+    rows = [(5, "u"), (5, "t"), (9, "t"), (1, "v", "b"), (1, "v", "a"), (None, "w"), (3, "w")]
+    out = exact_dedup.keep_exact(docs(rows)).collect()
+    assert sorted((r.doc_id, r.text, r.lang or "") for r in out) == [(1, "v", "a"), (3, "w", ""), (5, "u", ""), (9, "t", "")]
+    assert sum(r.doc_id == 4 for r in exact_dedup.keep_exact(docs([(4, "Same"), (4, "sAME"), (4, "same")])).collect()) == 1

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from lodestone.llm import queries
@@ -43,6 +44,35 @@ def test_stages(spark, corpus):
     assert len(coded) == docs.count() and all(r.n_tokens == len(r.ids) // 4 > 0 for r in coded)
 
 
+CLASHES = ("text_hash", "passes", "_copy", "h1", "h2", "_gone_id", "_passes", "digest", "node", "n", "lang_far", "kept", "ranges")
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, docs, prose):
+    """Null and repeated ids, repeated rows, empty and null texts; columns come through as they are."""
+    one, two, three = (prose(120, k) for k in (50, 51, 52))
+    rows = [(1, one), (1, one), (None, one), (1, two), (None, three), (None, three + " end"), (7, None), (8, ""), (9, prose(30_000, 9))]
+    rows += [(100 + k, prose(120, k)) for k in range(30)]
+    full = docs([(k, t, "xx", "s") for k, t in rows])
+    for name in CLASHES:
+        full = full.withColumn(name, F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    kept = full
+    for _, stage in pipeline.STAGES[:3]:
+        kept = stage(spark, kept, "")
+        assert kept.columns == full.columns
+    got = kept.collect()
+    assert all(r[name] == f"{name}{'none' if r.doc_id is None else r.doc_id}" for r in got for name in CLASHES)
+    assert sorted((r.doc_id or 0, r.text) for r in got if (r.doc_id or 0) < 100 and r.doc_id != 9) in [sorted([(1, one), (1, two), (0, t)]) for t in (three, three + " end")]
+    assert {r.doc_id for r in got} >= {*range(100, 130)}
+    mixed = pipeline.STAGES[3][1](spark, full, "")
+    assert mixed.columns == full.columns
+    out = mixed.collect()
+    assert all(r[name] == f"{name}{'none' if r.doc_id is None else r.doc_id}" for r in out for name in CLASHES)
+    assert {r.doc_id for r in out} == {k for k, t in rows if t}
+    total = sum(len(WORD.findall(t or "")) for _, t in rows)
+    assert abs(sum(len(WORD.findall(r.text)) for r in out) - 1.5 * total) <= 1
+    assert pipeline.STAGES[4][1](spark, full, "").count() == len(rows)
+
+
 def test_run(spark, corpus):
     out = pipeline.run(spark, corpus[1])
     assert {"doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"} <= set(out.columns) and out.count() > 0

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.llm import mixing, sharding
+from lodestone.llm.common import Scratch
 from tests.llm.conftest import ODD
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -34,17 +35,35 @@ def test_odd_and_repeated_rows(docs):
     sharded(docs, [(k, t) for k, t in enumerate(ODD)] + [(None, None), (None, "a"), (1, "x"), (1, "x"), (1, "x")], 4)
 
 
-def test_several_buckets_and_scatter(spark, docs):
-    rows = docs([(k, "same" if k % 3 == 0 else str(k)) for k in range(3000)]).select("doc_id", F.lit(1).cast("long").alias("w"), F.lit(2).alias("z"))
-    out = sharding.place(rows, 10, "w", ["doc_id", "w"], bucket_rows=100).collect()
-    assert sorted(r.doc_id for r in out) == list(range(3000))
-    assert {r.shard for r in out if r.doc_id < 100} == set(range(10))
-    hot = Counter(r.shard for r in out if r.doc_id % 3 == 0)
+def test_several_buckets_and_scatter(docs):
+    rows = docs([(k, "same" if k % 3 == 0 else str(k)) for k in range(3000)])
+
+    def at(seed):
+        return sorted((r.record.doc_id, r.shard, r.slot) for r in sharding.placed(rows, 10, seed, Scratch(rows.sparkSession), bucket_rows=100).collect())
+
+    out = at(1)
+    assert [k for k, *_ in out] == list(range(3000)) and {s for k, s, _ in out if k < 100} == set(range(10))
+    hot = Counter(s for k, s, _ in out if k % 3 == 0)
     assert all(60 < hot[s] < 140 for s in range(10))
-    again = sharding.place(rows, 10, "w", ["doc_id", "w"], bucket_rows=100).collect()
-    assert sorted(out) == sorted(again)
-    other = sharding.place(rows, 10, "w", ["doc_id", "w"], seed=5, bucket_rows=100).collect()
-    assert sorted(out) != sorted(other)
+    assert out == at(1) != at(5)
+
+
+def test_repeated_records_are_scattered(docs):
+    rows = docs([(1, "again")] * 1000 + [(k, f"t{k}") for k in range(10, 1010)])
+    shards = Counter(r.shard for r in sharding.placed(rows, 10, 1, Scratch(rows.sparkSession), bucket_rows=50).collect() if r.record.doc_id == 1)
+    assert sum(shards.values()) == 1000 and all(50 < shards[s] < 150 for s in range(10))
+
+
+def test_writing_keeps_any_columns(spark, docs, tmp_path):
+    rows = docs([(1, "a"), (1, "a"), (None, None)] + [(k, str(k)) for k in range(10, 30)])
+    for name in ("mark", "bucket", "copy", "_id", "record", "first", "at"):
+        rows = rows.withColumn(name, F.concat(F.lit(name), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    rows = rows.withColumn("slot", F.lit(-1))
+    sharding.write_shards(rows, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*rows.columns, "shard"} and -1 not in {r.slot for r in back.collect()}
+    same = [c for c in rows.columns if c != "slot"]
+    assert Counter(map(tuple, back.select(same).collect())) == Counter(map(tuple, rows.select(same).collect()))
 
 
 def test_write(spark, docs, tmp_path):
