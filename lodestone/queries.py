@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestone.errors import ColumnFailure, ExchangeError
 from lodestone.functions import read, sqlgen, write
 from lodestone.functions.inference import ColumnDescriptor, infer_schema
 from lodestone.operators.chunks import chunked
@@ -20,7 +21,7 @@ from lodestone.operators.convert import read_projection, write_projection
 from lodestone.operators.limits import ReaderOptions, rows_per_batch
 from lodestone.plans import session
 from lodestone.sources import dbapi, jdbc
-from lodestone.types import Logical
+from lodestone.types import Logical, check_readable, check_writable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -336,6 +337,71 @@ def sink_types(spark: SparkSession, d: str) -> DataFrame:
     return dbapi.scan(spark, "sqlite3", where, "SELECT * FROM sunk", "event_id long, at string, zoned string, wide string, odd long")
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, CAST(CAST(l_tax AS float) AS double) AS half, CAST(CAST(l_shipdate AS date) AS varchar) AS day,
+    strftime(l_shipdate + to_seconds(l_linenumber * 3601), '%H:%M:%S') AS at, CAST(CAST(l_extendedprice AS decimal(15,2)) AS varchar) AS price,
+    CAST(l_linenumber * 36 AS smallint) AS u8, l_comment FROM (SELECT *, l_returnflag || 'ü' AS l_comment FROM lineitem)"""
+)
+def write_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of most kinds through the projection of the sinks, two of them declared without nulls."""
+    meta = lambda kind, **more: Logical(kind, **more).field("x").metadata
+    day = F.unix_date(F.col("l_shipdate").cast("date")).cast("long")
+    seconds = F.pmod(F.unix_seconds(F.col("l_shipdate").cast("timestamp")) + F.col("l_linenumber") * 3601, F.lit(86_400).cast("long"))
+    rows = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("l_orderkey", metadata={"nullable": False}),
+        F.col("l_linenumber").alias("l_linenumber", metadata={"nullable": False}),
+        F.col("l_tax").cast("float").alias("half", metadata=meta("float16")),
+        (day * 86_400_000 + 1).alias("day", metadata=meta("date64")),
+        seconds.cast("int").alias("at", metadata=meta("time", unit="s")),
+        F.col("l_extendedprice").cast("decimal(15,2)").alias("price", metadata=meta("decimal", precision=15, scale=2)),
+        (F.col("l_linenumber") * 36).cast("smallint").alias("u8", metadata=meta("uint8")),
+        F.concat("l_returnflag", F.lit("ü")).alias("l_comment"),
+    )
+    out = write_projection(rows)
+    return out.withColumns({"half": F.col("half").cast("double"), "day": F.col("day").cast("string"), "price": F.col("price").cast("string")})
+
+
+def refusals() -> list[tuple[str, str, str, int]]:
+    """What is refused before any row moves: the case, the error, and the column if it is named."""
+    one = Logical("int32")
+    cases = {
+        "unsigned 16": lambda: check_readable([("a", one), ("b", Logical("uint16"))]),
+        "negative scale": lambda: check_readable([("a", Logical("decimal", precision=3, scale=-2))]),
+        "zone on a read": lambda: check_readable([("t", Logical("timestamp", unit="s", tz="UTC"))]),
+        "list to a sink": lambda: check_writable([("l", Logical("list"))]),
+        "bad zone": lambda: check_writable([("t", Logical("timestamp", unit="s", tz="Foobar"))]),
+        "binary without length": lambda: infer_schema([ColumnDescriptor("k", "integer"), ColumnDescriptor("b", "binary")]),
+        "text without bound": lambda: ReaderOptions().max_rows_per_batch([ColumnDescriptor("a", "varchar")], [Logical("utf8")]),
+        "unknown text length": lambda: ReaderOptions().max_rows_per_batch([ColumnDescriptor("a", "varchar", length=-4)], [Logical("utf8")]),
+        "batch below a row": lambda: ReaderOptions(max_bytes_per_batch=1).max_rows_per_batch([ColumnDescriptor("a", "integer")], [one]),
+        "allocation": lambda: ReaderOptions(fallible_allocations=True, allocation_limit=1000).max_rows_per_batch([ColumnDescriptor("a", "varchar", length=512)], [Logical("utf8")]),
+        "placeholders": lambda: dbapi.execute_many(SparkSession.active().range(1), "sqlite3", {"database": ":memory:"}, "DELETE FROM t WHERE a = ? AND b = ?"),
+        "statement": lambda: dbapi.execute_many(SparkSession.active().range(1), "sqlite3", {"database": ":memory:"}, "INSERT INTO missing VALUES (?)"),
+        "description": lambda: jdbc.describe(SparkSession.active(), DERBY, "SELECT * FROM MISSING", jdbc.DERBY_DRIVER),
+    }
+    out = []
+    for case, run in cases.items():
+        try:
+            run()
+            out.append((case, "none", "", -1))
+        except ExchangeError as e:
+            named = isinstance(e, ColumnFailure)
+            out.append((case, type(e.reason if named else e).__name__, e.name if named else "", e.index if named else -1))
+    return out
+
+
+REFUSED = [
+    ("unsigned 16", "UnsupportedType", "b", 1), ("negative scale", "UnsupportedType", "a", 0), ("zone on a read", "UnsupportedType", "t", 0), ("list to a sink", "UnsupportedForInsertion", "", -1),
+    ("bad zone", "InvalidTimeZone", "", -1), ("binary without length", "ZeroSizedColumn", "b", 1), ("text without bound", "ZeroSizedColumn", "a", 0), ("unknown text length", "UnknownStringLength", "a", 0),
+    ("batch below a row", "BufferTooSmall", "", -1), ("allocation", "TooLarge", "a", 0), ("placeholders", "BindParameters", "", -1), ("statement", "PreparingStatement", "", -1), ("description", "MetadataUnavailable", "", -1),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}', {k})" for a, b, c, k in REFUSED) + ") t(refused, error, name, place)")
+def errors_at_build(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame(refusals(), "refused string, error string, name string, place int")
+
+
 WIDTHS = (0, 1, 8, 100, 8_192, 10_000, 1 << 20, 512 << 20)
 
 
