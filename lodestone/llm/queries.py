@@ -72,8 +72,9 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY norm)""",
     "op2_suffix_dedup": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
-b AS (SELECT doc_id, n, unnest(range(0, n)) AS p, h FROM d),
-g AS (SELECT doc_id, n, p, substr(h, 2 * p + 1, 2) AS x, CASE WHEN p + 50 <= n THEN md5_number(substr(h, 2 * p + 1, 100)) END AS s FROM b),
+e AS (SELECT doc_id, n, c, substr(h, 1000 * c + 1, 1098) AS h FROM (SELECT *, unnest(range(0, (n + 499) // 500)) AS c FROM d)),
+b AS (SELECT *, unnest(range(0, least(500, n - 500 * c))) AS q FROM e),
+g AS (SELECT doc_id, 500 * c + q AS p, substr(h, 2 * q + 1, 2) AS x, CASE WHEN 500 * c + q + 50 <= n THEN md5_number(substr(h, 2 * q + 1, 100)) END AS s FROM b),
 f AS (SELECT doc_id, p, x, s IS NOT NULL AND min(doc_id) OVER (PARTITION BY s) < doc_id AS hit FROM g),
 c AS (SELECT doc_id, p, x, max(CAST(hit AS integer)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM f),
 k AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM c),
