@@ -29,7 +29,7 @@ A document is the set of its distinct word shingles. Two documents link when
    then with a few more, so that the pairs of a round are linear in the nodes and those that it
    joins give no more; at last all pairs that still lie between two components.
 
-Texts of nodes with a cell are written once for the rounds. Hashes of shingles have 64
+Texts travel for the nodes in a round's pairs only. Hashes of shingles have 64
 bits; cells are told apart by 48, where chance hits cost work and change nothing.
 
 Defined results: null or empty texts and texts of white space have an empty set and are
@@ -264,9 +264,10 @@ def live_cells(nodes: DataFrame, shards: int, percent: int) -> DataFrame:
 MOST_TASKS = 20_000
 
 
-def live_texts(docs: DataFrame, nodes: DataFrame, live: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, text) of the nodes that have a cell."""
-    wanted = scratch.table(live.select("node").distinct().join(nodes.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.h1", "rep.h2"))
+def texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, text) of the nodes in pairs (a, b)."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = scratch.table(ends.join(nodes.select("node", "rep"), "node").select("node", "rep.doc_id", "rep.h1", "rep.h2"))
     h1, h2 = text_id()
     read = docs.select("doc_id", text_bytes(), h1.alias("h1"), h2.alias("h2"))
     count = wanted.count()
@@ -277,9 +278,10 @@ def live_texts(docs: DataFrame, nodes: DataFrame, live: DataFrame, scratch: Scra
     return scratch.table(near.join(ids, match).groupBy("node").agg(F.first("text").alias("text")), drop=[wanted])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Of distinct pairs (a, b) of nodes those that link."""
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Of distinct pairs (a, b) of nodes those that link. nodes: node, rep and more of all nodes."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    texts = texts_of(docs, nodes, pairs, scratch)
     # each a meets its b's in parts of about 256, each of which gets a copy of a's text
     parts = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / 256).cast("int"))
     dealt = join_groups(pairs, parts, ["a"], "n", max(1, pairs.count())).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -304,7 +306,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, scrat
 
     met = texts.join(wanted, "node").select("a", "part", "b", "text")
     met = met.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return scratch.table(met.mapInArrow(run, "a long, b long").distinct())
+    return scratch.table(met.mapInArrow(run, "a long, b long").distinct(), drop=[texts])
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -512,7 +514,6 @@ def linked(docs: DataFrame, words: int, percent: int, scratch: Scratch) -> DataF
 def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int, percent: int, total: int, scratch: Scratch) -> DataFrame:
     """(node, comp) of the nodes with a link, from the cells (token, node, n, room)."""
     points = nodes.select("node", "counts")
-    texts = live_texts(docs, nodes, live, scratch)
     cells = live.groupBy("token").agg(F.count("*").alias("members"))
     sized = scratch.table(join_groups(live, cells, ["token"], "members", total), drop=[live])
 
@@ -523,7 +524,7 @@ def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int
     met = join_groups(sized, best, ["token"], "size", total).where((F.col("node") != F.col("hub_node")) & room).groupBy("node", "hub_node").agg(F.count("*").alias("times"))
     tries = met.groupBy("node").agg(F.max(F.struct("times", "hub_node")).alias("best")).select(F.col("best.hub_node").alias("a"), F.col("node").alias("b"))
     tries = scratch.table(bounded(tries, points, percent).select("a", "b"))
-    links = verified(tries, texts, words, percent, scratch)
+    links = verified(tries, docs, nodes, words, percent, scratch)
     comp = connected_components(links, scratch)
     scratch.drop(tries, links)
 
@@ -564,11 +565,11 @@ def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int
             rank = [F.row_number().over(Window.partitionBy(x).orderBy(F.desc("bound"), y)) <= most for x, y in (("a", "b"), ("b", "a"))]
             chosen = scratch.table(pool.withColumn("_a", rank[0]).withColumn("_b", rank[1]).where("_a or _b").select("a", "b"))
         if left:
-            comp = merged(comp, verified(chosen, texts, words, percent, scratch), scratch)
+            comp = merged(comp, verified(chosen, docs, nodes, words, percent, scratch), scratch)
             tried = chosen if tried is None else scratch.table(tried.unionByName(chosen), drop=[tried, chosen])
         if last or not left:
             break
-    scratch.drop(texts, few, many)
+    scratch.drop(few, many)
     return comp
 
 
