@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import BROADCAST_ROWS, Scratch, join_groups, map_rows, mix64, small, text_id, to_batch
-from lodestone.llm.induced_sort import MEMORY, BucketQueue, gathered, suffix_order
+from lodestone.llm.induced_sort import MEMORY, BucketQueue, Ranks, gathered, suffix_order
 
 GRAM, SHARD_BYTES, PIECE, BLOCK, SLICE = 24, 16 << 20, 1 << 20, 1 << 20, 50_000
 #: Contents of an anchor that one task may get.
@@ -54,10 +54,12 @@ LAST = (1 << 63) - 1  # stands for a null doc_id
 def anchor_of_windows(raw: np.ndarray, length: int) -> np.ndarray:
     """The anchor of each window of ``length`` bytes."""
     n = len(raw) - GRAM + 1
-    eight = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(raw, 8)).view("<u8").ravel()
-    low = eight[:n].copy()
-    for at in (8, GRAM - 8):
-        low = mix64(low * np.uint64(0x9E3779B97F4A7C15) + eight[at : at + n])
+    raw = np.ascontiguousarray(raw)
+    eight = np.ndarray(len(raw) - 7, "<u8", raw, 0, (1,)).copy()  # of the eight bytes from each place
+    low = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
+    low += eight[8 : 8 + n] * np.uint64(0xD6E8FEB86659FD93)
+    low += eight[GRAM - 8 : GRAM - 8 + n] * np.uint64(0x9DDFEA08EB382D69)
+    low = mix64(low)
     width, span = length - GRAM + 1, 1
     while span * 2 <= width:
         low = np.minimum(low[:-span], low[span:])
@@ -283,8 +285,9 @@ def least_by_position(text: np.ndarray, starts: np.ndarray, ords: np.ndarray, le
     groups are dealt to the blocks of the text through scratch space.
     """
     dealt, parts, least, number = BucketQueue(memory), [], None, -1
+    ranks, few = Ranks(starts, len(text)), len(text) <= BLOCK << 16
     for pos, lcp in suffix_order(text, length + 6, memory):
-        owner = ords[np.searchsorted(starts, pos, side="right") - 1]
+        owner = ords[ranks.below(pos + 1) - 1]
         new = lcp < length
         new[0] |= least is None
         first = np.flatnonzero(new)
@@ -298,7 +301,7 @@ def least_by_position(text: np.ndarray, starts: np.ndarray, ords: np.ndarray, le
         group = (number + np.cumsum(new)).astype(np.int32)
         number = int(group[-1])
         block = pos // BLOCK
-        order = np.argsort(block, kind="stable")
+        order = np.argsort(block.astype(np.uint16) if few else block, kind="stable")
         edge = np.flatnonzero(np.concatenate(([True], block[order][1:] != block[order][:-1]))).tolist()
         for x, y in zip(edge, [*edge[1:], len(order)], strict=True):
             dealt.push(int(block[order[x]]), pos[order[x:y]], group[order[x:y]])

@@ -203,3 +203,23 @@ def test_left_over_texts(docs, prose):
     got = {r.doc_id: bytes(r.kept).decode() for r in suffix_dedup.deduped_texts(docs(rows)).collect()}
     assert got[1] == a and got[3] == "" and got[4] == ""
     assert got[2] == f"{b} {a} end".replace(a, "")
+
+
+@pytest.mark.parametrize("size", [1, 63, 64, 65, 1 << 20, (1 << 20) + 1, 3_000_000])
+def test_ranks_agree_with_bisection(size):
+    rng = np.random.default_rng(size)
+    places = np.unique(rng.integers(0, size, size // 3 + 1))
+    pos = np.concatenate((rng.integers(0, size + 1, 1_000), [0, size]))
+    assert np.array_equal(induced_sort.Ranks(places, size).below(pos), np.searchsorted(places, pos))
+
+
+def test_names_are_sorted_by_no_more_than_decide(monkeypatch):
+    """A name has two characters at least, so 28 of them tell suffixes apart up to a cap of 56."""
+    sorts = []
+    argsort = np.argsort
+    monkeypatch.setattr(induced_sort.np, "argsort", lambda *a, **b: sorts.append(1) or argsort(*a, **b))
+    names = np.append(np.tile([3, 1, 2], 1_000), 0)
+    order = induced_sort.doubled(names, 56)
+    assert len(sorts) == 5
+    keys = [names[k : k + 28].tolist() for k in order]
+    assert keys == sorted(keys)
