@@ -6,7 +6,6 @@ Values leave as integers, doubles and text, so both engines print them alike.
 from __future__ import annotations
 
 import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +19,7 @@ from lodestone.operators.chunks import chunked
 from lodestone.operators.convert import read_projection, write_projection
 from lodestone.operators.limits import ReaderOptions, rows_per_batch
 from lodestone.plans import session
+from lodestone.plans.shared import shared_folder
 from lodestone.sources import dbapi, jdbc
 from lodestone.types import Logical, check_readable, check_writable
 
@@ -61,20 +61,20 @@ def scan_passthrough(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def scan_partitioned(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    reload(spark, "PART_ORDERS", "O_ORDERKEY BIGINT, O_CUSTKEY BIGINT, O_ORDERSTATUS VARCHAR(1)", orders)
+    url = derby_copy(orders, "PART_ORDERS", "O_ORDERKEY BIGINT, O_CUSTKEY BIGINT, O_ORDERSTATUS VARCHAR(1)")
     ends = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     schema = [("o_orderkey", Logical("int64")), ("o_custkey", Logical("int64")), ("o_orderstatus", Logical("utf8"))]
-    return jdbc.scan(spark, DERBY, "SELECT * FROM PART_ORDERS", ReaderOptions(schema=schema), jdbc.DERBY_DRIVER, ("O_ORDERKEY", ends[0], ends[1], 4))
+    return jdbc.scan(spark, url, "SELECT * FROM PART_ORDERS", ReaderOptions(schema=schema), jdbc.DERBY_DRIVER, ("O_ORDERKEY", ends[0], ends[1], 4))
 
 
-def reload(spark: SparkSession, name: str, columns: str, df: DataFrame) -> None:
-    """A fresh database table with the rows of ``df``."""
-    try:
-        jdbc.execute(spark, DERBY, f"DROP TABLE {name}", driver=jdbc.DERBY_DRIVER)
-    except Exception:  # noqa: BLE001  it was not there
-        pass
-    jdbc.execute(spark, DERBY, f"CREATE TABLE {name} ({columns})", driver=jdbc.DERBY_DRIVER)
-    jdbc.insert(df, DERBY, name, driver=jdbc.DERBY_DRIVER)
+def derby_copy(df: DataFrame, name: str, columns: str) -> str:
+    """The URL of a new database with the rows of ``df`` that all executors can read."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    url = f"jdbc:derby:{folder}/db"
+    jdbc.execute(spark, f"{url};create=true", f"CREATE TABLE {name} ({columns})", driver=jdbc.DERBY_DRIVER)
+    jdbc.insert(df, url, name, driver=jdbc.DERBY_DRIVER)
+    return jdbc.published(spark, folder, "db")
 
 
 @query("SELECT c_custkey, c_name FROM customer")
@@ -88,7 +88,7 @@ def sqlite_copy(df: DataFrame, name: str, columns: str) -> str:
     """A new sqlite file with the rows of ``df``, written by the chunked writer."""
     import sqlite3
 
-    path = os.path.join(tempfile.mkdtemp(prefix="lodestone-"), "db.sqlite")
+    path = os.path.join(shared_folder(df.sparkSession), "db.sqlite")
     with sqlite3.connect(path) as connection:
         connection.execute(f"CREATE TABLE {name} ({columns})")
     dbapi.insert(df.coalesce(1), "sqlite3", {"database": path, "timeout": 60}, name, row_capacity=500)
@@ -274,9 +274,9 @@ def utf16_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 def trim_char(spark: SparkSession, d: str) -> DataFrame:
     """A scan of a padded column that trims, as the option says."""
     nation = table(spark, d, "nation").select("n_nationkey", F.concat(F.lit(" "), "n_name").alias("name"))
-    reload(spark, "PADDED", "N_NATIONKEY INT, NAME CHAR(40)", nation)
+    url = derby_copy(nation, "PADDED", "N_NATIONKEY INT, NAME CHAR(40)")
     schema = [("n_nationkey", Logical("int32")), ("name", Logical("utf8"))]
-    return jdbc.scan(spark, DERBY, "SELECT * FROM PADDED", ReaderOptions(schema=schema, trim_fixed_sized_characters=True), jdbc.DERBY_DRIVER)
+    return jdbc.scan(spark, url, "SELECT * FROM PADDED", ReaderOptions(schema=schema, trim_fixed_sized_characters=True), jdbc.DERBY_DRIVER)
 
 
 @query("SELECT doc_id, CAST(CASE WHEN octet_length(encode(text)) <= 4096 THEN octet_length(encode(text)) END AS integer) AS size FROM documents")
@@ -470,9 +470,9 @@ def insert_sql(spark: SparkSession, d: str) -> DataFrame:
 def insert_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     orders = table(spark, d, "orders")
     columns = "O_ORDERKEY BIGINT, O_CUSTKEY BIGINT, O_ORDERSTATUS VARCHAR(1), O_TOTALPRICE DOUBLE, O_ORDERDATE TIMESTAMP, O_ORDERPRIORITY VARCHAR(20)"
-    reload(spark, "ORDERS_COPY", columns, orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+    url = derby_copy(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"), "ORDERS_COPY", columns)
     schema = [("o_orderkey", Logical("int64")), ("o_custkey", Logical("int64")), ("o_orderstatus", Logical("utf8")), ("o_totalprice", Logical("float64")), ("o_orderdate", Logical("timestamp", unit="us")), ("o_orderpriority", Logical("utf8"))]
-    back = jdbc.scan(spark, DERBY, "SELECT * FROM ORDERS_COPY", ReaderOptions(schema=schema), jdbc.DERBY_DRIVER)
+    back = jdbc.scan(spark, url, "SELECT * FROM ORDERS_COPY", ReaderOptions(schema=schema), jdbc.DERBY_DRIVER)
     return back.withColumn("o_orderdate", F.date_format("o_orderdate", US))
 
 

@@ -1,7 +1,16 @@
-"""Databases over JDBC: description without rows, scans with pushdown, appends."""
+"""Databases over JDBC: description without rows, scans with pushdown, appends.
+
+An embedded database belongs to the one JVM that has opened it. So the driver's JVM writes it, a
+partition at a time, and executors read it from an archive (`published`) that each opens for itself.
+"""
 
 from __future__ import annotations
 
+import os
+import shutil
+import zipfile
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -11,6 +20,8 @@ from lodestone.operators.convert import read_projection, write_projection
 from lodestone.operators.limits import ReaderOptions
 
 DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+#: Rows that the driver gets at a time on their way into an embedded database.
+PORTION = 100_000
 
 
 def _connect(spark: SparkSession, url: str, driver: str | None):
@@ -77,6 +88,9 @@ def scan(spark: SparkSession, url: str, sql: str, options: ReaderOptions | None
 
 def insert(df: DataFrame, url: str, table: str, row_capacity: int = 10_000, driver: str | None = None) -> None:
     """Appends rows in chunks. Each partition is a transaction where the database has them."""
+    if embedded(url):
+        with writer_errors():
+            return _insert_here(write_projection(df), url, table, row_capacity, driver)
     writer = write_projection(df).write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", row_capacity)
     with writer_errors():
         (writer.option("driver", driver) if driver else writer).mode("append").save()
@@ -110,3 +124,61 @@ def result_sets(spark: SparkSession, url: str, sql: str, driver: str | None = No
         return results
     finally:
         connection.close()
+
+
+def embedded(url: str) -> bool:
+    """Whether a database lives in the JVM that connects to it."""
+    return url.startswith("jdbc:derby:") and not url.startswith("jdbc:derby://")
+
+
+def _insert_here(df: DataFrame, url: str, table: str, row_capacity: int, driver: str | None) -> None:
+    """Appends rows from the driver's JVM, which holds `PORTION` of them or so at a time."""
+    spark, jvm = df.sparkSession, df.sparkSession._jvm
+    jdbc = jvm.org.apache.spark.sql.execution.datasources.jdbc
+    given = {"url": url, "dbtable": table, "batchsize": str(row_capacity)} | ({"driver": driver} if driver else {})
+    options = jdbc.JdbcOptionsInWrite(url, table, jvm.PythonUtils.toScalaMap(given))
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    connection = _connect(spark, url, driver)
+    try:
+        columns = jdbc.JdbcUtils.getSchemaOption(connection, options)
+    finally:
+        connection.close()
+    schema = df._jdf.schema()
+    statement = jdbc.JdbcUtils.getInsertStatement(table, schema, columns, spark.conf.get("spark.sql.caseSensitive") == "true", dialect)
+    contexts = getattr(getattr(jvm.org.apache.spark, "TaskContext$"), "MODULE$")
+    context = contexts.empty()  # Spark's writer counts its rows in a task's
+    java8 = "spark.sql.datetime.java8API.enabled"
+    context.getLocalProperties().setProperty(java8, spark.conf.get(java8))
+    count = max(1, -(-df.count() // PORTION))
+    portions, which = df.repartition(count)._jdf.toJavaRDD(), spark.sparkContext._gateway.new_array(jvm.int, 1)
+    for k in range(count):
+        which[0] = k
+        rows = jvm.scala.jdk.javaapi.CollectionConverters.asScala(portions.collectPartitions(which)[0].iterator())
+        contexts.setTaskContext(context)
+        try:
+            jdbc.JdbcUtils.savePartition(table, rows, schema, statement, row_capacity, dialect, options.isolationLevel(), options)
+        finally:
+            contexts.unset()
+
+
+def published(spark: SparkSession, folder: str, name: str, driver: str = DERBY_DRIVER) -> str:
+    """The URL of a read-only archive of the Derby database ``folder``/``name``, which is closed for good.
+
+    Any number of JVMs that see the folder can open it at a time; nothing is compressed, so that
+    pages are read where they lie.
+    """
+    path = os.path.join(folder, name)
+    try:
+        _connect(spark, f"jdbc:derby:{path};shutdown=true", driver)
+    except Py4JJavaError as e:
+        if e.java_exception.getSQLState() != "08006":  # says that it has been closed
+            raise
+    archive = f"{path}.jar"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_STORED, allowZip64=True) as z:
+        for top, _, files in os.walk(path):
+            for file in sorted(files):
+                if not file.endswith(".lck"):
+                    at = os.path.join(top, file)
+                    z.write(at, os.path.join(name, os.path.relpath(at, path)))
+    shutil.rmtree(path)
+    return f"jdbc:derby:jar:({archive}){name}"
