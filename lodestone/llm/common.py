@@ -7,6 +7,7 @@ separates on.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -305,6 +306,20 @@ def resident(key: tuple, make: Callable):
     return _RESIDENT[key]
 
 
+def released() -> None:
+    """Gives back what earlier tasks left in this worker process: resident objects and free memory.
+
+    Workers outlive their stages, so a task without use for them would else hold the vocabularies and
+    caches of another stage beside its own arrays.
+    """
+    if _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class TwoGenerations(dict):
     """A bounded cache: when it is full its entries become the old generation, from which
     those in use come back, and the older ones go."""

@@ -51,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import BROADCAST_ROWS, Scratch, gram_hashes, join_groups, map_rows, text_bytes, text_id, to_batch, without, word_hashes
+from lodestone.llm.common import BROADCAST_ROWS, Scratch, gram_hashes, join_groups, map_rows, released, text_bytes, text_id, to_batch, without, word_hashes
 from lodestone.llm.components import connected_components, merged
 
 SKETCH, GROUPS, SMALL, LEAF, FAN, EACH, TRIES = 1 << 20, 128, 64, 32, 64, 32, (1, 8, None)
@@ -78,6 +78,7 @@ def cell_levels(docs: DataFrame, words: int) -> np.ndarray:
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         total = np.zeros(SKETCH, np.int64)
         held, size = [], 0
         for batch in batches:
@@ -113,6 +114,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
 
     def make():
+        released()
         level = shared.value
 
         def step(row):
@@ -185,6 +187,7 @@ def live_cells(nodes: DataFrame, shards: int, percent: int) -> DataFrame:
     live = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("room", pa.int32())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
@@ -232,6 +235,7 @@ def live_cells(nodes: DataFrame, shards: int, percent: int) -> DataFrame:
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Streams a task's blobs to scratch space and settles so many shingles at a time."""
+        released()
         with tempfile.TemporaryFile() as scratch:
             sizes, total = [], 0
             for batch in batches:
@@ -289,6 +293,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, pe
     wanted = left.unionByName(dealt.select(F.col("b").alias("node"), "a", "part", "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         held, one = None, None
         for batch in batches:
             out = []
@@ -361,6 +366,7 @@ def tree_of(rows: DataFrame, height: int) -> DataFrame:
     schema = pa.schema([("level", pa.int32()), *((n, pa.int64()) for n in ("id", "parent", "token")), *((n, pa.int32()) for n in ("low", "high", "room")), ("comp", pa.int64()), ("box", pa.binary()), ("members", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         ids = iter(range(TaskContext.get().partitionId() << 40, 1 << 62))
         out: list[tuple] = []
         cell: list[tuple] = []

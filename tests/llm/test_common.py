@@ -106,3 +106,26 @@ def test_key_mod(spark, doc_id):
 
     got = spark.createDataFrame([(doc_id,)], "doc_id long").select(common.key_mod(4)).first()[0]
     assert got == zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 4
+
+
+def test_join_tasks_release_what_other_stages_keep():
+    """A worker process outlives its stage: the join's tasks must not hold a tokenizer beside their arrays."""
+    from lodestone.llm import jaccard_join
+
+    class Taken(Exception):
+        pass
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, f, schema):  # noqa: N802
+            raise Taken(f)
+
+    with pytest.raises(Taken) as taken:
+        jaccard_join.live_cells(Rows(), 4, 80)
+    common.resident(("vocabulary",), lambda: [0] * 1000)
+    assert list(taken.value.args[0](iter(()))) == []
+    assert not common._RESIDENT
+    assert common.resident(("vocabulary",), lambda: "made anew") == "made anew"
+    common.released()
