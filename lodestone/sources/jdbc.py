@@ -21,7 +21,7 @@ from lodestone.operators.limits import ReaderOptions
 
 DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 #: Rows that the driver gets at a time on their way into an embedded database.
-PORTION = 100_000
+PORTION = 25_000
 
 
 def _connect(spark: SparkSession, url: str, driver: str | None):
@@ -153,12 +153,17 @@ def _insert_here(df: DataFrame, url: str, table: str, row_capacity: int, driver:
     portions, which = df.repartition(count)._jdf.toJavaRDD(), spark.sparkContext._gateway.new_array(jvm.int, 1)
     for k in range(count):
         which[0] = k
-        rows = jvm.scala.jdk.javaapi.CollectionConverters.asScala(portions.collectPartitions(which)[0].iterator())
+        found = portions.collectPartitions(which)
+        listed = found[0]
+        listing = listed.iterator()
+        rows = jvm.scala.jdk.javaapi.CollectionConverters.asScala(listing)
         contexts.setTaskContext(context)
         try:
             jdbc.JdbcUtils.savePartition(table, rows, schema, statement, row_capacity, dialect, options.isolationLevel(), options)
         finally:
             contexts.unset()
+            for held in (rows, listing, listed, found):  # else the JVM keeps them until Python collects its garbage
+                spark.sparkContext._gateway.detach(held)
 
 
 def published(spark: SparkSession, folder: str, name: str, driver: str = DERBY_DRIVER) -> str:
