@@ -250,7 +250,7 @@ class Scratch:
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         self.written += 1
-        if self.written % 8 == 0:
+        if self.written % 4 == 0:
             collect_garbage(self.spark)
         return out
 

@@ -24,7 +24,8 @@ A document is the set of its distinct word shingles. Two documents link when
    least the number of common shingles; pairs of boxes below what a link needs, or of one
    component, are pruned from the roots down, before any member travels, then pairs of points.
 5. All pairs have to pass the bound of their points and are verified on the full sets;
-   links become components. If the pairs are no more than the nodes, all are verified at once,
+   links become components. The pairs that the boxes and points leave are counted; up to `EACH`
+   a node are listed whole. If the pairs are no more than the nodes, all are verified at once,
    else in rounds (`TRIES`): each node is first tried with the partner of the greatest bound,
    then with a few more, so that the pairs of a round are linear in the nodes and those that it
    joins give no more; at last all pairs that still lie between two components.
@@ -286,10 +287,11 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, pe
     """Of distinct pairs (a, b) of nodes those that link. nodes: node, rep and more of all nodes."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     texts = texts_of(docs, nodes, pairs, scratch)
-    # each a meets its b's in parts of about 256, each of which gets a copy of a's text
-    parts = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("parts", F.ceil(F.col("n") / 256).cast("int"))
-    dealt = join_groups(pairs, parts, ["a"], "n", max(1, pairs.count())).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
-    left = parts.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"))
+    # each a meets its b's in parts of about `each`, each of which gets a copy of a's text; the a's with several parts are few enough for a broadcast
+    each = max(256, -(-pairs.count() // BROADCAST_ROWS))
+    hot = pairs.groupBy("a").agg(F.ceil(F.count("*") / each).cast("int").alias("parts")).where("parts > 1")
+    dealt = pairs.join(F.broadcast(hot), "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+    left = dealt.select("a", "part").distinct().select(F.col("a").alias("node"), "a", "part", F.lit(None).cast("long").alias("b"))
     wanted = left.unionByName(dealt.select(F.col("b").alias("node"), "a", "part", "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,7 +313,7 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, pe
 
     met = texts.join(wanted, "node").select("a", "part", "b", "text")
     met = met.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return scratch.table(met.mapInArrow(run, "a long, b long").distinct(), drop=[texts])
+    return scratch.table(met.mapInArrow(run, "a long, b long"), drop=[texts])
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -441,8 +443,8 @@ def box_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     return map_rows(pairs.where(near & mixed & (column("id_a") <= column("id_b"))).select("id_a", "id_b", "low_a", "low_b", "box_a", "box_b"), "a long, b long", make)
 
 
-def tree_pairs(tree: DataFrame, height: int, percent: int, most: int | None, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b, bound) of different components that the boxes and points allow."""
+def leaf_pairs(tree: DataFrame, height: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of leaves, with their members, that the boxes allow."""
     names = [c for c in tree.columns if c not in ("level", "members")]
 
     def boxes(level: int, side: str) -> DataFrame:
@@ -453,17 +455,29 @@ def tree_pairs(tree: DataFrame, height: int, percent: int, most: int | None, scr
     for level in range(height - 1, -1, -1):
         down = kept.join(boxes(level, "a"), F.col("a") == F.col("parent_a")).drop("a").join(boxes(level, "b"), F.col("b") == F.col("parent_b"))
         kept = scratch.table(box_pairs(down, percent), drop=[kept])
+    return kept
 
-    def make():
+
+def tree_pairs(tree: DataFrame, kept: DataFrame, percent: int, most: int | None, most_pairs: int, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """Pairs (a, b) of different components that the pairs of leaves and the points allow,
+    and whether these are all: so if they are no more than ``most_pairs``, else ``most`` decides."""
+    leaves = [tree.where("level = 0").select(F.col("id").alias(x), F.col("members").alias(f"members_{x}")) for x in "ab"]
+    full = kept.join(leaves[0], "a").join(leaves[1], "b").select("a", "b", "members_a", "members_b")
+
+    def pairs(most: int | None, count: bool = False):
         def step(row):
             a, b, members_a, members_b = row
-            return point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), a == b, percent, most)
+            found = point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), a == b, percent, most)
+            return [(sum(1 for _ in found),)] if count else found
 
         return step
 
-    leaves = [tree.where("level = 0").select(F.col("id").alias(x), F.col("members").alias(f"members_{x}")) for x in "ab"]
-    full = kept.join(leaves[0], "a").join(leaves[1], "b").select("a", "b", "members_a", "members_b")
-    return map_rows(full, "a long, b long, bound long", make).select("a", "b").distinct()
+    if most is not None:
+        # boxes and points may leave few pairs of many members
+        counted = map_rows(full, "n long", lambda: pairs(None, count=True)).agg(F.sum("n")).first()[0]
+        most = most if (counted or 0) > most_pairs else None
+    found = map_rows(full, "a long, b long, bound long", lambda: pairs(most)).select("a", "b").distinct()
+    return scratch.table(found), most is None
 
 
 def small_pairs(live: DataFrame, percent: int) -> DataFrame:
@@ -540,24 +554,25 @@ def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int
     many = scratch.table(open_.where(F.col("members") > SMALL).drop("members").join(points, "node"), drop=[open_])
     size = F.count("*").alias("m")
     large = many.groupBy("token").agg(size).agg(F.max("m").alias("largest"), F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs")).first()
-    linear = (large["pairs"] or 0) <= EACH * total  # then all pairs of large cells are tried at once, too
+    linear = (large["pairs"] or 0) <= EACH * total  # then all pairs of large cells are tried at once, too; else the tree may show it
     height = 0
     while LEAF * FAN ** (height + 1) < (large["largest"] or 0):
         height += 1
 
-    def candidates(most: int | None) -> DataFrame:
+    def candidates(most: int | None) -> tuple[DataFrame, bool]:
         pairs = apart(few, comp)
         if not large["largest"]:
-            return bounded(pairs, points, percent)
+            return bounded(pairs, points, percent), True
         tree = scratch.table(tree_of(placed_in(many, comp), height))
-        found = scratch.table(tree_pairs(tree, height, percent, most, scratch))
-        scratch.drop(tree)
-        return bounded(pairs.unionByName(found).distinct(), points, percent)
+        kept = leaf_pairs(tree, height, percent, scratch)
+        found, every = tree_pairs(tree, kept, percent, most, EACH * total, scratch)
+        scratch.drop(tree, kept)
+        return bounded(pairs.unionByName(found).distinct(), points, percent), every
 
     pool = tried = None
     for most in TRIES:
         if pool is None or not linear:
-            pool = candidates(None if linear else most)
+            pool, linear = candidates(None if linear else most)
         else:
             pool = apart(pool, comp)
         if tried is not None:

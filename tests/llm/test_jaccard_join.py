@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from lodestone.llm import components as links_module
 from lodestone.llm import jaccard_join
 from lodestone.llm.common import Scratch
 from lodestone.llm.components import connected_components
@@ -149,3 +150,38 @@ def test_keep_one_with_null_and_repeated_ids(docs, prose):
     out = [(r.doc_id, r.text) for r in jaccard_join.keep_one(docs(rows)).collect()]
     assert (1, a) in out and (7, b) in out and len(out) == 3
     assert sum(r in ((None, c), (None, c + " z")) for r in out) == 1
+
+
+def test_few_links_take_no_rounds_of_joins(spark, monkeypatch):
+    """Few links go through two tables, whatever their paths; joins find the same."""
+    links = [(k, k + 1) for k in range(40)] + [(k, k - 3) for k in range(100, 160, 3)] + [(7, 7), (None, 3), (9, 8), (8, 9)]
+    df = spark.createDataFrame(links, "a long, b long")
+    scratch = Scratch(spark)
+    here = {tuple(r) for r in connected_components(df, scratch).collect()}
+    assert scratch.written == 2
+    assert {c for k, c in here if k <= 40} == {0} and {c for k, c in here if k > 40} == {97}
+    monkeypatch.setattr(links_module, "LOCAL", 0)
+    assert {tuple(r) for r in connected_components(df, Scratch(spark)).collect()} == here
+
+
+def test_links_beyond_the_drivers_arrays(docs, prose, monkeypatch):
+    monkeypatch.setattr(links_module, "LOCAL", 0)
+    r = random.Random(21)
+    check(docs, [(k, edited(prose(40, k // 8), r, 1)) for k in range(48)])
+
+
+def test_one_node_with_pairs_in_several_parts(docs, prose):
+    base = prose(80, 3).split(" ")
+    check(docs, [(0, " ".join(base))] + [(k, " ".join([*base, f"z{k}"])) for k in range(1, 320)])
+
+
+def test_few_pairs_of_many_members_take_one_tree(docs, prose, monkeypatch):
+    """Large cells whose points leave few pairs are tried at once, not in rounds."""
+    for name, value in (("SMALL", 4), ("LEAF", 4), ("FAN", 3), ("EACH", 3)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    trees, make = [], jaccard_join.tree_of
+    monkeypatch.setattr(jaccard_join, "tree_of", lambda *a: trees.append(a) or make(*a))
+    r = random.Random(11)
+    base = prose(60, 5)
+    check(docs, [(k, edited(base, r, r.choice([1, 2, 3, 5]))) for k in range(90)])
+    assert len(trees) == 1
