@@ -77,8 +77,15 @@ def ordered(links: DataFrame) -> DataFrame:
 def merged(comp: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """``comp`` (node, comp) after further links (a, b); nodes that it lacks are their own.
 
-    Only the links between components are worked on. ``comp`` is dropped.
+    Only the links between components are worked on, up to `LOCAL` rows of both in the
+    driver's arrays. ``comp`` is dropped.
     """
+    if links.count() + comp.count() <= LOCAL:
+        old, new = comp.toArrow(), links.where("a != b").toArrow()
+        a, b = (np.concatenate((old[x].to_numpy(), new[y].to_numpy())) for x, y in (("node", "a"), ("comp", "b")))
+        node, low = contracted(a, b)
+        found = scratch.spark.createDataFrame(pa.table({"node": node, "comp": low}), "node long, comp long")
+        return scratch.table(found, drop=[comp])
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     new = ends.join(comp, "node", "left_anti").select("node", F.col("node").alias("comp"))
     every = scratch.table(comp.unionByName(new))

@@ -334,25 +334,26 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 MEMBER = np.dtype([("node", "<i8"), ("comp", "<i8"), ("n", "<i4"), ("room", "<i4"), ("counts", "<u4", GROUPS)])
 
 
-def point_pairs(a: np.ndarray, b: np.ndarray, own: bool, percent: int, most: int | None) -> Iterator[tuple[int, int, int]]:
+def point_pairs(a: np.ndarray, b: np.ndarray, own: bool, percent: int, most: int | None) -> tuple[list[tuple[int, int]], int]:
     """Pairs of members of two leaves (or of one with itself) that rooms and points allow,
-    with their bounds.
+    and how many more there are.
 
     most: how many for each member, greatest bounds first.
     """
-    for k in range(len(a)):
-        one, rest = a[k], b[k + 1 :] if own else b
-        need = least_common(int(one["n"]), rest["n"].astype(np.int64), percent)
-        fits = (rest["comp"] != one["comp"]) & (rest["node"] != one["node"]) & (np.minimum(rest["room"], one["room"]) >= need)
-        rest, need = rest[fits], need[fits]
-        if not len(rest):
-            continue
-        bound = np.minimum(rest["counts"], one["counts"]).sum(1, dtype=np.int64)
-        good = np.flatnonzero(bound >= need)
-        if most is not None and len(good) > most:
-            good = good[np.argsort(-bound[good], kind="stable")[:most]]
-        for node, value in zip(rest["node"][good].tolist(), bound[good].tolist(), strict=True):
-            yield (min(int(one["node"]), node), max(int(one["node"]), node), value)
+    need = least_common(a["n"].astype(np.int64)[:, None], b["n"].astype(np.int64), percent)
+    fits = (a["comp"][:, None] != b["comp"]) & (a["node"][:, None] != b["node"]) & (np.minimum(a["room"][:, None], b["room"]) >= need)
+    x, y = np.nonzero(np.triu(fits, 1) if own else fits)
+    bound = np.minimum(a["counts"][x], b["counts"][y]).sum(1, dtype=np.int64)
+    good = bound >= need[x, y]
+    x, y, bound = x[good], y[good], bound[good]
+    number = len(x)
+    if most is not None:
+        order = np.lexsort((-bound, x))
+        x, y = x[order], y[order]
+        near = np.arange(number) - np.searchsorted(x, x) < most
+        x, y = x[near], y[near]
+    one, two = a["node"][x], b["node"][y]
+    return list(zip(np.minimum(one, two).tolist(), np.maximum(one, two).tolist(), strict=True)), number - len(x)
 
 
 #: A box: sizes, greatest room, its component if it has one only, and the counts' upper bounds.
@@ -464,20 +465,29 @@ def tree_pairs(tree: DataFrame, kept: DataFrame, percent: int, most: int | None,
     leaves = [tree.where("level = 0").select(F.col("id").alias(x), F.col("members").alias(f"members_{x}")) for x in "ab"]
     full = kept.join(leaves[0], "a").join(leaves[1], "b").select("a", "b", "members_a", "members_b")
 
-    def pairs(most: int | None, count: bool = False):
-        def step(row):
-            a, b, members_a, members_b = row
-            found = point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), a == b, percent, most)
-            return [(sum(1 for _ in found),)] if count else found
+    def found(most: int | None) -> DataFrame:
+        def make():
+            def step(row):
+                a, b, members_a, members_b = row
+                pairs, more = point_pairs(np.frombuffer(members_a, MEMBER), np.frombuffer(members_b, MEMBER), a == b, percent, most)
+                return [*((x, y, 1, 0) for x, y in pairs), (None, None, len(pairs), more)]
 
-        return step
+            return step
 
+        made = map_rows(full, "a long, b long, n long, more long", make)
+        return scratch.table(made.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("more").alias("more")))
+
+    every = found(most)
     if most is not None:
-        # boxes and points may leave few pairs of many members
-        counted = map_rows(full, "n long", lambda: pairs(None, count=True)).agg(F.sum("n")).first()[0]
-        most = most if (counted or 0) > most_pairs else None
-    found = map_rows(full, "a long, b long, bound long", lambda: pairs(most)).select("a", "b").distinct()
-    return scratch.table(found), most is None
+        # boxes and points may leave few pairs of many members; the row without ends has the numbers
+        sums = every.where("a is null").first()
+        listed, more = (sums["n"], sums["more"]) if sums else (0, 0)
+        if more and listed + more <= most_pairs:
+            scratch.drop(every)
+            every, more = found(None), 0
+    else:
+        more = 0
+    return every.where("a is not null").select("a", "b"), not more
 
 
 def small_pairs(live: DataFrame, percent: int) -> DataFrame:
@@ -569,8 +579,11 @@ def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int
         scratch.drop(tree, kept)
         return bounded(pairs.unionByName(found).distinct(), points, percent), every
 
+    # with few members in large cells the first round takes more partners of each and stays linear in the nodes
+    _, more, *rest = TRIES
+    members = many.select("node").distinct().count() if large["largest"] and not linear else 0
     pool = tried = None
-    for most in TRIES:
+    for most in (more, 2 * more, *rest) if members * more <= total else TRIES:
         if pool is None or not linear:
             pool, linear = candidates(None if linear else most)
         else:
@@ -588,8 +601,8 @@ def components_of(docs: DataFrame, nodes: DataFrame, live: DataFrame, words: int
         if left:
             comp = merged(comp, verified(chosen, docs, nodes, words, percent, scratch), scratch)
             tried = chosen if tried is None else scratch.table(tried.unionByName(chosen), drop=[tried, chosen])
-        if last or not left:
-            break
+        if last:
+            break  # a round of some partners without new pairs says nothing of the others
     scratch.drop(few, many)
     return comp
 

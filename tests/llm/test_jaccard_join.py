@@ -185,3 +185,36 @@ def test_few_pairs_of_many_members_take_one_tree(docs, prose, monkeypatch):
     base = prose(60, 5)
     check(docs, [(k, edited(base, r, r.choice([1, 2, 3, 5]))) for k in range(90)])
     assert len(trees) == 1
+
+
+def test_few_links_merge_in_one_table(spark, monkeypatch):
+    """Further links of few nodes go through the driver's arrays; joins find the same."""
+    first = spark.createDataFrame([(1, 1), (4, 1), (5, 5), (9, 5), (20, 20), (30, 20)], "node long, comp long")
+    links = spark.createDataFrame([(4, 9), (2, 30), (40, 41), (40, 41)], "a long, b long")
+    scratch = Scratch(spark)
+    here = {tuple(r) for r in links_module.merged(first, links, scratch).collect()}
+    assert scratch.written == 1
+    assert here == {(1, 1), (4, 1), (5, 1), (9, 1), (2, 2), (20, 2), (30, 2), (40, 40), (41, 40)}
+    monkeypatch.setattr(links_module, "LOCAL", 0)
+    assert {tuple(r) for r in links_module.merged(first, links, Scratch(spark)).collect()} == here
+
+
+def test_point_pairs_say_how_many_they_leave_out():
+    r = np.random.default_rng(3)
+    block = np.zeros(30, jaccard_join.MEMBER)
+    block["node"], block["comp"] = np.arange(30), r.integers(0, 12, 30)
+    block["counts"] = r.integers(0, 3, (30, jaccard_join.GROUPS)) + 4
+    block["n"] = block["room"] = block["counts"].sum(1)
+    a, b = block[:14], block[14:]
+    for one, two, own in ((a, b, False), (block, block, True)):
+        every = {}
+        for x in one:
+            for y in two:
+                bound = int(np.minimum(x["counts"], y["counts"]).sum())
+                if x["comp"] != y["comp"] and x["node"] < y["node"] and bound >= jaccard_join.least_common(int(x["n"]), int(y["n"]), 78):
+                    every.setdefault(int(x["node"]), []).append((-bound, int(y["node"])))
+        count = sum(map(len, every.values()))
+        got, more = jaccard_join.point_pairs(one, two, own, 78, None)
+        assert sorted(got) == sorted((x, y) for x, near in every.items() for _, y in near) and more == 0
+        got, more = jaccard_join.point_pairs(one, two, own, 78, 2)
+        assert sorted(got) == sorted((x, y) for x, near in every.items() for _, y in sorted(near)[:2]) and more == count - len(got) > 0
